@@ -59,6 +59,11 @@ METRICS: dict[str, Metric] = {
             "cost_per_delivered", "Cost per delivered", ("price", "delivery_status"),
             lambda: F.round(F.try_divide(_revenue(), F.count_if(_is_delivered())), 4),
         ),
+        # Of the cohort dataset, which is aggregated already.
+        Metric("retention_pct_max", "Retention %", ("retention_pct",), lambda: F.max("retention_pct")),
+        Metric(
+            "active_receivers_max", "Active receivers", ("active_receivers",), lambda: F.max("active_receivers")
+        ),
     )
 }
 KPI_METRICS = [

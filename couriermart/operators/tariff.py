@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,13 +28,16 @@ def tariff(messages: DataFrame, card: DataFrame, default_price: float = DEFAULT_
     )
 
 
-def card_violations(messages: DataFrame, card: DataFrame) -> DataFrame:
-    """How many messages name an operator their country does not have, or a receiver
-    whose number does not start with the country's prefix. NULLs are not violations."""
+def card_violations(messages: DataFrame, card: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Per ``by`` columns, how many messages name an operator their country does not have,
+    or a receiver whose number does not start with the country's prefix, of how many
+    ``rows``, and how many carry a price. NULLs are not violations."""
     rules = card.select("country", "prefix", "operators")
     wrong_operator = ~F.array_contains("operators", F.col("receiver_operator"))
     wrong_prefix = ~F.startswith(F.col("receiver"), F.concat(F.lit("+"), F.col("prefix")))
-    return messages.join(rules, "country", "left").agg(
+    return messages.join(rules, "country", "left").groupBy(*by).agg(
+        F.count("*").alias("rows"),
+        F.count("price").alias("count"),
         F.count_if(wrong_operator).alias("wrong_operator"),
         F.count_if(wrong_prefix).alias("wrong_prefix"),
     )

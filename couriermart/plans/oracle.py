@@ -90,7 +90,7 @@ _ROLLUP = f"""
 , rollup_rows AS (
     SELECT CAST(sent_date AS DATE) AS day, country, delivery_status, currency,
            count(*) AS msgs, {DELIVERED} AS delivrd,
-           round(sum(price), 6) AS revenue
+           round(sum(price), 8) AS revenue
     FROM active GROUP BY 1, 2, 3, 4
 )"""
 

@@ -11,9 +11,15 @@ from ..sources.mart import active
 NUMERIC_COLUMNS = ["price", "delivery_time"]
 
 
-def full_report(messages: DataFrame) -> dict[str, DataFrame]:
+def report_rows(messages: DataFrame, limit: int | None = None) -> DataFrame:
+    """The columns the report reads; ``limit`` caps the rows for a quick look."""
+    rows = messages.select(*REPORT_COLUMNS)
+    return rows if limit is None else rows.limit(limit)
+
+
+def full_report(messages: DataFrame, limit: int | None = None) -> dict[str, DataFrame]:
     """The report's four frames. Data quality looks at all rows, the rest at active ones."""
-    rows = messages.select(*[name for name in REPORT_COLUMNS if name in messages.columns])
+    rows = report_rows(messages, limit)
     kept = active(rows)
     return {
         "summary": numeric_summary(kept, NUMERIC_COLUMNS),

@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_shared: dict[str, str] = {}
+_scratch: dict[str, list[str]] = {}
 
 
 def build_session(master: str | None = None, app_name: str = "couriermart", **conf: str) -> SparkSession:
@@ -23,6 +24,7 @@ def build_session(master: str | None = None, app_name: str = "couriermart", **co
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)
@@ -57,7 +59,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder; no two calls return the same one."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables this session has made. Frames that read them, and the
+    stored mart and rollup, are gone with them: call it before the session stops."""
+    for path in _scratch.pop(spark.sparkContext.applicationId, []):
+        location = spark._jvm.org.apache.hadoop.fs.Path(path)
+        location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
 
 
 def durable(df: DataFrame) -> DataFrame:

@@ -18,7 +18,6 @@ from ..functions.dates import year_month
 from ..operators.charts import Filters, apply_filters
 from ..session import path_exists
 from ..streaming.rollup import BACKFILL_BATCH, rollup_add
-from .mart import register_views
 
 PARTITION = "ym"
 SORT = ["customer_id", "sent_date", "country", "delivery_status", "message_id"]
@@ -26,9 +25,10 @@ STORED_SCHEMA = T.StructType([*MESSAGE_SCHEMA, T.StructField(PARTITION, T.Intege
 
 # Fixed value: the share of lookups a bloom filter may let through in vain.
 BLOOM_FPP = "0.01"
-# Distinct ids a file is expected to hold: a file of about half a gigabyte.
-FILE_ROWS = 5_000_000
-FILE_APPLICATIONS = 100_000
+# Enough for the ids of a full row group at that rate; smaller ones get smaller filters.
+BLOOM_MAX_BYTES = str(4 * 2**20)
+# Messages per file, at most: about half a gigabyte.
+FILE_ROWS = 10_000_000
 
 
 def _with_month(messages: DataFrame) -> DataFrame:
@@ -46,10 +46,10 @@ def _write(stored: DataFrame, path: str, mode: str, partitions: int | None) -> N
         .partitionBy(PARTITION)
         .option("maxRecordsPerFile", FILE_ROWS)
         .option("parquet.bloom.filter.enabled#message_id", "true")
-        .option("parquet.bloom.filter.expected.ndv#message_id", str(FILE_ROWS))
         .option("parquet.bloom.filter.enabled#application_uuid", "true")
-        .option("parquet.bloom.filter.expected.ndv#application_uuid", str(FILE_APPLICATIONS))
         .option("parquet.bloom.filter.adaptive.enabled", "true")
+        .option("parquet.bloom.filter.max.bytes", BLOOM_MAX_BYTES)
+        .option("parquet.bloom.filter.candidates.number", "8")
         .option("parquet.bloom.filter.fpp", BLOOM_FPP)
         .parquet(path)
     )
@@ -67,21 +67,10 @@ def open_mart(spark: SparkSession, path: str) -> DataFrame:
 
 
 def ensure_mart(spark: SparkSession, path: str) -> DataFrame:
-    """The stored mart, created empty if it is not there, and the SQL views over it."""
+    """The stored mart, created empty if it is not there."""
     if not path_exists(spark, path):
         _write(spark.createDataFrame([], STORED_SCHEMA), path, "ignore", 1)
-    stored = open_mart(spark, path)
-    register_views(stored)
-    return stored
-
-
-def mart_is_ready(spark: SparkSession, path: str) -> dict[str, bool]:
-    """Which of the setup's objects exist."""
-    return {
-        "mart": path_exists(spark, path),
-        "messages_mart": spark.catalog.tableExists("messages_mart"),
-        "messages_mart_active": spark.catalog.tableExists("messages_mart_active"),
-    }
+    return open_mart(spark, path)
 
 
 def unseen(messages: DataFrame, path: str) -> DataFrame:
@@ -94,12 +83,9 @@ def unseen(messages: DataFrame, path: str) -> DataFrame:
     incoming = _with_month(messages)
     if not path_exists(spark, path):
         return incoming
-    months = incoming.select(PARTITION).distinct()
-    known = (
-        open_mart(spark, path)
-        .select("message_id", PARTITION)
-        .join(months, PARTITION, "left_semi")
-    )
+    # One value per calendar month: known before planning, they prune the stored files.
+    months = [row[0] for row in incoming.select(PARTITION).distinct().collect()]
+    known = open_mart(spark, path).where(F.col(PARTITION).isin(months)).select("message_id", PARTITION)
     return incoming.join(known, [PARTITION, "message_id"], "left_anti").select(*STORED_SCHEMA.names)
 
 

@@ -145,9 +145,3 @@ def active_mart(spark: SparkSession, sf_dir: str, columns: Iterable[str]) -> Dat
     """The asked-for columns of the messages that were not soft-deleted."""
     names = list(columns)
     return active(mart(spark, sf_dir, [*names, "deleted_at"])).select(*names)
-
-
-def register_views(messages: DataFrame) -> None:
-    """Temp views ``messages_mart`` and ``messages_mart_active`` for SQL users."""
-    messages.createOrReplaceTempView("messages_mart")
-    active(messages).createOrReplaceTempView("messages_mart_active")
