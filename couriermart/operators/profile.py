@@ -1,12 +1,12 @@
 """Exact descriptive statistics, outliers and segment statistics.
 
 Exact quantiles need the rows at certain ranks, and sorting a column of any size to
-find six of them would be a waste. Pass one takes the moments and a mergeable quantile
-sketch, whose error is bounded, so that each quantile is known to lie in a narrow
-bracket. Pass two counts the values between the brackets and keeps the distinct values
-inside them, and only those are sorted. Both passes combine on the map side: what is
-shuffled is a few rows per task plus the brackets' content, a few ten-thousandths of
-the distinct values, however large or skewed the segments are.
+find six of them would be a waste. Pass one takes a mergeable quantile sketch, whose
+error is bounded, so that each quantile is known to lie in a narrow bracket. Pass two
+counts and sums the values between the brackets and keeps the distinct values inside
+them, and only those are sorted. Both passes combine on the map side: what is shuffled
+is a few rows per task plus the brackets' content, a few thousandths of a segment's
+distinct values at most, however large or skewed the segments are.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ ACCURACY = 10000
 BRACKET_MARGIN = 4
 # Per-key tables of up to this many rows, of about 100 bytes, are broadcast.
 BROADCAST_KEYS = 50000
+SALTS = 32
 
 STATISTICS = [
     "count", "mean", "median", "min", "max", "range", "std_sample", "std_pop", "q1", "q3", "iqr",
@@ -46,25 +47,26 @@ def stacked(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Da
 
 
 def _sketch(values: DataFrame, keys: list[str], quantiles: dict[str, float], accuracy: int) -> DataFrame:
-    """Pass one, per key: moments, extremes, and for each quantile the bracket it is in."""
+    """Pass one, per key: the number of values, and for each quantile its bracket."""
     margin = BRACKET_MARGIN / accuracy
     edges = [edge for q in quantiles.values() for edge in (max(0.0, q - margin), min(1.0, q + margin))]
     return values.groupBy(*keys).agg(
-        F.count("value").alias("count"),
-        F.sum("value").alias("total"),
-        F.avg("value").alias("mean"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        F.stddev_samp("value").alias("std_sample"),
-        F.stddev_pop("value").alias("std_pop"),
-        F.percentile_approx("value", edges, accuracy).alias("edges"),
+        F.count("value").alias("count"), F.percentile_approx("value", edges, accuracy).alias("edges")
     )
 
 
-def _sized(small: DataFrame) -> DataFrame:
-    """A stored per-key table, marked for broadcast only when counting shows it is small.
-    With more keys than that Spark shuffles both sides and splits skewed partitions."""
-    return F.broadcast(small) if small.count() <= BROADCAST_KEYS else small
+def _attach_sized(rows: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with the columns of a stored per-key table.
+
+    The table is broadcast only when counting shows that it is small. Beyond that both
+    sides are shuffled by key and input partition, so that the rows of a key, however
+    many, are spread over ``SALTS`` tasks.
+    """
+    if small.count() <= BROADCAST_KEYS:
+        return attach(rows, F.broadcast(small), keys)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salted = rows.withColumn("salt", F.spark_partition_id() % SALTS)
+    return attach(salted, small.withColumn("salt", salts), [*keys, "salt"]).drop("salt")
 
 
 def _position(q: float) -> Column:
@@ -72,56 +74,23 @@ def _position(q: float) -> Column:
     return F.lit(q) * (F.col("count") - 1)
 
 
-def _values_at_ranks(
-    values: DataFrame, brackets: DataFrame, keys: list[str], quantiles: dict[str, float]
-) -> DataFrame:
-    """Pass two, per key: the values at the ranks just below and above each quantile.
-
-    Values between the brackets are only counted; those inside are kept apart.
-    """
-    value, edge = F.col("value"), [F.element_at("edges", i + 1) for i in range(2 * len(quantiles))]
+def _zones(values: DataFrame, brackets: DataFrame, keys: list[str], n_quantiles: int) -> DataFrame:
+    """Pass two: values between the brackets are only counted and summed, per zone; those
+    inside are kept apart, one row per distinct value. Zones follow the values' order."""
+    value, edge = F.col("value"), [F.element_at("edges", i + 1) for i in range(2 * n_quantiles)]
     pairs = list(zip(edge[::2], edge[1::2]))
     zone = reduce(add, [(value >= low).cast("int") + (value > high).cast("int") for low, high in pairs])
     inside = reduce(or_, [value.between(low, high) for low, high in pairs])
-    zones = (
-        attach(values.where(value.isNotNull()), _sized(brackets.select(*keys, "count", "edges")), keys)
-        .groupBy(*keys, zone.alias("zone"), F.when(inside, value).alias("kept"))
-        .agg(
-            F.count("*").alias("n"),
-            F.min("value").alias("smallest"),
-            F.max("value").alias("largest"),
-            F.max("count").alias("count"),
-        )
-    )
-    upto = Window.partitionBy(*keys).orderBy("zone", "kept").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    ranked = zones.withColumn("last", F.sum("n").over(upto)).withColumn("first", F.col("last") - F.col("n"))
-    wanted = F.array_distinct(
-        F.array(*[f(_position(q)).cast("long") for q in quantiles.values() for f in (F.floor, F.ceil)])
-    )
-    held = F.filter(wanted, lambda rank: (rank >= F.col("first")) & (rank < F.col("last")))
-    rank = F.col("rank")
-    found = (
-        F.when(F.col("kept").isNotNull(), F.col("kept"))
-        .when(rank == F.col("first"), F.col("smallest"))
-        .when(rank == F.col("last") - 1, F.col("largest"))
-        .otherwise(F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double"))
-    )
-    picked = ranked.withColumn("rank", F.explode(held)).select(*keys, "count", "rank", found.alias("found"))
-
-    def at(wanted_rank: Column) -> Column:
-        return F.max(F.when(rank == wanted_rank.cast("long"), F.col("found")))
-
-    return picked.groupBy(*keys).agg(
-        *[
-            column
-            for name, q in quantiles.items()
-            for column in (
-                at(F.floor(_position(q))).alias(f"{name}__low"),
-                at(F.ceil(_position(q))).alias(f"{name}__high"),
-            )
-        ]
+    off = value - edge[n_quantiles]  # from a value near the middle, which keeps the sums accurate
+    placed = _attach_sized(values.where(value.isNotNull()), brackets, keys)
+    return placed.groupBy(*keys, zone.alias("zone"), F.when(inside, value).alias("kept")).agg(
+        F.count("*").alias("n"),
+        F.sum("value").alias("total"),
+        F.min("value").alias("smallest"),
+        F.max("value").alias("largest"),
+        F.sum(off).alias("off"),
+        F.sum(off * off).alias("off2"),
+        F.max("count").alias("count"),
     )
 
 
@@ -135,16 +104,49 @@ def summarise(
     exact quantiles, interpolated linearly between neighbours."""
     keys = list(keys)
     sketch = durable(_sketch(values, keys, quantiles, accuracy))
-    described = attach(sketch, _values_at_ranks(values, sketch, keys, quantiles), keys, "left")
-    interpolated = [
-        (
-            F.col(f"{name}__low")
-            + (F.col(f"{name}__high") - F.col(f"{name}__low")) * (_position(q) - F.floor(_position(q)))
-        ).alias(name)
+    zones = _zones(values, sketch, keys, len(quantiles))
+
+    in_order = Window.partitionBy(*keys).orderBy("zone", "kept")
+    last = F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = zones.withColumn("last", last).withColumn("first", F.col("last") - F.col("n"))
+
+    def at(rank: Column) -> Column:
+        rank = rank.cast("long")
+        found = (
+            F.when(F.col("kept").isNotNull(), F.col("kept"))
+            .when(rank == F.col("first"), F.col("smallest"))
+            .when(rank == F.col("last") - 1, F.col("largest"))
+            .otherwise(F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double"))
+        )
+        return F.max(F.when((rank >= F.col("first")) & (rank < F.col("last")), found))
+
+    neighbours = {
+        f"{name}__{side}": at(end(_position(q)))
         for name, q in quantiles.items()
-    ]
-    return described.select(
-        *keys, "count", "total", "mean", "min", "max", "std_sample", "std_pop", *interpolated
+        for side, end in (("low", F.floor), ("high", F.ceil))
+    }
+    found = ranked.groupBy(*keys).agg(
+        F.sum("total").alias("total"),
+        F.min("smallest").alias("min"),
+        F.max("largest").alias("max"),
+        (F.sum("off2") - F.sum("off") * F.sum("off") / F.sum("n")).alias("squares"),
+        *[column.alias(name) for name, column in neighbours.items()],
+    )
+    squares = F.greatest(F.col("squares"), F.lit(0.0))
+    beyond_one = F.nullif(F.col("count") - 1, F.lit(0))
+    return attach(sketch.drop("edges"), found, keys, "left").select(
+        *keys, "count", "total",
+        F.try_divide("total", "count").alias("mean"),
+        "min", "max",
+        F.when(F.col("squares").isNotNull(), F.sqrt(F.try_divide(squares, beyond_one))).alias("std_sample"),
+        F.when(F.col("squares").isNotNull(), F.sqrt(F.try_divide(squares, F.col("count")))).alias("std_pop"),
+        *[
+            (
+                F.col(f"{name}__low")
+                + (F.col(f"{name}__high") - F.col(f"{name}__low")) * (_position(q) - F.floor(_position(q)))
+            ).alias(name)
+            for name, q in quantiles.items()
+        ],
     )
 
 
@@ -172,7 +174,7 @@ def _outliers(values: DataFrame, statistics: DataFrame, reach: float) -> DataFra
     value = F.col("value")
     outside = (value < F.col("low_fence")) | (value > F.col("high_fence"))
     counted = (
-        attach(values, _sized(fences), ["column"])
+        _attach_sized(values, fences, ["column"])
         .groupBy("column", "count", "low_fence", "high_fence")
         .agg(F.count_if(outside).alias("n_outliers"))
     )

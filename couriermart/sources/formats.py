@@ -13,7 +13,18 @@ from pyspark.sql import functions as F
 from ..session import path_bytes
 
 FORMATS = ("csv", "parquet", "orc")
-_OPTIONS = {"csv": {"header": "true", "nullValue": "\\N", "emptyValue": ""}}
+# CSV has neither NULLs nor timestamps of its own: both are spelled out, times to the
+# microsecond. An empty text is written in quotes, and blanks around a text are kept.
+_OPTIONS = {
+    "csv": {
+        "header": "true",
+        "nullValue": "\\N",
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+        "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    }
+}
 log = logging.getLogger(__name__)
 
 
@@ -50,10 +61,11 @@ def fingerprint(messages: DataFrame) -> list:
     ]
 
 
-def read_back(messages: DataFrame, result: FormatResult) -> DataFrame:
-    """The messages as read from ``result``'s files."""
+def read_back(messages: DataFrame, result: FormatResult, **options: str) -> DataFrame:
+    """The messages as read from ``result``'s files. A CSV file whose values may hold line
+    breaks needs ``multiLine="true"``, which gives up reading parts of a file in parallel."""
     reader = messages.sparkSession.read.format(result.format).schema(messages.schema)
-    return reader.options(**_OPTIONS.get(result.format, {})).load(result.path)
+    return reader.options(**_OPTIONS.get(result.format, {}), **options).load(result.path)
 
 
 def compare_formats(messages: DataFrame, root: str, formats: Sequence[str] = FORMATS) -> list[FormatResult]:

@@ -14,7 +14,7 @@ Nothing is watermarked: a row that arrives late adds to its own day, however old
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, datetime, time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..contract import DELIVERED, ROLLUP_KEYS, ROLLUP_SCHEMA
 from ..functions.dates import day
+from ..operators.charts import Filters, apply_filters
 from ..operators.joins import attach
 from ..session import path_exists
 from ..sources.mart import active
@@ -128,9 +129,8 @@ def rollup_rebuild(messages: DataFrame, root: str, days: Sequence[date]) -> None
     spark = messages.sparkSession
     through = _last_batch(spark, root)
     chosen = spark.createDataFrame([(d,) for d in days], "day date")
-    first, last = F.lit(min(days)), F.date_add(F.lit(max(days)), 1)
-    in_span = (F.col("sent_date") >= first) & (F.col("sent_date") < last)
-    rebuilt = rollup_build(messages.where(in_span)).join(chosen, "day", "left_semi")
+    span = Filters(sent_from=datetime.combine(min(days), time.min), sent_to=datetime.combine(max(days), time.max))
+    rebuilt = rollup_build(apply_filters(messages, span)).join(chosen, "day", "left_semi")
     empty = chosen.select(
         "day",
         *[F.lit(None).cast("string").alias(name) for name in ROLLUP_KEYS[1:]],

@@ -122,6 +122,19 @@ def test_formats_agree(spark, path):
     assert formats.against_csv(results)["parquet"]["smaller"] > 1
 
 
+def test_formats_keep_every_value(spark):
+    odd = [
+        {"sent_date": datetime(2025, 1, 1, 2, 3, 4, 567891), "sender": "", "receiver": None},
+        {"sender": 'a "quoted", value', "receiver_operator": "line\nbreak", "price": 0.1 + 0.2},
+        {"sender": "  blanks ", "receiver_operator": "back\\slash", "country": "\\"},
+    ]
+    rows = messages(spark, odd)
+    for result in formats.compare_formats(rows, scratch_path(spark, "values-test")):
+        options = {"multiLine": "true"} if result.format == "csv" else {}
+        back = formats.read_back(rows, result, **options)
+        assert back.exceptAll(rows).isEmpty() and rows.exceptAll(back).isEmpty(), result.format
+
+
 def test_report_is_dated_and_replaced(spark, path):
     root = scratch_path(spark, "report-test")
     frames = full_report(layout.open_mart(spark, path))
