@@ -105,7 +105,13 @@ _CARD = """
 )"""
 
 
-def _statistics(column: str, source: str = "active", digits: int = 6) -> str:
+def _digits(figure: str) -> int:
+    """Digits to compare: quantiles are exact, means depend on the order of addition."""
+    exact = ("median", "min", "max", "range", "q1", "q3", "iqr", "low_fence", "high_fence")
+    return 2 if figure == "total" else 11 if figure.removeprefix("outlier_") in exact else 8
+
+
+def _statistics(column: str, source: str = "active") -> str:
     x = f"CAST({column} AS DOUBLE)"
     figures = {
         "mean": f"avg({x})",
@@ -119,16 +125,16 @@ def _statistics(column: str, source: str = "active", digits: int = 6) -> str:
         "q3": f"quantile_cont({x}, 0.75)",
         "iqr": f"quantile_cont({x}, 0.75) - quantile_cont({x}, 0.25)",
     }
-    listed = ", ".join(f'round({sql}, {digits}) AS "{name}"' for name, sql in figures.items())
+    listed = ", ".join(f'round({sql}, {_digits(name)}) AS "{name}"' for name, sql in figures.items())
     return f"SELECT '{column}' AS \"column\", count({column}) AS \"count\", {listed} FROM {source}"
 
 
 def _outliers(column: str, source: str = "active", prefix: str = "") -> str:
     x = f"CAST({column} AS DOUBLE)"
     return f"""
-    SELECT '{column}' AS "column", round(low, 6) AS {prefix}low_fence, round(high, 6) AS {prefix}high_fence,
+    SELECT '{column}' AS "column", round(low, 11) AS {prefix}low_fence, round(high, 11) AS {prefix}high_fence,
            CAST(count_if({x} < low OR {x} > high) AS BIGINT) AS {prefix}n_outliers,
-           round(CAST(count_if({x} < low OR {x} > high) AS DOUBLE) / count({column}), 6) AS {prefix}share
+           round(CAST(count_if({x} < low OR {x} > high) AS DOUBLE) / count({column}), 8) AS {prefix}share
     FROM {source}, (
         SELECT q1 - 1.5e0 * (q3 - q1) AS low, q3 + 1.5e0 * (q3 - q1) AS high
         FROM (SELECT quantile_cont({x}, 0.25) AS q1, quantile_cont({x}, 0.75) AS q3 FROM {source})
@@ -144,13 +150,13 @@ def _skew(source: str) -> str:
 
 
 def _segments(by: str) -> str:
-    return f"""SELECT {by}, count(price) AS "count", round(avg(price), 6) AS "avg",
-       round(quantile_cont(price, 0.5), 6) AS median, round(sum(price), 2) AS total
+    return f"""SELECT {by}, count(price) AS "count", round(avg(price), 8) AS "avg",
+       round(quantile_cont(price, 0.5), 11) AS median, round(sum(price), 2) AS total
 FROM active GROUP BY {by}"""
 
 
 def _share(predicate: str) -> str:
-    return f"round(avg(CASE WHEN {predicate} THEN 1.0e0 ELSE 0.0e0 END), 6)"
+    return f"round(avg(CASE WHEN {predicate} THEN 1.0e0 ELSE 0.0e0 END), 8)"
 
 
 def _dq() -> str:
@@ -192,10 +198,10 @@ count(sender) AS senders, count(country) AS countries, count(delivery_status) AS
 count(deleted_at) AS deleted, min(sent_date) AS first_sent, max(updated_at) AS last_updated"""
 
 
-def _unpivoted(frame: str, subject: str, figures: list[str], source: str, digits: int) -> str:
+def _unpivoted(frame: str, subject: str, figures: list[str], source: str) -> str:
     return " UNION ALL ".join(
         f"""SELECT '{frame}' AS frame, CAST("{subject}" AS VARCHAR) AS subject, '{figure}' AS figure,
-        round(CAST("{figure}" AS DOUBLE), {digits}) AS "value" FROM {source}"""
+        round(CAST("{figure}" AS DOUBLE), {_digits(figure)}) AS "value" FROM {source}"""
         for figure in figures
     )
 
@@ -212,10 +218,10 @@ def _report() -> str:
         by_country AS ({_segments('country')}), by_customer AS ({_segments('customer_id')}), dq AS ({_dq()}) """
         + " UNION ALL ".join(
             [
-                _unpivoted("summary", "column", [*statistics, *outliers], "summary", 6),
-                _unpivoted("price_by_country", "country", segment, "by_country", 2),
-                _unpivoted("price_by_customer", "customer_id", segment, "by_customer", 2),
-                _unpivoted("dq", "column", ["null_share", "not_defined_share", "deleted_share"], "dq", 6),
+                _unpivoted("summary", "column", [*statistics, *outliers], "summary"),
+                _unpivoted("price_by_country", "country", segment, "by_country"),
+                _unpivoted("price_by_customer", "customer_id", segment, "by_customer"),
+                _unpivoted("dq", "column", ["null_share", "not_defined_share", "deleted_share"], "dq"),
             ]
         )
     )
@@ -377,8 +383,8 @@ ORACLES: dict[str, str] = {
     "delivery_time_by_status_class": _over(
         """SELECT CASE WHEN delivery_status = 'DELIVRD' THEN 'delivered'
                        WHEN delivery_status IN ('SENT', 'UNKNOWN') THEN 'in_flight' ELSE 'failed' END AS status_class,
-               count(delivery_time) AS "count", round(avg(delivery_time), 6) AS "avg",
-               round(quantile_cont(CAST(delivery_time AS DOUBLE), 0.5), 6) AS median
+               count(delivery_time) AS "count", round(avg(delivery_time), 8) AS "avg",
+               round(quantile_cont(CAST(delivery_time AS DOUBLE), 0.5), 11) AS median
         FROM active GROUP BY 1"""
     ),
     "message_key_hash": _over(

@@ -108,21 +108,26 @@ def cohort_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- statistics -------------------------------------------------------------
 
-_STATISTIC_DIGITS = 6
+# Quantiles are values of the data, or between two of them: they are exact, and rounding
+# only removes the last bit. Means and deviations depend on the order of addition.
+_EXACT = {"median", "min", "max", "range", "q1", "q3", "iqr", "low_fence", "high_fence"}
+_EXACT_DIGITS, _SUM_DIGITS, _TOTAL_DIGITS = 11, 8, 2
+
+
+def _digits(figure: str) -> int:
+    if figure == "total":
+        return _TOTAL_DIGITS
+    return _EXACT_DIGITS if figure.removeprefix("outlier_") in _EXACT else _SUM_DIGITS
 
 
 def _rounded(df: DataFrame) -> DataFrame:
     """Doubles rounded, as two engines that add in a different order need."""
     doubles = [name for name, kind in df.dtypes if kind == "double"]
-    return df.withColumns({name: F.round(name, _STATISTIC_DIGITS) for name in doubles})
+    return df.withColumns({name: F.round(name, _digits(name)) for name in doubles})
 
 
 def _segments(by: str) -> Query:
-    def build(messages: DataFrame) -> DataFrame:
-        stats = _rounded(profile.segment_stats(messages, by))
-        return stats.withColumn("total", F.round("total", 2))
-
-    return _on_active([by, "price"], build)
+    return _on_active([by, "price"], lambda messages: _rounded(profile.segment_stats(messages, by)))
 
 
 def event_value_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,10 +276,9 @@ def report_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, subject in subjects.items():
         frame = reports.read_report(spark, root, name).drop("report_date")
         figures = [column for column in frame.columns if column != subject]
-        digits = 2 if name.startswith("price_by") else _STATISTIC_DIGITS
         wide = frame.select(
             F.col(subject).cast("string").alias("subject"),
-            *[F.round(F.col(figure).cast("double"), digits).alias(figure) for figure in figures],
+            *[F.round(F.col(figure).cast("double"), _digits(figure)).alias(figure) for figure in figures],
         )
         long = wide.unpivot(["subject"], figures, "figure", "value")
         parts.append(long.select(F.lit(name).alias("frame"), "subject", "figure", "value"))
