@@ -6,15 +6,17 @@ from pyspark.sql import DataFrame
 
 from ..contract import NULLABLE_COLUMNS, REPORT_COLUMNS
 from ..operators.profile import dq_metrics, numeric_summary, segment_stats
+from ..session import durable
 from ..sources.mart import active
 
 NUMERIC_COLUMNS = ["price", "delivery_time"]
 
 
 def report_rows(messages: DataFrame, limit: int | None = None) -> DataFrame:
-    """The columns the report reads; ``limit`` caps the rows for a quick look."""
+    """The columns the report reads; ``limit`` caps the rows for a quick look. The capped
+    rows are kept, as the report reads them more than once."""
     rows = messages.select(*REPORT_COLUMNS)
-    return rows if limit is None else rows.limit(limit)
+    return rows if limit is None else durable(rows.limit(limit))
 
 
 def full_report(messages: DataFrame, limit: int | None = None) -> dict[str, DataFrame]:

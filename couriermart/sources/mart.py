@@ -93,12 +93,11 @@ def _orders(spark: SparkSession, sf_dir: str, wanted: set[str]) -> DataFrame:
     provided = {name: column for name, column in _order_columns().items() if name in wanted}
     columns = [column.alias(name) for name, column in provided.items()]
     if "country" in wanted:
-        homes = (
-            table(spark, sf_dir, "customer")
-            .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-            .select("c_custkey", country_name().alias("country"))
+        homes = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+        nations = table(spark, sf_dir, "nation").select("n_nationkey", country_name().alias("country"))
+        orders = orders.join(homes, F.col("o_custkey") == F.col("c_custkey"), "left").join(
+            nations, F.col("c_nationkey") == F.col("n_nationkey"), "left"
         )
-        orders = orders.join(homes, F.col("o_custkey") == F.col("c_custkey"), "left")
         columns.append(F.col("country"))
     return orders.select("o_orderkey", *columns)
 

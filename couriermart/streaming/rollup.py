@@ -79,13 +79,13 @@ def rollup_add(messages: DataFrame, root: str, batch_id: int) -> None:
 
 
 def rollup_backfill(messages: DataFrame, root: str) -> bool:
-    """Fill an empty rollup from the messages that are already there. Does nothing, and
-    says so, when the rollup has rows or there are no active messages."""
+    """Fill an empty rollup from the messages that are already there. Leaves a rollup that
+    has rows alone. Returns whether rows were added."""
     spark = messages.sparkSession
-    if not rollup_read(spark, root).isEmpty() or active(messages).isEmpty():
+    if not rollup_read(spark, root).isEmpty():
         return False
     rollup_add(messages, root, BACKFILL_BATCH)
-    return True
+    return not rollup_read(spark, root).isEmpty()
 
 
 def rollup_stream(messages: DataFrame, root: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:

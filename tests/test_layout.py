@@ -90,6 +90,14 @@ def test_top_up_stops_at_the_target(spark):
     assert stored.count() == 7 and stored.select("message_id").distinct().count() == 7
 
 
+def test_top_up_counts_ids_that_come_twice(spark):
+    where = scratch_path(spark, "top-up-twice")
+    source = messages(spark, [{"message_id": f"m{i % 5}"} for i in range(50)])
+    assert layout.top_up(source, where, 23) == 23
+    assert layout.open_mart(spark, where).count() == 23
+    assert layout.top_up(source, scratch_path(spark, "top-up-all"), 99) == 99
+
+
 def test_ensure_creates_once(spark):
     where = scratch_path(spark, "ensure-test")
     assert layout.ensure_mart(spark, where).isEmpty()
