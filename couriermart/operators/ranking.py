@@ -33,20 +33,25 @@ def running_total(df: DataFrame, ts: str, value: str) -> DataFrame:
     ).orderBy("day")
 
 
-def period_growth(df: DataFrame, ts: str, value: str, grain: str = "month") -> DataFrame:
+def period_growth(
+    df: DataFrame, ts: str, value: str, grain: str = "month", with_next: bool = False
+) -> DataFrame:
     """Per period, the sum of ``value``, that of the period before, and the growth in
-    percent. The first period's predecessor is 0, so its growth is NULL.
+    percent; ``with_next`` adds the sum of the period after. The first period's
+    predecessor is 0, so its growth is NULL.
 
     The ordered window has no partition key: it sees one row per period.
     """
     in_order = Window.orderBy(grain)
     amount, before = F.col("amount"), F.col("before")
     periods = _per_period(df, ts, value, grain).withColumn("before", F.lag("amount", 1, 0.0).over(in_order))
+    after = [F.round(F.lead("amount").over(in_order), 2).alias("next_revenue")] if with_next else []
     return periods.select(
         grain,
         F.round(amount, 2).alias("revenue"),
         F.round(before, 2).alias("prev_revenue"),
         F.round(100 * (amount - before) / F.nullif(before, F.lit(0.0)), 2).alias("mom_growth_pct"),
+        *after,
     ).orderBy(grain)
 
 

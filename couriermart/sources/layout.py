@@ -67,6 +67,15 @@ def open_mart(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STORED_SCHEMA).parquet(path)
 
 
+def stream_mart(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """The stored mart as a stream: what is there, then every append. Feeding
+    ``rollup_stream`` from it keeps the rollup up to date with each load."""
+    reader = spark.readStream.schema(STORED_SCHEMA)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path)
+
+
 def ensure_mart(spark: SparkSession, path: str) -> DataFrame:
     """The stored mart, created empty if it is not there."""
     if not path_exists(spark, path):

@@ -5,12 +5,12 @@ from pyspark.sql import functions as F
 
 from conftest import plan_of
 from couriermart.contract import MESSAGE_COLUMNS
-from couriermart.plans.datasets import VIEWS, register_views
+from couriermart.plans.datasets import ensure_datasets
 from couriermart.plans.report import full_report
 from couriermart.session import scratch_path
 from couriermart.sources import formats, layout, reports
 from couriermart.sources.mart import mart
-from couriermart.streaming.rollup import rollup_read
+from couriermart.streaming.rollup import rollup_read, rollup_stream
 from messages import messages
 
 
@@ -57,15 +57,20 @@ def test_files_are_sorted(spark, path):
         assert inside == sorted(inside)
 
 
-def test_id_bloom_filter_is_written(spark, path):
-    plain = scratch_path(spark, "no-bloom")
-    rows = layout.open_mart(spark, path).where("ym = 199605").coalesce(1)
-    rows.write.parquet(plain)
-    with_bloom = scratch_path(spark, "bloom")
-    layout.write_mart(rows, with_bloom, 1)
-    from couriermart.session import path_bytes
+def _rows_scanned(df):
+    """Rows that the file scan of ``df`` hands on, after row groups were skipped."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    return plan.collectLeaves().head().metrics().apply("numOutputRows").value()
 
-    assert path_bytes(spark, with_bloom) > path_bytes(spark, plain)
+
+def test_lookup_skips_row_groups(spark, path):
+    """Every file's smallest and largest id are far apart: only bloom filters can skip."""
+    stored = layout.open_mart(spark, path)
+    some = stored.where("ym = 199605").first().message_id
+    assert _rows_scanned(stored.where("segment_count < 99")) == 6000
+    assert _rows_scanned(layout.lookup(spark, path, some)) < 600
+    assert _rows_scanned(layout.lookup(spark, path, "3-3-333333-3")) < 600
 
 
 def test_append_adds_only_new_ids(spark):
@@ -114,13 +119,39 @@ def test_reload_replaces_the_rollup_too(spark):
 
 
 def test_views_answer_sql(spark, path):
-    register_views(layout.open_mart(spark, path))
-    assert all(spark.catalog.tableExists(name) for name in VIEWS)
-    base, kept = (spark.sql(f"SELECT count(*) FROM {name}").first()[0] for name in VIEWS[:2])
-    assert base == 6000 and 0 < kept < base
+    rollup_root = scratch_path(spark, "views-rollup")
+    for _ in range(2):
+        assert all(ensure_datasets(spark, path, rollup_root).values())
+    base, kept, rolled = (
+        spark.sql(f"SELECT {what}").first()[0]
+        for what in (
+            "count(*) FROM messages_mart", "count(*) FROM messages_mart_active", "sum(msgs) FROM messages_daily",
+        )
+    )
+    assert base == 6000 and 0 < kept < base and rolled == kept
     assert spark.sql("SELECT min(retention_pct) FROM cohort_retention WHERE month_index = 0").first()[0] == 100.0
 
 
+def test_setup_of_nothing(spark):
+    root = scratch_path(spark, "setup-test")
+    assert all(ensure_datasets(spark, f"{root}/mart", f"{root}/rollup").values())
+    assert spark.table("messages_mart").isEmpty() and spark.table("messages_daily").isEmpty()
+
+
+def test_every_append_reaches_the_rollup(spark):
+    root = scratch_path(spark, "append-rollup")
+    where, rollup_root = f"{root}/mart", f"{root}/rollup"
+    layout.ensure_mart(spark, where)
+    loads = [[{"message_id": "a"}, {"message_id": "b", "deleted_at": datetime(2025, 2, 2)}],
+             [{"message_id": "a"}, {"message_id": "c", "sent_date": datetime(2024, 1, 1)}]]
+    for load in loads:
+        layout.append_new(messages(spark, load), where)
+        stream = layout.stream_mart(spark, where, files_per_batch=1)
+        rollup_stream(stream, rollup_root, f"{root}/progress", available_now=True).awaitTermination()
+    got = rollup_read(spark, rollup_root).agg(F.sum("msgs"), F.count("*")).first()
+    assert tuple(got) == (2, 2)
+
+
 def test_formats_agree(spark, path):
     rows = layout.open_mart(spark, path).select(*MESSAGE_COLUMNS)
     results = formats.compare_formats(rows, scratch_path(spark, "formats-test"))

@@ -17,6 +17,8 @@ def test_first_period_has_no_growth(spark):
     first, second = ranking.period_growth(messages(spark, rows), "sent_date", "price").collect()
     assert (first.prev_revenue, first.mom_growth_pct) == (0.0, None)
     assert (second.prev_revenue, second.mom_growth_pct) == (0.4, 50.0)
+    ahead = ranking.period_growth(messages(spark, rows), "sent_date", "price", with_next=True).collect()
+    assert [r.next_revenue for r in ahead] == [0.6, None]
 
 
 def test_running_total(spark):
