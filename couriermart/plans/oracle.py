@@ -67,23 +67,19 @@ def _top(key: str, metric: str, name: str, where: str = "", limit: int = 10) ->
     )
 
 
-_RETENTION = """
-, months AS (
-    SELECT DISTINCT receiver, CAST(date_trunc('month', sent_date) AS DATE) AS month
+_MONTH = "CAST(date_trunc('month', sent_date) AS DATE)"
+
+_RETENTION = f"""
+, contacts AS (
+    SELECT receiver, {_MONTH} AS month, min({_MONTH}) OVER (PARTITION BY receiver) AS cohort_month
     FROM active WHERE receiver IS NOT NULL
-), first_seen AS (
-    SELECT receiver, min(month) AS cohort_month FROM months GROUP BY receiver
-), cohort AS (
-    SELECT cohort_month, date_diff('month', cohort_month, month) AS month_index,
-           count(DISTINCT receiver) AS active_receivers
-    FROM months JOIN first_seen USING (receiver)
-    GROUP BY 1, 2
 ), retention AS (
-    SELECT cohort_month, month_index, active_receivers,
-           first_value(active_receivers) OVER w AS cohort_size,
-           round(100.0e0 * active_receivers / first_value(active_receivers) OVER w, 1) AS retention_pct
-    FROM cohort
-    WINDOW w AS (PARTITION BY cohort_month ORDER BY month_index)
+    SELECT cohort_month, date_diff('month', cohort_month, month) AS month_index,
+           count(DISTINCT receiver) AS active_receivers,
+           max(count(DISTINCT receiver)) FILTER (WHERE month = cohort_month) OVER (PARTITION BY cohort_month)
+               AS cohort_size,
+           round(100.0e0 * active_receivers / cohort_size, 1) AS retention_pct
+    FROM contacts GROUP BY cohort_month, month
 )"""
 
 _ROLLUP = f"""
@@ -227,12 +223,12 @@ def _report() -> str:
     )
 
 
-def _ranked_revenue(rank: str) -> str:
-    return f""", per_country AS (
-    SELECT CAST(date_trunc('month', sent_date) AS DATE) AS month, country,
-           round(sum(price), 2) AS revenue, count(*) AS sms
-    FROM active GROUP BY 1, 2
-), ranked AS (SELECT *, CAST({rank} AS INTEGER) AS rnk FROM per_country)"""
+def _leaders(figures: str, rank: str) -> str:
+    """The top three countries of each month; ``rank`` orders a month's countries."""
+    return _over(
+        f"""SELECT {_MONTH} AS month, country, {figures}, CAST({rank} AS INTEGER) AS rnk
+        FROM active GROUP BY 1, 2 QUALIFY rnk <= 3"""
+    )
 
 
 ORACLES: dict[str, str] = {
@@ -286,52 +282,42 @@ ORACLES: dict[str, str] = {
     ),
     "rollup_stream_daily": _over(_ROLLUP + " SELECT * FROM rollup_rows"),
     "revenue_running_total": _over(
-        """, daily AS (SELECT CAST(sent_date AS DATE) AS day, sum(price) AS revenue FROM active GROUP BY 1)
-        SELECT day, round(revenue, 2) AS revenue,
-               round(sum(revenue) OVER (ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2)
-                   AS revenue_cumulative
-        FROM daily"""
+        """SELECT CAST(sent_date AS DATE) AS day, round(sum(price), 2) AS revenue,
+               round(sum(sum(price)) OVER (ORDER BY CAST(sent_date AS DATE)), 2) AS revenue_cumulative
+        FROM active GROUP BY 1"""
     ),
     "revenue_mom": _over(
-        """, monthly AS (
-            SELECT CAST(date_trunc('month', sent_date) AS DATE) AS month, sum(price) AS revenue
+        f"""SELECT month, round(now, 2) AS revenue, round(before, 2) AS prev_revenue,
+               CASE WHEN before <> 0 THEN round(100 * (now - before) / before, 2) END AS mom_growth_pct
+        FROM (
+            SELECT {_MONTH} AS month, sum(price) AS now,
+                   lag(sum(price), 1, 0.0e0) OVER (ORDER BY {_MONTH}) AS before
             FROM active GROUP BY 1
-        ), paired AS (
-            SELECT month, revenue, lag(revenue, 1, 0.0e0) OVER (ORDER BY month) AS prev_revenue FROM monthly
-        )
-        SELECT month, round(revenue, 2) AS revenue, round(prev_revenue, 2) AS prev_revenue,
-               round(100 * (revenue - prev_revenue) / nullif(prev_revenue, 0), 2) AS mom_growth_pct
-        FROM paired"""
+        )"""
     ),
-    "top3_countries_by_month": _over(
-        _ranked_revenue("row_number() OVER (PARTITION BY month ORDER BY revenue DESC, country ASC NULLS LAST)")
-        + " SELECT month, country, revenue, sms, rnk FROM ranked WHERE rnk <= 3"
-    ),
-    "rank_countries": _over(
-        _ranked_revenue("rank() OVER (PARTITION BY month ORDER BY sms DESC)")
-        + " SELECT month, country, sms, rnk FROM ranked WHERE rnk <= 3"
+    "top3_countries_by_month": _leaders(
+        "round(sum(price), 2) AS revenue, count(*) AS sms",
+        f"row_number() OVER (PARTITION BY {_MONTH} ORDER BY round(sum(price), 2) DESC, country ASC NULLS LAST)",
     ),
+    "rank_countries": _leaders("count(*) AS sms", f"rank() OVER (PARTITION BY {_MONTH} ORDER BY count(*) DESC)"),
     "customer_tiers": _over(
-        """, per_customer AS (
-            SELECT customer_id, round(sum(price), 2) AS revenue, count(*) AS sms FROM active GROUP BY 1
-        )
-        SELECT customer_id, revenue, sms,
-               CAST(ntile(4) OVER (ORDER BY revenue DESC, customer_id) AS INTEGER) AS revenue_quartile,
-               CAST(dense_rank() OVER (ORDER BY revenue DESC) AS INTEGER) AS revenue_rank
-        FROM per_customer"""
+        """SELECT customer_id, round(sum(price), 2) AS revenue, count(*) AS sms,
+               CAST(ntile(4) OVER (ORDER BY round(sum(price), 2) DESC, customer_id) AS INTEGER) AS revenue_quartile,
+               CAST(dense_rank() OVER (ORDER BY round(sum(price), 2) DESC) AS INTEGER) AS revenue_rank
+        FROM active GROUP BY customer_id"""
     ),
     "cohort_retention": _over(_RETENTION + " SELECT * FROM retention"),
     "receiver_lifecycle": _over(
-        """, per_receiver AS (
-            SELECT receiver, count(*) AS sms,
-                   date_diff('day', max(sent_date), (SELECT max(sent_date) FROM active)) AS age
+        """, known AS (
+            SELECT count(*) = 1 AS once, (SELECT max(sent_date) FROM active) AS newest, max(sent_date) AS latest
             FROM active WHERE receiver IS NOT NULL GROUP BY receiver
         )
-        SELECT CASE WHEN age > 90 THEN 'churned' WHEN age > 60 THEN 'inactive'
-                    WHEN sms = 1 THEN 'new' ELSE 'active' END AS lifecycle_stage,
+        SELECT CASE WHEN latest::DATE < newest::DATE - 90 THEN 'churned'
+                    WHEN latest::DATE < newest::DATE - 60 THEN 'inactive'
+                    WHEN once THEN 'new' ELSE 'active' END AS lifecycle_stage,
                count(*) AS receivers,
-               round(100.0e0 * count(*) / (SELECT count(*) FROM per_receiver), 1) AS share_pct
-        FROM per_receiver GROUP BY 1"""
+               round(100.0e0 * count(*) / (SELECT count(*) FROM known), 1) AS share_pct
+        FROM known GROUP BY 1"""
     ),
     "describe_price": _over(_statistics("price")),
     "describe_delivery_time": _over(_statistics("delivery_time")),
