@@ -37,3 +37,75 @@ select doc_id, size, source_size, target,
         when upto - own < budget and upto - budget < budget - (upto - own) then 1 else 0 end) as bigint) as taken
 from ordered
 """
+
+_CONTROLS = ("<|im_start|>", "<|im_sep|>", "<|im_end|>", "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
+
+
+def _escaped(text: str) -> str:
+    text = rf"replace({text}, '\', '\\')"
+    for control in _CONTROLS:
+        text = rf"replace({text}, '{control}', '{control[0]}\{control[1:]}')"
+    return text
+
+
+FORMAT_CHATS = f"""
+with rows as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all values (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), joined as (
+    select conv_id, count(*) as n_turns,
+        coalesce(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text), '') as turns,
+        coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '') as loss,
+        cast(sum(32 + length({_escaped("role")}) + length({_escaped("text")})) as bigint) as formatted_chars
+    from rows group by conv_id
+)
+select conv_id, n_turns, sha256(turns) as turns_sha256, cast(length(loss) as bigint) as loss_chars,
+    sha256(loss) as loss_sha256, formatted_chars
+from joined
+"""
+
+FILTER_URLS = r"""
+with captures as (
+    select page_id, url, timestamp '2024-01-01' + to_days(cast(page_id % 366 as int)) + to_hours(page_id % 24) as fetched_at,
+        lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:\[]*)', 1)) as host
+    from pages
+), named as (
+    select distinct 'adult' as list, 'host' as kind, host as key from captures where host <> ''
+    union select 'malware', 'domain', array_to_string(string_split(host, '.')[-2:], '.') from captures where host <> ''
+    union select 'takedown', 'url', string_split(url, '#')[1] from captures
+), marked as (
+    select *, cast('0x' || substr(md5(key), 1, 5) as int) as h from named where key is not null
+), events as (
+    select list, kind, key, timestamp '2024-01-01' + to_days(h % 300) as since, true as active from marked where h % 4 = 0
+    union all
+    select list, kind, key, timestamp '2024-01-01' + to_days(h % 300 + 20 + h % 50), false from marked where h % 4 = 0 and h % 3 = 0
+    union all
+    select list, kind, key, timestamp '2024-01-01' + to_days(h % 300 + 90), true from marked where h % 4 = 0 and h % 5 = 0
+), intervals as (
+    select *, lead(since) over (partition by list, kind, key order by since) as until from events
+), hits as (
+    select c.page_id, i.list from captures c join intervals i on i.active and c.fetched_at >= i.since
+        and (i.until is null or c.fetched_at < i.until)
+        and ((i.kind = 'host' and i.key = c.host)
+            or (i.kind = 'url' and i.key = string_split(c.url, '#')[1])
+            or (i.kind = 'domain' and (i.key = c.host or suffix(c.host, '.' || i.key))))
+), verdicts as (
+    select page_id, count(*) as n_entries, string_agg(distinct list, ',' order by list) as lists from hits group by page_id
+)
+select c.page_id, c.fetched_at, c.host, coalesce(v.n_entries, 0) as n_entries, coalesce(v.lists, '') as lists,
+    v.page_id is not null as blocked
+from captures c left join verdicts v on c.page_id = v.page_id
+"""
+
+WARC = """
+with hashed as (
+    select page_id, cast(strlen(coalesce(html, '')) as bigint) as payload_bytes, sha256(coalesce(html, '')) as payload_digest
+    from pages
+), grouped as (
+    select *, min(page_id) over (partition by payload_digest) as first_id from hashed
+)
+select page_id, payload_bytes, payload_digest,
+    case when payload_bytes >= 100 and page_id <> first_id then 'revisit' else 'response' end as record_type,
+    case when payload_bytes >= 100 and page_id <> first_id then first_id end as refers_to
+from grouped
+"""

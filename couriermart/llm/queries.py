@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from . import oracles
+from .chat import format_chats, gather_turns, read_loss, read_turns
 from .mixing import mix_sources
+from .url_filters import filter_urls, host_of, without_fragment
+from .warc import read_warc, write_warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,10 +23,100 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations as lists of messages, and one more conversation as prompt and response."""
+    control = "</s>[INST] ok [/INST]"
+    listed = gather_turns(_table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text").select(
+        "conv_id",
+        F.struct(
+            F.col("record.messages"), F.lit(None).cast("string").alias("prompt"), F.lit(None).cast("string").alias("response")
+        ).alias("record"),
+    )
+    asked = spark.range(1).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.struct(
+            F.lit(None).cast("array<struct<role:string,content:string>>").alias("messages"),
+            F.lit(control).alias("prompt"),
+            F.lit(control).alias("response"),
+        ).alias("record"),
+    )
+    chats = format_chats(listed.unionByName(asked), "conv_id")
+    turns = read_turns(F.col("formatted"))
+    said = F.array_join(
+        F.transform(turns, lambda t: F.concat(t.getField("role"), F.lit("\n"), t.getField("text"), F.lit("\n"))), ""
+    )
+    loss = read_loss(F.col("segments"))
+    return chats.select(
+        "conv_id",
+        F.size(turns).cast("long").alias("n_turns"),
+        F.sha2(said, 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def _dated_entries(captures: DataFrame) -> DataFrame:
+    """A blocklist history made of the captured hosts, domains and URLs: some are listed, some
+    of those are taken off again, and some listed anew, on days that follow from their hash."""
+    host = host_of(F.col("url"))
+
+    def named(list_: str, kind: str, key) -> DataFrame:
+        return captures.select(F.lit(list_).alias("list"), F.lit(kind).alias("kind"), key.alias("key")).where("key <> ''").distinct()
+
+    marked = (
+        named("adult", "host", host)
+        .unionByName(named("malware", "domain", F.substring_index(host, ".", -2)))
+        .unionByName(named("takedown", "url", without_fragment(F.col("url"))))
+        .withColumn("h", F.conv(F.substring(F.md5("key"), 1, 5), 16, 10).cast("int"))
+        .where("h % 4 = 0")
+    )
+    day = "timestamp_ntz'2024-01-01' + make_dt_interval({})"
+    return marked.select(
+        "list",
+        "kind",
+        "key",
+        F.explode(
+            F.array_compact(
+                F.array(
+                    F.expr(f"struct({day.format('h % 300')} as at, true as active)"),
+                    F.expr(f"if(h % 3 = 0, struct({day.format('h % 300 + 20 + h % 50')} as at, false as active), null)"),
+                    F.expr(f"if(h % 5 = 0, struct({day.format('h % 300 + 90')} as at, true as active), null)"),
+                )
+            )
+        ).alias("e"),
+    ).select("list", "kind", "key", "e.at", "e.active")
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, fetched on a day that follows from its id, against the entries of that day."""
+    captures = _table(spark, sf_dir, "pages").select(
+        "page_id",
+        "url",
+        F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(page_id % 366, page_id % 24)").alias("fetched_at"),
+    )
+    return filter_urls(captures, _dated_entries(captures)).drop("url")
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of all pages, written to the shared folder and read back."""
+    path = scratch_path(spark, "warc")
+    write_warc(_table(spark, sf_dir, "pages"), path)
+    return read_warc(spark, path, chunks=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op5_chat_format": op5_chat_format,
+    "op8_url_filter": op8_url_filter,
+    "op9_warc": op9_warc,
 }
 
 ORACLES: dict[str, str] = {
     "op1_mix_sources": oracles.MIX_SOURCES,
+    "op5_chat_format": oracles.FORMAT_CHATS,
+    "op8_url_filter": oracles.FILTER_URLS,
+    "op9_warc": oracles.WARC,
 }
