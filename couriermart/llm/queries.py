@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from . import oracles
 from .chat import format_chats, gather_turns, read_loss, read_turns
+from .decontaminate import find_contamination
 from .mixing import mix_sources
 from .url_filters import filter_urls, host_of, without_fragment
 from .warc import read_warc, write_warc
@@ -23,6 +24,18 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The conversations as lists of messages, and one more conversation as prompt and response."""
     control = "</s>[INST] ok [/INST]"
@@ -109,6 +122,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_decontaminate": op2_decontaminate,
     "op5_chat_format": op5_chat_format,
     "op8_url_filter": op8_url_filter,
     "op9_warc": op9_warc,
