@@ -12,6 +12,7 @@ from . import oracles
 from .chat import format_chats, gather_turns, read_loss, read_turns
 from .decontaminate import find_contamination
 from .mixing import mix_sources
+from .toxicity import TOXIC_SCORE, fit, is_held_out, score_texts
 from .url_filters import filter_urls, host_of, without_fragment
 from .warc import read_warc, write_warc
 
@@ -36,6 +37,18 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents, by a model that has not seen the labels of held-out rows."""
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = fit(documents, labels.where(~is_held_out(F.col("doc_id"))))
+    return score_texts(documents, model).select(
+        "doc_id",
+        is_held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= TOXIC_SCORE, 1).otherwise(0).cast("int").alias("predicted"),
+    )
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The conversations as lists of messages, and one more conversation as prompt and response."""
     control = "</s>[INST] ok [/INST]"
@@ -123,6 +136,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_decontaminate": op2_decontaminate,
+    "op3_toxicity": op3_toxicity,
     "op5_chat_format": op5_chat_format,
     "op8_url_filter": op8_url_filter,
     "op9_warc": op9_warc,

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -49,12 +48,27 @@ class Words:
         return np.diff(self.first)
 
 
-@lru_cache(maxsize=2)
+class _Kept(dict):
+    """Tables of one process; they do not travel with a job."""
+
+    def __reduce__(self):
+        return _Kept, ()
+
+
+_tables = _Kept()
+
+
 def _powers(length: int) -> tuple[np.ndarray, np.ndarray]:
-    with np.errstate(over="ignore"):
-        up, down = np.full(length + 1, _BASE, np.uint64), np.full(length + 1, _INVERSE, np.uint64)
-        up[0] = down[0] = 1
-        return np.cumprod(up), np.cumprod(down)
+    """The powers of the base and of its inverse."""
+    if length > PART_BYTES or length not in _tables:
+        with np.errstate(over="ignore"):
+            up, down = np.full(length + 1, _BASE, np.uint64), np.full(length + 1, _INVERSE, np.uint64)
+            up[0] = down[0] = 1
+            made = np.cumprod(up), np.cumprod(down)
+        if length > PART_BYTES:
+            return made
+        _tables[length] = made
+    return _tables[length]
 
 
 def mix(values: np.ndarray) -> np.ndarray:
