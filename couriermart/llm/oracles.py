@@ -109,3 +109,18 @@ select page_id, payload_bytes, payload_digest,
     case when payload_bytes >= 100 and page_id <> first_id then first_id end as refers_to
 from grouped
 """
+
+TOPK = """
+with v as (
+    select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as double)) as v
+    from embeddings
+    where embedding is not null and len(embedding) > 0
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+    select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.v, c.v) as bigint) as score
+    from v q join v c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id
+), ranked as (
+    select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""

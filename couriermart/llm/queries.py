@@ -12,6 +12,7 @@ from . import oracles
 from .chat import format_chats, gather_turns, read_loss, read_turns
 from .decontaminate import find_contamination
 from .mixing import mix_sources
+from .topk import topk_inner
 from .toxicity import TOXIC_SCORE, fit, is_held_out, score_texts
 from .url_filters import filter_urls, host_of, without_fragment
 from .warc import read_warc, write_warc
@@ -49,6 +50,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_inner(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The conversations as lists of messages, and one more conversation as prompt and response."""
     control = "</s>[INST] ok [/INST]"
@@ -137,6 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_decontaminate": op2_decontaminate,
     "op3_toxicity": op3_toxicity,
+    "op4_topk": op4_topk,
     "op5_chat_format": op5_chat_format,
     "op8_url_filter": op8_url_filter,
     "op9_warc": op9_warc,
@@ -144,6 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op1_mix_sources": oracles.MIX_SOURCES,
+    "op4_topk": oracles.TOPK,
     "op5_chat_format": oracles.FORMAT_CHATS,
     "op8_url_filter": oracles.FILTER_URLS,
     "op9_warc": oracles.WARC,
