@@ -11,6 +11,7 @@ from ..session import scratch_path
 from . import oracles
 from .chat import format_chats, gather_turns, read_loss, read_turns
 from .decontaminate import find_contamination
+from .jaccard import near_duplicates
 from .mixing import mix_sources
 from .topk import topk_inner
 from .toxicity import TOXIC_SCORE, fit, is_held_out, score_texts
@@ -119,6 +120,10 @@ def _dated_entries(captures: DataFrame) -> DataFrame:
     ).select("list", "kind", "key", "e.at", "e.active")
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page, fetched on a day that follows from its id, against the entries of that day."""
     captures = _table(spark, sf_dir, "pages").select(
@@ -144,6 +149,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_topk": op4_topk,
     "op5_chat_format": op5_chat_format,
+    "op6_jaccard_join": op6_jaccard_join,
     "op8_url_filter": op8_url_filter,
     "op9_warc": op9_warc,
 }

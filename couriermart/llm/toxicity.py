@@ -126,9 +126,20 @@ def excesses(column: pa.Array, toxic, ordinary, noises: tuple[int, ...]) -> np.n
     return np.concatenate(found) if found else np.zeros((0, len(noises)))
 
 
-def _sample(labelled: DataFrame, toxic: int, most: int) -> DataFrame:
-    """At most ``most`` rows of a class, by a hash of the id: the same in every run."""
-    return labelled.where(F.col("toxic") == toxic).orderBy(F.md5(F.col("doc_id").cast("string")), "text").limit(most)
+def _sample(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc_id, toxic, text`` of the labelled documents that a model learns from.
+
+    Ids are chosen by a hash, the same in every run, before any text is read; they are so
+    few that they are sent to the documents. Of the texts of one id the smallest is taken.
+    """
+    known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.max("toxic").cast("int").alias("toxic")
+    )
+    order = F.md5(F.col("doc_id").cast("string"))
+    chosen = known.where("toxic = 1").orderBy(order).limit(FIT_TOXIC).unionByName(
+        known.where("toxic = 0").orderBy(order).limit(FIT_ORDINARY)
+    )
+    return documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
 
 def _contexts(sample: DataFrame) -> DataFrame:
@@ -180,12 +191,10 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model | None:
 
     It is fitted on at most ``FIT_TOXIC`` and ``FIT_ORDINARY`` labelled documents, whole
     texts; only words that fit into the dictionaries and a few numbers for each calibrating
-    document come to the driver. Rows without label or id teach nothing.
+    document come to the driver. Rows without label or id teach nothing; of several labels of
+    one document the toxic one counts.
     """
-    labelled = documents.select("doc_id", "text").join(
-        labels.where(F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct(), "doc_id"
-    )
-    sample = durable(_sample(labelled, 1, FIT_TOXIC).unionByName(_sample(labelled, 0, FIT_ORDINARY)).repartition(8, "doc_id"))
+    sample = durable(_sample(documents, labels))
     part = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("part")), F.lit(CALIBRATION_PART))
     contexts = durable(_contexts(sample.where(part != 0)))
     totals = contexts.agg(F.sum("toxic").alias("t"), F.sum("ordinary").alias("o")).first()
