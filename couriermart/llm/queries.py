@@ -12,6 +12,7 @@ from . import oracles
 from .chat import format_chats, gather_turns, read_loss, read_turns
 from .decontaminate import find_contamination
 from .jaccard import near_duplicates
+from .line_dedup import dedup_lines
 from .mixing import mix_sources
 from .topk import topk_inner
 from .toxicity import TOXIC_SCORE, fit, is_held_out, score_texts
@@ -124,6 +125,11 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deduped = dedup_lines(_table(spark, sf_dir, "documents"))
+    return deduped.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page, fetched on a day that follows from its id, against the entries of that day."""
     captures = _table(spark, sf_dir, "pages").select(
@@ -150,6 +156,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_topk": op4_topk,
     "op5_chat_format": op5_chat_format,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_line_dedup": op7_line_dedup,
     "op8_url_filter": op8_url_filter,
     "op9_warc": op9_warc,
 }
