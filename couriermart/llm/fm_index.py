@@ -58,8 +58,9 @@ class WaveletTree:
         return symbols, at
 
 
-def suffix_order(text: np.ndarray, largest: int) -> np.ndarray:
-    """Positions by what follows them up to the next 0, then by position."""
+def suffix_order(text: np.ndarray, largest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions by what follows them up to the next 0, then by position; and the place of each
+    position in that order, one place for all that are followed by the same."""
     size = len(text)
     stops = np.flatnonzero(text == 0)
     left = stops[np.searchsorted(stops, np.arange(size))] - np.arange(size)
@@ -81,7 +82,7 @@ def suffix_order(text: np.ndarray, largest: int) -> np.ndarray:
         slots = np.flatnonzero(shared)
         slots = slots[left[order[slots]] >= step]
         if not len(slots):
-            return order
+            return order, place
         own = order[slots]
         following = place[own + step]
         group = place[own]
@@ -99,7 +100,7 @@ class FMIndex:
     """``text`` holds numbers from 1 to ``largest`` in pieces that each end with a 0."""
 
     def __init__(self, text: np.ndarray, largest: int) -> None:
-        order = suffix_order(text, largest)
+        order, _ = suffix_order(text, largest)
         levels = max(1, int(largest).bit_length())
         self.tree = WaveletTree(text[order - 1].astype(np.int64), levels)
         self.smaller = np.zeros(largest + 2, np.int64)

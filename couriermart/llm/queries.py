@@ -14,6 +14,7 @@ from .decontaminate import find_contamination
 from .jaccard import near_duplicates
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
+from .suffix_dedup import dedup_strings
 from .topk import topk_inner
 from .toxicity import TOXIC_SCORE, fit, is_held_out, score_texts
 from .url_filters import filter_urls, host_of, without_fragment
@@ -149,6 +150,18 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deduped = dedup_strings(_table(spark, sf_dir, "documents"))
+    length = F.aggregate("removed", F.lit(0).cast("long"), lambda n, span: n + span.getField("end") - span.getField("start"))
+    return deduped.select(
+        "doc_id",
+        "n_bytes",
+        length.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_decontaminate": op2_decontaminate,
@@ -159,6 +172,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_line_dedup": op7_line_dedup,
     "op8_url_filter": op8_url_filter,
     "op9_warc": op9_warc,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLES: dict[str, str] = {
