@@ -17,7 +17,6 @@ class Metric:
     """A named aggregate and the columns it reads."""
 
     name: str
-    label: str
     reads: tuple[str, ...]
     build: Callable[[], Column]
 
@@ -36,33 +35,33 @@ def _is_delivered() -> Column:
 METRICS: dict[str, Metric] = {
     metric.name: metric
     for metric in (
-        Metric("count_messages", "SMS count", ("message_id",), lambda: F.count("message_id")),
-        Metric("count", "COUNT(*)", (), lambda: F.count("*")),
+        Metric("count_messages", ("message_id",), lambda: F.count("message_id")),
+        Metric("count", (), lambda: F.count("*")),
         # Adds prices across currencies on purpose: there is no conversion.
-        Metric("revenue", "Revenue", ("price",), lambda: F.round(_revenue(), 2)),
+        Metric("revenue", ("price",), lambda: F.round(_revenue(), 2)),
         # Of the rows whose status is known.
         Metric(
-            "delivery_rate_pct", "Delivery rate %", ("delivery_status",),
+            "delivery_rate_pct", ("delivery_status",),
             lambda: F.round(100 * known_fraction(_is_delivered()), 2),
         ),
         Metric(
-            "avg_delivery_time", "Avg delivery time (ms)", ("delivery_time",),
+            "avg_delivery_time", ("delivery_time",),
             lambda: F.round(F.avg("delivery_time"), 0),
         ),
         # Of all rows, so this and the delivery rate add up to 100 only without NULL statuses.
         Metric(
-            "failed_rate_pct", "Failed rate %", ("delivery_status",),
+            "failed_rate_pct", ("delivery_status",),
             lambda: percent(F.count_if(~_is_delivered()), F.count("*"), 2),
         ),
         # NULL when nothing was delivered.
         Metric(
-            "cost_per_delivered", "Cost per delivered", ("price", "delivery_status"),
+            "cost_per_delivered", ("price", "delivery_status"),
             lambda: F.round(F.try_divide(_revenue(), F.count_if(_is_delivered())), 4),
         ),
         # Of the cohort dataset, which is aggregated already.
-        Metric("retention_pct_max", "Retention %", ("retention_pct",), lambda: F.max("retention_pct")),
+        Metric("retention_pct_max", ("retention_pct",), lambda: F.max("retention_pct")),
         Metric(
-            "active_receivers_max", "Active receivers", ("active_receivers",), lambda: F.max("active_receivers")
+            "active_receivers_max", ("active_receivers",), lambda: F.max("active_receivers")
         ),
     )
 }

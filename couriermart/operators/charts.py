@@ -15,7 +15,6 @@ from ..functions.dates import day, month_start
 from ..functions.metrics import METRICS, metric_inputs
 
 GRAINS = {"day": day, "month": month_start}
-DEFAULT_ROW_LIMIT = 10000
 
 
 @dataclass(frozen=True)
@@ -26,10 +25,11 @@ class Filters:
     sent_from: datetime | None = None
     sent_to: datetime | None = None
     equals: Mapping[str, object] = field(default_factory=dict)
+    among: Mapping[str, Sequence] = field(default_factory=dict)
 
     @property
     def columns(self) -> list[str]:
-        used = set(self.equals)
+        used = {*self.equals, *[name for name, values in self.among.items() if values]}
         if self.customers:
             used.add("customer_id")
         if self.sent_from or self.sent_to:
@@ -39,7 +39,7 @@ class Filters:
 
 def apply_filters(messages: DataFrame, filters: Filters) -> DataFrame:
     """``messages`` narrowed by the customers, the time range (both ends included) and
-    the clicked categories, all at once. On a month-partitioned table the range also
+    the clicked or selected categories, all at once; None among them selects NULL. On a month-partitioned table the range also
     limits the months that are read."""
     predicates: list[Column] = []
     if filters.customers:
@@ -55,6 +55,11 @@ def apply_filters(messages: DataFrame, filters: Filters) -> DataFrame:
             predicates.append(months >= month if is_lower else months <= month)
     for name, value in filters.equals.items():
         predicates.append(F.col(name).isNull() if value is None else F.col(name) == value)
+    for name, values in filters.among.items():
+        known = [value for value in values if value is not None]
+        if values:
+            chosen = F.col(name).isin(known)
+            predicates.append(chosen if len(known) == len(values) else chosen | F.col(name).isNull())
     return messages.where(reduce(and_, predicates)) if predicates else messages
 
 
@@ -66,7 +71,7 @@ class Chart:
     group_by: tuple[str, ...] = ()
     time_grain: str | None = None
     excluded: Mapping[str, tuple] = field(default_factory=dict)
-    row_limit: int = DEFAULT_ROW_LIMIT
+    row_limit: int | None = None
 
     @property
     def columns(self) -> list[str]:
@@ -85,13 +90,14 @@ def chart_query(
     group_by: Sequence[str] = (),
     time_grain: str | None = None,
     where: Sequence[Column] = (),
-    row_limit: int = DEFAULT_ROW_LIMIT,
+    row_limit: int | None = None,
     order_desc: bool = True,
 ) -> DataFrame:
     """One aggregation over ``messages``.
 
     A time grain adds a leading ``day`` or ``month`` key and sorts by it; otherwise
-    groups are sorted by the first metric, ties by the group's own key, NULL last.
+    groups are sorted by the first metric, ties by the group's own key, NULL last. All
+    groups are returned unless ``row_limit`` asks for the top ones.
     """
     rows = messages.where(reduce(and_, where)) if where else messages
     keys = [F.col(name) for name in group_by]
@@ -104,7 +110,8 @@ def chart_query(
     ties = [F.col(name).asc_nulls_last() for name in names]
     lead = F.col(metrics[0]).desc_nulls_last() if order_desc else F.col(metrics[0]).asc_nulls_last()
     order = ties if time_grain else [lead, *ties]
-    return rows.groupBy(*keys).agg(*values).orderBy(*order).limit(row_limit)
+    ordered = rows.groupBy(*keys).agg(*values).orderBy(*order)
+    return ordered if row_limit is None else ordered.limit(row_limit)
 
 
 def run_chart(messages: DataFrame, chart: Chart, filters: Filters | None = None) -> DataFrame:

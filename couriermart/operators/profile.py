@@ -4,7 +4,7 @@ Exact quantiles need the rows at certain ranks, and sorting a column of any size
 find six of them would be a waste. Pass one takes a mergeable quantile sketch, whose
 error is bounded, so that each quantile is known to lie in a narrow bracket. Pass two
 counts and sums the values between the brackets and keeps the distinct values inside
-them, and only those are sorted. Both passes combine on the map side: what is shuffled
+them, and only those are sorted, in ranges of their own. Both passes combine on the map side: what is shuffled
 is a few rows per task plus the brackets' content, a few thousandths of a segment's
 distinct values at most, however large or skewed the segments are.
 """
@@ -29,8 +29,8 @@ QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 # the neighbours of a bracket are at most one rank away.
 ACCURACY = 10000
 BRACKET_MARGIN = 4
-# Per-key tables of up to this many rows, of about 100 bytes, are broadcast.
-BROADCAST_KEYS = 50000
+# Per-key tables of up to so many bytes, written out as text, are broadcast.
+BROADCAST_BYTES = 8 * 2**20
 SALTS = 32
 
 STATISTICS = [
@@ -41,7 +41,9 @@ OUTLIER_STATISTICS = ["low_fence", "high_fence", "n_outliers", "share"]
 
 def stacked(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """One row per row and column of ``df``: the ``by`` columns, ``column`` and ``value``."""
-    values = df.select(*by, *[F.col(name).cast("double").alias(f"__{name}") for name in columns])
+    # NaN is no value: it would make every sum and mean NaN.
+    numbers = [F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double")).alias(f"__{name}") for name in columns]
+    values = df.select(*by, *numbers)
     long = values.unpivot(list(by), [f"__{name}" for name in columns], "column", "value")
     return long.withColumn("column", F.substring("column", 3, 1000))
 
@@ -58,11 +60,12 @@ def _sketch(values: DataFrame, keys: list[str], quantiles: dict[str, float], acc
 def _attach_sized(rows: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
     """``rows`` with the columns of a stored per-key table.
 
-    The table is broadcast only when counting shows that it is small. Beyond that both
+    The table is broadcast only when its measured size is small. Beyond that both
     sides are shuffled by key and input partition, so that the rows of a key, however
     many, are spread over ``SALTS`` tasks.
     """
-    if small.count() <= BROADCAST_KEYS:
+    size = small.agg(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes")).first().bytes or 0
+    if size <= BROADCAST_BYTES:
         return attach(rows, F.broadcast(small), keys)
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     salted = rows.withColumn("salt", F.spark_partition_id() % SALTS)
@@ -94,6 +97,28 @@ def _zones(values: DataFrame, brackets: DataFrame, keys: list[str], n_quantiles:
     )
 
 
+def _ranked(zones: DataFrame, keys: list[str]) -> DataFrame:
+    """``zones`` with the ranks ``first`` and ``last`` that each row spans within its key.
+
+    The rows are cut into ranges by key and value; a range is ranked by one task, then
+    shifted by the rows of its key in the ranges before. The window over ranges sees as
+    many rows as there are partitions.
+    """
+    ranges = durable(
+        zones.repartitionByRange(*keys, "zone", "kept").withColumn("slice", F.spark_partition_id())
+    )
+    before = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranges.groupBy(*keys, "slice").agg(F.sum("n").alias("rows"))
+    shifts = sizes.select(*keys, "slice", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("shift"))
+    inside = Window.partitionBy(*keys, "slice").orderBy("zone", "kept")
+    upto = F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (
+        attach(ranges, shifts, [*keys, "slice"])
+        .withColumn("last", upto + F.col("shift"))
+        .withColumn("first", F.col("last") - F.col("n"))
+    )
+
+
 def summarise(
     values: DataFrame,
     keys: Sequence[str],
@@ -106,9 +131,7 @@ def summarise(
     sketch = durable(_sketch(values, keys, quantiles, accuracy))
     zones = _zones(values, sketch, keys, len(quantiles))
 
-    in_order = Window.partitionBy(*keys).orderBy("zone", "kept")
-    last = F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = zones.withColumn("last", last).withColumn("first", F.col("last") - F.col("n"))
+    ranked = _ranked(zones, keys)
 
     def at(rank: Column) -> Column:
         rank = rank.cast("long")

@@ -13,11 +13,16 @@ from ..sources.mart import active
 
 
 def top_countries_by_month(messages: DataFrame, n: int = 3) -> DataFrame:
-    """The ``n`` countries with the highest revenue in each month, ties by name."""
+    """The ``n`` countries with the highest revenue in each month, ties by name.
+
+    They are ranked by exact decimal sums; only what is shown is rounded.
+    """
     per_country = messages.groupBy(month_start("sent_date").alias("month"), "country").agg(
-        F.round(F.sum(F.col("price").cast("double")), 2).alias("revenue"), F.count("*").alias("sms")
+        F.round(F.sum(F.col("price").cast("double")), 2).alias("revenue"),
+        F.count("*").alias("sms"),
+        F.sum(F.col("price").cast("decimal(18,9)")).alias("exact"),
     )
-    order = [F.desc("revenue"), F.asc_nulls_last("country")]
+    order = [F.desc("exact"), F.asc_nulls_last("country")]
     top = top_n_per_group(per_country, ["month"], order, n)
     return top.select("month", "country", "revenue", "sms", "rnk").orderBy("month", "rnk")
 

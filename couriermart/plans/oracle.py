@@ -60,10 +60,11 @@ def _number(metric: str) -> str:
     return _over(f"SELECT {metric} FROM active")
 
 
-def _top(key: str, metric: str, name: str, where: str = "", limit: int = 10) -> str:
+def _top(key: str, metric: str, name: str, where: str = "", limit: int | None = 10) -> str:
+    top = f"LIMIT {limit}" if limit else ""
     return _over(
         f"SELECT {key}, {metric} FROM active {where} GROUP BY {key} "
-        f"ORDER BY {name} DESC NULLS LAST, {key} ASC NULLS LAST LIMIT {limit}"
+        f"ORDER BY {name} DESC NULLS LAST, {key} ASC NULLS LAST {top}"
     )
 
 
@@ -233,13 +234,13 @@ def _leaders(figures: str, rank: str) -> str:
 
 ORACLES: dict[str, str] = {
     "sms_by_day": _over(
-        f"SELECT CAST(sent_date AS DATE) AS day, {COUNT} FROM active GROUP BY 1 ORDER BY 1 LIMIT 10000"
+        f"SELECT CAST(sent_date AS DATE) AS day, {COUNT} FROM active GROUP BY 1 ORDER BY 1"
     ),
     "delivery_rate": _number(RATE),
     "revenue_total": _number(REVENUE),
     "top_countries": _top("country", COUNT, "count_messages"),
     "top_operators": _top("receiver_operator", COUNT, "count_messages"),
-    "revenue_by_currency": _top("currency", REVENUE, "revenue", limit=10000),
+    "revenue_by_currency": _top("currency", REVENUE, "revenue", limit=None),
     "failed_statuses": _top(
         "delivery_status", COUNT, "count_messages", "WHERE delivery_status NOT IN ('DELIVRD')"
     ),
@@ -250,22 +251,23 @@ ORACLES: dict[str, str] = {
     "avg_delivery_time": _number(AVG_TIME),
     "cost_per_delivered": _number(COST),
     "kpi_summary": _number(", ".join([COUNT, REVENUE, RATE, AVG_TIME, FAILED, COST])),
-    "direction_split": _top("direction", ", ".join([COUNT, REVENUE, RATE]), "count_messages", limit=10000),
-    "segment_distribution": _top("segment_count", COUNT, "count_messages", limit=10000),
+    "direction_split": _top("direction", ", ".join([COUNT, REVENUE, RATE]), "count_messages", limit=None),
+    "segment_distribution": _top("segment_count", COUNT, "count_messages", limit=None),
     "filtered_chart": _top(
         "country", f"{COUNT}, {RATE}", "count_messages",
         "WHERE customer_id IN (1001, 1004, 1007) AND sent_date BETWEEN TIMESTAMP '1996-03-01 00:00:00' "
         "AND TIMESTAMP '1999-08-31 00:00:00' AND currency = 'RUB'",
-        limit=10000,
+        limit=None,
     ),
     "cohort_heatmap": _over(
         _RETENTION + " SELECT cohort_month, month_index, max(retention_pct) AS retention_pct_max FROM retention "
-        "WHERE month_index > 0 GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 10000"
+        "WHERE month_index > 0 GROUP BY 1, 2 ORDER BY 1, 2"
     ),
+    # The given orders span 83 months.
     "cohort_grid": _over(
         _RETENTION + " SELECT cohort_month, "
         + ", ".join(
-            f"max(CASE WHEN month_index = {i} THEN retention_pct END) AS month_{i}" for i in range(1, 13)
+            f"max(CASE WHEN month_index = {i} THEN retention_pct END) AS month_{i}" for i in range(1, 83)
         )
         + " FROM retention GROUP BY cohort_month"
     ),
@@ -297,7 +299,7 @@ ORACLES: dict[str, str] = {
     ),
     "top3_countries_by_month": _leaders(
         "round(sum(price), 2) AS revenue, count(*) AS sms",
-        f"row_number() OVER (PARTITION BY {_MONTH} ORDER BY round(sum(price), 2) DESC, country ASC NULLS LAST)",
+        f"row_number() OVER (PARTITION BY {_MONTH} ORDER BY sum(CAST(price AS DECIMAL(18, 9))) DESC, country ASC NULLS LAST)",
     ),
     "rank_countries": _leaders("count(*) AS sms", f"rank() OVER (PARTITION BY {_MONTH} ORDER BY count(*) DESC)"),
     "customer_tiers": _over(
@@ -467,7 +469,7 @@ ORACLES: dict[str, str] = {
         "SELECT year(sent_date) * 100 + month(sent_date) AS ym, count(*) AS messages FROM mart GROUP BY 1"
     ),
     "append_idempotent": _over(
-        "SELECT count(*) AS rows_after_second, count(*) AS rows_after_first, CAST(0 AS BIGINT) AS rows_missing "
+        "SELECT count(*) AS rows_after_second, count(*) AS rows_after_first "
         "FROM mart"
     ),
     "overwrite_reload": _over(

@@ -4,24 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..contract import NULLABLE_COLUMNS, REPORT_COLUMNS
+from ..contract import NULLABLE_COLUMNS
 from ..operators.profile import dq_metrics, numeric_summary, segment_stats
-from ..session import durable
 from ..sources.mart import active
 
 NUMERIC_COLUMNS = ["price", "delivery_time"]
+SEGMENTS = ["country", "customer_id"]
 
 
-def report_rows(messages: DataFrame, limit: int | None = None) -> DataFrame:
-    """The columns the report reads; ``limit`` caps the rows for a quick look. The capped
-    rows are kept, as the report reads them more than once."""
-    rows = messages.select(*REPORT_COLUMNS)
-    return rows if limit is None else durable(rows.limit(limit))
+# What the frames read, and what tells deleted rows.
+REPORT_COLUMNS = list(dict.fromkeys([*NUMERIC_COLUMNS, *SEGMENTS, *NULLABLE_COLUMNS, "deleted_at"]))
 
 
-def full_report(messages: DataFrame, limit: int | None = None) -> dict[str, DataFrame]:
+def full_report(messages: DataFrame) -> dict[str, DataFrame]:
     """The report's four frames. Data quality looks at all rows, the rest at active ones."""
-    rows = report_rows(messages, limit)
+    rows = messages.select(*REPORT_COLUMNS)
     kept = active(rows)
     return {
         "summary": numeric_summary(kept, NUMERIC_COLUMNS),

@@ -29,7 +29,6 @@ BLOOM_FPP = "0.01"
 BLOOM_MAX_BYTES = str(4 * 2**20)
 # Messages per file, at most: about half a gigabyte.
 FILE_ROWS = 10_000_000
-ID_BUCKETS = 4096
 
 
 def _with_month(messages: DataFrame) -> DataFrame:
@@ -105,35 +104,6 @@ def append_new(messages: DataFrame, path: str, partitions: int | None = None) ->
     _write(unseen(messages, path), path, "append", partitions)
 
 
-def _some_of(messages: DataFrame, n: int) -> DataFrame:
-    """``n`` of the messages. A plain limit would send them all through one task, so whole
-    buckets of ids are taken and only the last one is cut."""
-    bucketed = messages.withColumn("bucket", F.pmod(F.xxhash64("message_id"), F.lit(ID_BUCKETS)))
-    sizes = bucketed.groupBy("bucket").count().orderBy("bucket").collect()  # ID_BUCKETS rows at most
-    room, last = n, None
-    for bucket, size in sizes:
-        if size > room:
-            last = bucket
-            break
-        room -= size
-    if last is None:
-        return messages
-    whole = bucketed.where(F.col("bucket") < last)
-    cut = bucketed.where(F.col("bucket") == last).orderBy("message_id").limit(room)
-    return whole.unionByName(cut).drop("bucket")
-
-
-def top_up(messages: DataFrame, path: str, target_rows: int, partitions: int | None = None) -> int:
-    """Append new messages until ``target_rows`` are stored; returns how many were missing.
-    Nothing is read or written when there are enough."""
-    spark = messages.sparkSession
-    stored = open_mart(spark, path).count() if path_exists(spark, path) else 0
-    missing = max(0, target_rows - stored)
-    if missing:
-        _write(_some_of(unseen(messages, path), missing), path, "append", partitions)
-    return missing
-
-
 def reload(messages: DataFrame, path: str, rollup_root: str, partitions: int | None = None) -> None:
     """Replace the mart and its rollup together, so that neither counts the old rows."""
     spark = messages.sparkSession

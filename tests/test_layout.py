@@ -85,24 +85,6 @@ def test_append_adds_only_new_ids(spark):
     assert ids == {"a", "b", "c"} and layout.open_mart(spark, where).count() == 3
 
 
-def test_top_up_stops_at_the_target(spark):
-    where = scratch_path(spark, "top-up-test")
-    source = messages(spark, [{"message_id": f"m{i}"} for i in range(10)])
-    assert layout.top_up(source, where, 4) == 4
-    assert layout.top_up(source, where, 4) == 0
-    assert layout.top_up(source, where, 7) == 3
-    stored = layout.open_mart(spark, where)
-    assert stored.count() == 7 and stored.select("message_id").distinct().count() == 7
-
-
-def test_top_up_counts_ids_that_come_twice(spark):
-    where = scratch_path(spark, "top-up-twice")
-    source = messages(spark, [{"message_id": f"m{i % 5}"} for i in range(50)])
-    assert layout.top_up(source, where, 23) == 23
-    assert layout.open_mart(spark, where).count() == 23
-    assert layout.top_up(source, scratch_path(spark, "top-up-all"), 99) == 99
-
-
 def test_ensure_creates_once(spark):
     where = scratch_path(spark, "ensure-test")
     assert layout.ensure_mart(spark, where).isEmpty()
@@ -182,4 +164,3 @@ def test_report_is_dated_and_replaced(spark, path):
     assert set(frames) == {"summary", "price_by_country", "price_by_customer", "dq"}
     saved = reports.read_report(spark, root, "summary")
     assert saved.count() == 2 and {str(r.report_date) for r in saved.collect()} == {"2025-05-01"}
-    assert full_report(layout.open_mart(spark, path), limit=5)["price_by_customer"].count() <= 5

@@ -41,6 +41,22 @@ def test_top_keeps_order_limit_and_null_group(spark):
     assert tuple(ascending) == ("C", 1)
 
 
+def test_all_groups_are_returned(spark):
+    many = spark.range(12_000).selectExpr("cast(id as string) as country", "'m' as message_id")
+    assert chart_query(many, ["count_messages"], ["country"]).count() == 12_000
+
+
+def test_selected_values(spark):
+    rows = [{"country": c, "currency": m} for c, m in (("A", "EUR"), ("B", "USD"), (None, "EUR"), ("C", None))]
+    df = messages(spark, rows)
+    kept = lambda **among: sorted(str(r.country) for r in apply_filters(df, Filters(among=among)).collect())
+    assert kept(country=["A", "B"]) == ["A", "B"]
+    assert kept(country=["A", None]) == ["A", "None"]
+    assert kept(country=["A", "B", None], currency=["EUR"]) == ["A", "None"]
+    assert kept(country=[]) == ["A", "B", "C", "None"]
+    assert Filters(among={"country": ["A"], "sender": []}).columns == ["country"]
+
+
 def test_not_in_drops_null(spark):
     df = messages(spark, [{"delivery_status": s} for s in ("DELIVRD", "SENT", None)])
     got = chart_query(df, ["count_messages"], ["delivery_status"], where=[~F.col("delivery_status").isin("DELIVRD")])

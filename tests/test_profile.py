@@ -8,30 +8,49 @@ import pytest
 from couriermart.operators import profile
 from messages import messages
 
-GOLDEN = [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 8.0, 9.0, 100.0]
+SERIES = [3.5, -2.0, 8.25, 0.0, 41.0, 5.5, 7.0, 2.75]
 
 
 def _frame(spark, values):
     return spark.createDataFrame([(None if v is None else float(v),) for v in values], "x double")
 
 
-def test_golden_series(spark):
-    (row,) = profile.numeric_summary(_frame(spark, GOLDEN), ["x"]).collect()
-    assert row["column"] == "x"
-    assert (row["count"], row["mean"], row["median"]) == (10, 14.5, 5.5)
-    assert (row["min"], row["max"], row["range"]) == (1.0, 100.0, 99.0)
-    assert (row["q1"], row["q3"], row["iqr"]) == (3.25, 7.75, 4.5)
-    assert row["std_sample"] == pytest.approx(30.152390728873666)
-    assert row["std_pop"] == pytest.approx(28.605069480775605)
-    assert (row["outlier_low_fence"], row["outlier_high_fence"]) == (-3.5, 14.5)
-    assert (row["outlier_n_outliers"], row["outlier_share"]) == (1, 0.1)
+def test_series_against_numpy(spark):
+    (row,) = profile.numeric_summary(_frame(spark, [*SERIES, None, float("nan")]), ["x"]).collect()
+    x = np.array(SERIES)
+    q1, median, q3 = np.quantile(x, [0.25, 0.5, 0.75])
+    low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+    assert (row["column"], row["count"]) == ("x", len(x))
+    assert (row["min"], row["max"], row["range"]) == (x.min(), x.max(), x.max() - x.min())
+    assert (row["q1"], row["median"], row["q3"], row["iqr"]) == pytest.approx((q1, median, q3, q3 - q1))
+    assert (row["mean"], row["std_sample"], row["std_pop"]) == pytest.approx((x.mean(), x.std(ddof=1), x.std()))
+    assert (row["outlier_low_fence"], row["outlier_high_fence"]) == pytest.approx((low, high))
+    outside = int(((x < low) | (x > high)).sum())
+    assert outside and (row["outlier_n_outliers"], row["outlier_share"]) == (outside, outside / len(x))
+
+
+def test_kept_values_are_ranked_in_slices(spark):
+    """The rows inside the brackets of one column are spread over several tasks."""
+    rng = np.random.default_rng(5)
+    zones = spark.createDataFrame(
+        [("x", 1, float(v), 1) for v in rng.permutation(4000)], "column string, zone int, kept double, n long"
+    )
+    # So few rows would be merged into one slice otherwise.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked = profile._ranked(zones, ["column"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    slices = [row["count"] for row in ranked.groupBy("slice").count().collect()]
+    assert len(slices) > 1 and max(slices) < 4000 / 2
+    assert all(row.first == int(row.kept) for row in ranked.select("first", "kept").collect())
 
 
 @pytest.mark.parametrize(
     "values, expected",
     [
-        (GOLDEN, "right"),
-        ([-v for v in GOLDEN], "left"),
+        (SERIES, "right"),
+        ([-v for v in SERIES], "left"),
         ([1.0, 92, 93, 94, 95, 96, 97, 98, 99, 100], "left"),
         ([-5.0, 0, 0, 0, 50], "symmetric"),
         ([1.0, 2, 3], "symmetric"),
@@ -106,7 +125,7 @@ def test_segments_match_pandas(spark):
 
 
 def test_many_segments_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(profile, "BROADCAST_KEYS", 0)
+    monkeypatch.setattr(profile, "BROADCAST_BYTES", 0)
     rows = [{"customer_id": i % 37, "price": (i * 7919 % 1000) / 1000} for i in range(900)]
     expected = pd.DataFrame(rows).groupby("customer_id")["price"].median()
     got = profile.segment_stats(messages(spark, rows), "customer_id").collect()

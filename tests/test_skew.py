@@ -53,7 +53,7 @@ def test_chart(df, frame):
 
 @pytest.mark.parametrize("broadcast", [50000, 0])
 def test_segment_medians(df, frame, monkeypatch, broadcast):
-    monkeypatch.setattr(profile, "BROADCAST_KEYS", broadcast)
+    monkeypatch.setattr(profile, "BROADCAST_BYTES", broadcast)
     got = {r.customer_id: (r["count"], r["median"]) for r in profile.segment_stats(df, "customer_id").collect()}
     expected = frame.groupby("customer_id")["price"].agg(["count", "median"])
     assert {k: v[0] for k, v in got.items()} == expected["count"].to_dict()
@@ -61,7 +61,7 @@ def test_segment_medians(df, frame, monkeypatch, broadcast):
 
 
 def test_salted_lookup_spreads_the_hot_key(df, monkeypatch):
-    monkeypatch.setattr(profile, "BROADCAST_KEYS", 0)
+    monkeypatch.setattr(profile, "BROADCAST_BYTES", 0)
     values = profile.stacked(df, ["price"], ["country"])
     small = values.select("country").distinct()
     placed = profile._attach_sized(values, small, ["country"])
