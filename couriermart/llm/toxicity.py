@@ -245,13 +245,14 @@ def score_texts(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("
     Whole texts are scored. NULL and empty texts have no windows and the lowest score.
     Without a model every score is 0. Equal texts score alike.
     """
-    kept = docs.select(*keep, F.col("text").alias("__text"))
+    given = "text" if "text" in keep else "__text"
+    kept = docs.select(*keep) if given == "text" else docs.select(*keep, F.col("text").alias(given))
     schema = docs.select(*keep, F.lit(0.0).alias("score")).schema
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         against = (_compressor(model.toxic), _compressor(model.ordinary)) if model else None
         for batch in batches:
-            scores = model.score(excesses(batch.column("__text"), *against, (model.noise,))[:, 0]) if model else np.zeros(batch.num_rows)
+            scores = model.score(excesses(batch.column(given), *against, (model.noise,))[:, 0]) if model else np.zeros(batch.num_rows)
             columns = {name: batch.column(name) for name in keep}
             yield pa.RecordBatch.from_pydict(columns | {"score": pa.array(scores, pa.float64())})
 
