@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import durable
+from .words import mix
 
 #: Bytes of text whose postings one task holds, which sets the number of tasks.
 TEXT_BYTES_PER_PART = 16 << 20
@@ -86,6 +87,24 @@ def shared_tokens(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return node[several], size[several], token[several], frequency[several]
 
 
+def pack_by_node(node: np.ndarray, buckets: int, **columns: np.ndarray) -> pa.Table:
+    """Values of nodes as a row for each bucket of nodes, so that few rows go from each part to each bucket."""
+    bucket = (mix(node.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1), len(bucket)] if len(bucket) else [0]
+    pieces = list(zip(cuts[:-1], cuts[1:], strict=True))
+    return pa.table(
+        {"bucket": pa.array([int(bucket[a]) for a, _ in pieces], pa.int32())}
+        | {name: pa.array([v[order][a:b].tobytes() for a, b in pieces], pa.binary()) for name, v in {"node": node, **columns}.items()}
+    )
+
+
+def unpack(table: pa.Table, **kinds: type) -> list[np.ndarray]:
+    """The packed columns as arrays."""
+    return [np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table.column(name)]) for name, kind in kinds.items()]
+
+
 def _bloom_places(values: np.ndarray) -> list[np.ndarray]:
     values = values.astype(np.int64).view(np.uint64)
     with np.errstate(over="ignore"):
