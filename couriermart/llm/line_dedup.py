@@ -80,11 +80,14 @@ def line_starts(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     return start, row, np.arange(len(start)) - np.searchsorted(row, row)
 
 
-def find_lines(data: np.ndarray, bounds: np.ndarray, ranks: Ranks) -> Lines:
+def find_lines(data: np.ndarray, bounds: np.ndarray, ranks: Ranks | None = None) -> Lines:
+    """The lines of some texts; without ``ranks`` their words are in order of hashes."""
     start, row, number = line_starts(data, bounds)
     words = find_words(LOWER[data], np.append(start, len(data)), SPACED)
     line = np.repeat(np.arange(len(start)), words.counts())
-    order = np.lexsort((words.hash, ranks.of(words.hash), line))
+    # One sort of one number: the line above, as much of the hash as there is room for below.
+    shift = np.uint64(max(1, len(start).bit_length()))
+    order = np.argsort((line.astype(np.uint64) << (np.uint64(64) - shift)) | (words.hash >> shift))
     token, line = words.hash[order], line[order]
     new = np.ones(len(token), bool)
     new[1:] = (token[1:] != token[:-1]) | (line[1:] != line[:-1])
@@ -99,6 +102,10 @@ def find_lines(data: np.ndarray, bounds: np.ndarray, ranks: Ranks) -> Lines:
             sums = np.add.reduceat(spread, first[filled])
             ids[filled] = (mix(sums ^ size[filled].astype(np.uint64)) >> np.uint64(1)).astype(np.int64)
             parity[filled] = np.bitwise_xor.reduceat(np.uint64(1) << (spread >> np.uint64(58)), first[filled])
+    if ranks is not None and len(token):
+        # By count within a line; words of one count stay in the order of their hashes.
+        by_count = (line.astype(np.uint64) << np.uint64(40)) | np.minimum(ranks.of(token), (1 << 40) - 1).astype(np.uint64)
+        token = token[np.argsort(by_count, kind="stable")]
     return Lines(row, number, start, ids, size, parity, token, first)
 
 
@@ -121,13 +128,13 @@ def frequent_words(docs: DataFrame) -> Ranks:
     return Ranks(hashes[order], table.column("n").to_numpy()[order])
 
 
-def _classes(keyed: DataFrame, ranks: Ranks) -> DataFrame:
+def _classes(keyed: DataFrame) -> DataFrame:
     """``line, place, n``: the first occurrence of each class, and how many there are."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin, _, data, bounds in slices(batch.column("text")):
-                lines = find_lines(data, bounds, ranks)
+                lines = find_lines(data, bounds)
                 worded = np.flatnonzero(lines.id >= 0)
                 if len(worded):
                     at = pa.array(begin + lines.row[worded])
@@ -210,7 +217,7 @@ def plausible(token, line, parity, size, place) -> np.ndarray:
 
 
 def _records(docs: DataFrame, ranks: Ranks, candidates: DataFrame, classes: DataFrame) -> DataFrame:
-    """``line, place, parity, tokens`` of the candidates."""
+    """``line, at, parity, tokens`` of the candidates; ``at`` numbers them by their first occurrence."""
     passing = build_filter(candidates)
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,19 +233,23 @@ def _records(docs: DataFrame, ranks: Ranks, candidates: DataFrame, classes: Data
                     )
 
     fetched = docs.select("text").mapInArrow(fetch, "line long, parity long, tokens array<long>")
-    return durable(
-        fetched.join(candidates, "line", "left_semi").dropDuplicates(["line"]).join(classes.select("line", "place"), "line")
-    )
+    placed = fetched.join(candidates, "line", "left_semi").dropDuplicates(["line"]).join(classes.select("line", "place"), "line")
+    # Sorted by ranges, so that numbers rise with places from partition to partition.
+    return durable(placed.orderBy("place").select("line", F.monotonically_increasing_id().alias("at"), "parity", "tokens"))
 
 
 def _similar(pairs: DataFrame, records: DataFrame) -> DataFrame:
-    """The lines ``later`` that are similar to their ``earlier``."""
+    """The ``later`` of the pairs that are similar to their ``earlier``, once each."""
     common = F.size(F.array_intersect("tokens_e", "tokens_l"))
+    both, smaller = F.size("tokens_e") + F.size("tokens_l"), F.least(F.size("tokens_e"), F.size("tokens_l"))
+    apart = F.bit_count(F.col("parity_e").bitwiseXOR(F.col("parity_l")))
+    needed = F.ceil(both * NUMERATOR / (NUMERATOR + DENOMINATOR))
     return (
-        pairs.join(records.select(F.col("line").alias("earlier"), F.col("tokens").alias("tokens_e")), "earlier")
-        .join(records.select(F.col("line").alias("later"), F.col("tokens").alias("tokens_l")), "later")
-        .where(common * DENOMINATOR >= (F.size("tokens_e") + F.size("tokens_l") - common) * NUMERATOR)
-        .select(F.col("later").alias("line"))
+        pairs.join(records.select(F.col("at").alias("earlier"), F.col("parity").alias("parity_e"), F.col("tokens").alias("tokens_e")), "earlier")
+        .join(records.select(F.col("at").alias("later"), F.col("parity").alias("parity_l"), F.col("tokens").alias("tokens_l")), "later")
+        .where((smaller >= needed) & (apart <= both - needed * 2))
+        .where(common * DENOMINATOR >= (both - common) * NUMERATOR)
+        .select("later")
         .distinct()
     )
 
@@ -247,41 +258,35 @@ def _dead_classes(records: DataFrame) -> DataFrame:
     """``line``: classes that have a similar class which occurs earlier."""
     size = F.size("tokens")
     length = size - F.ceil(size * NUMERATOR / DENOMINATOR).cast("int") + 1
-    postings = durable(
-        records.select("line", "place", "parity", size.alias("size"), F.posexplode(F.slice("tokens", F.lit(1), length)).alias("at", "token"))
-    )
-    dead, tried = [], None
-    left = postings
+    postings = durable(records.select("at", F.explode(F.slice("tokens", F.lit(1), length)).alias("token")))
+    dead, tried, left = [], None, postings
     for _ in range(PIVOT_ROUNDS):
-        first = postings.groupBy("token").agg(F.min(F.struct("place", "line")).alias("p")) if tried is None else left.groupBy("token").agg(
-            F.min(F.struct("place", "line")).alias("p")
+        # Before the first round nothing is gone; later the earliest line that is left leads its lists.
+        leads = left.groupBy("token").agg(F.min("at").alias("earlier"))
+        offers = (
+            left.join(leads, "token").where(F.col("earlier") < F.col("at")).groupBy(F.col("at").alias("later"), "earlier").agg(F.count("*").alias("n"))
         )
-        offers = left.join(first, "token").where(F.col("p.place") < F.col("place")).groupBy(
-            F.col("line").alias("later"), F.col("p.line").alias("earlier")
-        ).agg(F.count("*").alias("n"))
         if tried is not None:
             offers = offers.join(tried, ["later", "earlier"], "left_anti")
         chosen = durable(offers.groupBy("later").agg(F.max_by("earlier", F.struct("n", "earlier")).alias("earlier")))
         tried = chosen if tried is None else tried.unionByName(chosen)
         dead.append(durable(_similar(chosen, records)))
-        left = durable(left.join(dead[-1], "line", "left_anti"))
+        left = durable(left.join(dead[-1].withColumnRenamed("later", "at"), "at", "left_anti"))
     # What is left is compared with all earlier lines of its lists that the filters let through.
-    e, l = postings.alias("e"), left.alias("l")
-    both = F.col("e.size") + F.col("l.size")
+    filters = records.select("at", size.alias("size"), "parity")
+    facts = lambda name: filters.select(F.col("at").alias(name), F.col("size").alias(f"size_{name}"), F.col("parity").alias(f"parity_{name}"))
+    earlier = postings.select(F.col("at").alias("earlier"), "token").join(facts("earlier"), "earlier")
+    later = left.select(F.col("at").alias("later"), "token").join(facts("later"), "later")
+    both = F.col("size_earlier") + F.col("size_later")
     needed = F.ceil(both * NUMERATOR / (NUMERATOR + DENOMINATOR))
-    bound = F.least("e.at", "l.at") + F.least(F.col("e.size") - F.col("e.at"), F.col("l.size") - F.col("l.at"))
-    apart = F.bit_count(F.col("e.parity").bitwiseXOR(F.col("l.parity")))
-    rest = (
-        l.join(e, F.col("e.token") == F.col("l.token"))
-        .where((F.col("e.place") < F.col("l.place")) & (bound >= needed) & (apart <= both - needed * 2))
-        .select(F.col("l.line").alias("later"), F.col("e.line").alias("earlier"))
-        .distinct()
-    )
+    apart = F.bit_count(F.col("parity_earlier").bitwiseXOR(F.col("parity_later")))
+    near = (F.col("earlier") < F.col("later")) & (F.least("size_earlier", "size_later") >= needed) & (apart <= both - needed * 2)
+    rest = later.join(earlier, "token").where(near).select("later", "earlier").distinct()
     dead.append(durable(_similar(rest, records)))
     found = dead[0]
     for more in dead[1:]:
         found = found.unionByName(more)
-    return found.distinct()
+    return records.select("line", F.col("at").alias("later")).join(found.distinct(), "later", "left_semi").select("line")
 
 
 def dedup_lines(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -296,7 +301,7 @@ def dedup_lines(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFra
     """
     ranks, parts = frequent_words(docs), parts_of(docs)
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
-    classes = durable(_classes(keyed, ranks))
+    classes = durable(_classes(keyed))
     candidates = durable(_candidates(docs, ranks, parts))
     records = _records(docs, ranks, candidates, classes)
     dead = durable(_dead_classes(records).withColumn("dead", F.lit(True)))
@@ -306,7 +311,7 @@ def dedup_lines(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFra
     def occur(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin, _, data, bounds in slices(batch.column("text")):
-                lines = find_lines(data, bounds, ranks)
+                lines = find_lines(data, bounds)
                 hit = np.flatnonzero((lines.id >= 0) & may_hold(passing, lines.id))
                 at = pa.array(begin + lines.row[hit])
                 yield pa.RecordBatch.from_pydict(
