@@ -25,17 +25,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import attach
-from ..session import durable
-from .setjoin import build_filter, may_hold, parts_of
+from .setjoin import build_filter, may_hold, parts_of, settled
 from .words import LOWER, SPACED, find_words, mix, slices
 
 #: Two lines are similar when DENOMINATOR * intersection >= NUMERATOR * union.
 NUMERATOR, DENOMINATOR = 4, 5
 #: Words are ranked by count from one in so many words of the corpus on, so there are at most as many.
 RANKED = 1 << 20
-PIVOT_ROUNDS = 2
+PIVOT_ROUNDS = 1
 #: Sets of fewer words are only similar to equal ones.
 LEAST_WORDS = 4
+#: Sizes and places from here on are one in postings, which hold two bytes of each.
+LONG = (1 << 16) - 1
 
 POSTINGS = "part int, token binary, line binary, parity binary, size binary, place binary"
 
@@ -120,7 +121,7 @@ def frequent_words(docs: DataFrame) -> Ranks:
             several = counts > 1
             yield pa.RecordBatch.from_pydict({"word": hashes[several].view(np.int64), "n": counts[several].astype(np.int64)})
 
-    counts = durable(docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    counts = settled(docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
     total = counts.agg(F.sum("n").alias("n")).first().n or 0
     table = counts.where(F.col("n") > total // RANKED).toArrow()
     hashes = table.column("word").to_numpy().view(np.uint64)
@@ -174,7 +175,7 @@ def _candidates(docs: DataFrame, ranks: Ranks, parts: int) -> DataFrame:
                 part = ((token >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
                 cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), len(token)]
                 low = (token >> np.uint64(4)).astype(np.uint32)
-                columns = {"token": low, "line": lines.id[line], "parity": lines.parity[line], "size": lines.size[line].astype(np.int32), "place": place.astype(np.int32)}
+                columns = {"token": low, "line": lines.id[line], "parity": (lines.parity ^ (lines.parity >> np.uint64(32))).astype(np.uint32)[line], "size": np.minimum(lines.size[line], LONG).astype(np.uint16), "place": np.minimum(place, LONG).astype(np.uint16)}
                 pieces = list(zip(cuts[:-1], cuts[1:], strict=True))
                 yield pa.RecordBatch.from_pydict(
                     {"part": pa.array([int(part[a]) for a, _ in pieces], pa.int32())}
@@ -182,7 +183,7 @@ def _candidates(docs: DataFrame, ranks: Ranks, parts: int) -> DataFrame:
                 )
 
     def match(table: pa.Table) -> pa.Table:
-        kinds = {"token": np.uint32, "line": np.int64, "parity": np.uint64, "size": np.int32, "place": np.int32}
+        kinds = {"token": np.uint32, "line": np.int64, "parity": np.uint32, "size": np.uint16, "place": np.uint16}
         values = {name: np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table.column(name)]) for name, kind in kinds.items()}
         return pa.table({"line": plausible(**values)})
 
@@ -211,7 +212,9 @@ def plausible(token, line, parity, size, place) -> np.ndarray:
         behind = np.minimum(size[alive] - place[alive], size[other] - place[other])
         ahead = np.minimum(place[alive], place[other])
         apart = np.bitwise_count(parity[alive] ^ parity[other])
-        fits = (ahead + behind >= needed) & (apart <= both - 2 * needed) & (line[alive] != line[other])
+        fits = (ahead + behind >= needed) & (apart <= both - 2 * needed)
+        # Of the very longest lines the postings do not tell the size.
+        fits = (fits | (size[other] >= LONG)) & (line[alive] != line[other])
         found[alive[fits]] = found[other[fits]] = True
     return np.unique(line[found])
 
@@ -232,10 +235,11 @@ def _records(docs: DataFrame, ranks: Ranks, candidates: DataFrame, classes: Data
                         {"line": lines.id[own], "parity": lines.parity[own].view(np.int64), "tokens": pa.array(tokens, pa.list_(pa.int64()))}
                     )
 
-    fetched = docs.select("text").mapInArrow(fetch, "line long, parity long, tokens array<long>")
-    placed = fetched.join(candidates, "line", "left_semi").dropDuplicates(["line"]).join(classes.select("line", "place"), "line")
     # Sorted by ranges, so that numbers rise with places from partition to partition.
-    return durable(placed.orderBy("place").select("line", F.monotonically_increasing_id().alias("at"), "parity", "tokens"))
+    placed = candidates.join(classes, "line").orderBy("place").select("line", F.monotonically_increasing_id().alias("at"))
+    placed = settled(placed, "line-places")
+    fetched = docs.select("text").mapInArrow(fetch, "line long, parity long, tokens array<long>")
+    return settled(fetched.join(placed, "line").dropDuplicates(["line"]), "line-records")
 
 
 def _similar(pairs: DataFrame, records: DataFrame) -> DataFrame:
@@ -258,7 +262,7 @@ def _dead_classes(records: DataFrame) -> DataFrame:
     """``line``: classes that have a similar class which occurs earlier."""
     size = F.size("tokens")
     length = size - F.ceil(size * NUMERATOR / DENOMINATOR).cast("int") + 1
-    postings = durable(records.select("at", F.explode(F.slice("tokens", F.lit(1), length)).alias("token")))
+    postings = settled(records.select("at", F.explode(F.slice("tokens", F.lit(1), length)).alias("token")), "line-postings")
     dead, tried, left = [], None, postings
     for _ in range(PIVOT_ROUNDS):
         # Before the first round nothing is gone; later the earliest line that is left leads its lists.
@@ -268,10 +272,10 @@ def _dead_classes(records: DataFrame) -> DataFrame:
         )
         if tried is not None:
             offers = offers.join(tried, ["later", "earlier"], "left_anti")
-        chosen = durable(offers.groupBy("later").agg(F.max_by("earlier", F.struct("n", "earlier")).alias("earlier")))
+        chosen = settled(offers.groupBy("later").agg(F.max_by("earlier", F.struct("n", "earlier")).alias("earlier")), "line-pairs")
         tried = chosen if tried is None else tried.unionByName(chosen)
-        dead.append(durable(_similar(chosen, records)))
-        left = durable(left.join(dead[-1].withColumnRenamed("later", "at"), "at", "left_anti"))
+        dead.append(settled(_similar(chosen, records), "lines-similar"))
+        left = settled(left.join(dead[-1].withColumnRenamed("later", "at"), "at", "left_anti"), "lines-left")
     # What is left is compared with all earlier lines of its lists that the filters let through.
     filters = records.select("at", size.alias("size"), "parity")
     facts = lambda name: filters.select(F.col("at").alias(name), F.col("size").alias(f"size_{name}"), F.col("parity").alias(f"parity_{name}"))
@@ -282,7 +286,7 @@ def _dead_classes(records: DataFrame) -> DataFrame:
     apart = F.bit_count(F.col("parity_earlier").bitwiseXOR(F.col("parity_later")))
     near = (F.col("earlier") < F.col("later")) & (F.least("size_earlier", "size_later") >= needed) & (apart <= both - needed * 2)
     rest = later.join(earlier, "token").where(near).select("later", "earlier").distinct()
-    dead.append(durable(_similar(rest, records)))
+    dead.append(settled(_similar(settled(rest, "line-pairs"), records), "lines-similar"))
     found = dead[0]
     for more in dead[1:]:
         found = found.unionByName(more)
@@ -301,11 +305,14 @@ def dedup_lines(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFra
     """
     ranks, parts = frequent_words(docs), parts_of(docs)
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
-    classes = durable(_classes(keyed))
-    candidates = durable(_candidates(docs, ranks, parts))
+    classes = settled(_classes(keyed), "line-classes")
+    candidates = settled(_candidates(docs, ranks, parts), "line-candidates")
     records = _records(docs, ranks, candidates, classes)
-    dead = durable(_dead_classes(records).withColumn("dead", F.lit(True)))
-    marked = durable(classes.join(dead, "line", "left").where("n > 1 or dead").select("line", "place", F.coalesce("dead", F.lit(False)).alias("dead")))
+    dead = settled(_dead_classes(records).withColumn("dead", F.lit(True)), "lines-dead")
+    marked = settled(
+        classes.join(dead, "line", "left").where("n > 1 or dead").select("line", "place", F.coalesce("dead", F.lit(False)).alias("dead")),
+        "lines-marked",
+    )
     passing = build_filter(marked.select("line"))
 
     def occur(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

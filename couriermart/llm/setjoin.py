@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import durable
+from ..session import durable, scratch_path
 from .words import mix
 
 #: Bytes of text whose postings one task holds, which sets the number of tasks.
@@ -20,6 +20,20 @@ BLOOM_PIECE = 1 << 15
 POSTINGS = "part int, tokens binary, owner binary, nodes binary, sizes binary"
 
 
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder as a table, and read from it.
+
+    What was shuffled for it is not needed again. Spark deletes those files when the driver
+    no longer holds their plan, so the driver is asked to look now: the steps of a long
+    operator then take the disk of the largest, not of all together.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.parquet(path)
+
+
 def parts_of(texts: DataFrame, column: str = "text") -> int:
     """How many parts keep the postings of a part at a bounded size."""
     size = texts.agg(F.sum(F.octet_length(column)).alias("n")).first().n or 0
