@@ -224,6 +224,10 @@ def _report() -> str:
     )
 
 
+_DAYS = """ SELECT day, CAST(sum(msgs) AS BIGINT) AS msgs, CAST(sum(delivrd) AS BIGINT) AS delivrd,
+    round(sum(revenue), 8) AS revenue FROM rollup_rows GROUP BY day"""
+
+
 def _leaders(figures: str, rank: str) -> str:
     """The top three countries of each month; ``rank`` orders a month's countries."""
     return _over(
@@ -283,6 +287,9 @@ ORACLES: dict[str, str] = {
         "CAST(sum(msgs) AS BIGINT) AS msgs_rollup, (SELECT count(*) FROM active) AS msgs_fact FROM rollup_rows"
     ),
     "rollup_stream_daily": _over(_ROLLUP + " SELECT * FROM rollup_rows"),
+    "rollup_backfill_then_stream": _over(_ROLLUP + _DAYS),
+    "rollup_reload_stream": _over(_ROLLUP + _DAYS),
+    "rollup_rebuilt": _over(_ROLLUP + _DAYS),
     "revenue_running_total": _over(
         """SELECT CAST(sent_date AS DATE) AS day, round(sum(price), 2) AS revenue,
                round(sum(sum(price)) OVER (ORDER BY CAST(sent_date AS DATE)), 2) AS revenue_cumulative

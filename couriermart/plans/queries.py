@@ -17,7 +17,7 @@ from ..session import durable, scratch_path
 from ..sources import formats, layout, reports
 from ..sources.mart import active_mart, country_name, mart, table
 from ..streaming.rollup import (
-    ROLLUP_INPUTS, rollup_build, rollup_merge, rollup_read, rollup_stream,
+    ROLLUP_INPUTS, rollup_backfill, rollup_build, rollup_merge, rollup_read, rollup_rebuild, rollup_stream,
 )
 from . import analytics
 from .dashboard import CHARTS
@@ -96,6 +96,50 @@ def rollup_stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup_read(spark, root).withColumn("revenue", F.round("revenue", _PRICE_DIGITS))
 
 
+def _streamed(spark: SparkSession, root: str) -> None:
+    stream = layout.stream_mart(spark, f"{root}/mart", files_per_batch=40)
+    rollup_stream(stream, f"{root}/rollup", f"{root}/progress", available_now=True).awaitTermination()
+
+
+def _day_totals(spark: SparkSession, root: str) -> DataFrame:
+    merged = rollup_merge(rollup_read(spark, f"{root}/rollup"), ["day"])
+    return merged.withColumn("revenue", F.round("revenue", _PRICE_DIGITS))
+
+
+def rollup_backfill_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the months backfilled, then the whole mart streamed in several micro-batches."""
+    root = scratch_path(spark, "rollup-handover")
+    messages = layout.open_mart(spark, stored_mart(spark, sf_dir))
+    layout.append_new(messages.where("ym < 199800"), f"{root}/mart")
+    rollup_backfill(layout.open_mart(spark, f"{root}/mart"), f"{root}/rollup")
+    layout.append_new(messages, f"{root}/mart")
+    _streamed(spark, root)
+    return _day_totals(spark, root)
+
+
+def rollup_reload_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart that is streamed, replaced, and streamed on."""
+    root = scratch_path(spark, "rollup-reload")
+    messages = layout.open_mart(spark, stored_mart(spark, sf_dir))
+    layout.append_new(messages.where("ym < 199600"), f"{root}/mart")
+    _streamed(spark, root)
+    layout.reload(messages, f"{root}/mart", f"{root}/rollup")
+    _streamed(spark, root)
+    return _day_totals(spark, root)
+
+
+def rollup_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day rebuilt while its late messages have yet to stream."""
+    root = scratch_path(spark, "rollup-rebuilt")
+    messages = layout.open_mart(spark, stored_mart(spark, sf_dir))
+    layout.append_new(messages.where("customer_id % 2 = 0"), f"{root}/mart")
+    _streamed(spark, root)
+    layout.append_new(messages, f"{root}/mart")
+    rollup_rebuild(layout.open_mart(spark, f"{root}/mart"), f"{root}/rollup", [date(1997, 6, 1), date(1997, 6, 2)])
+    _streamed(spark, root)
+    return _day_totals(spark, root)
+
+
 # --- cohorts ----------------------------------------------------------------
 
 
@@ -294,6 +338,9 @@ QUERIES: dict[str, Query] = {
     "delivery_rate_rollup": delivery_rate_rollup,
     "rollup_vs_fact": rollup_vs_fact,
     "rollup_stream_daily": rollup_stream_daily,
+    "rollup_backfill_then_stream": rollup_backfill_then_stream,
+    "rollup_reload_stream": rollup_reload_stream,
+    "rollup_rebuilt": rollup_rebuilt,
     "revenue_running_total": _on_active(
         ["sent_date", "price"], lambda df: ranking.running_total(df, "sent_date", "price")
     ),

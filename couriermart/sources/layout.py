@@ -17,7 +17,7 @@ from ..contract import MESSAGE_COLUMNS, MESSAGE_SCHEMA
 from ..functions.dates import year_month
 from ..operators.charts import Filters, apply_filters
 from ..session import path_exists
-from ..streaming.rollup import BACKFILL_BATCH, rollup_add
+from ..streaming.rollup import SOURCE_FILE, rollup_backfill
 
 PARTITION = "ym"
 SORT = ["customer_id", "sent_date", "country", "delivery_status", "message_id"]
@@ -67,12 +67,12 @@ def open_mart(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_mart(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """The stored mart as a stream: what is there, then every append. Feeding
-    ``rollup_stream`` from it keeps the rollup up to date with each load."""
+    """The stored mart as a stream: what is there, then every append, with the file of each
+    row. Feeding ``rollup_stream`` from it keeps the rollup up to date with each load."""
     reader = spark.readStream.schema(STORED_SCHEMA)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    return reader.parquet(path).withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
 
 
 def ensure_mart(spark: SparkSession, path: str) -> DataFrame:
@@ -105,13 +105,14 @@ def append_new(messages: DataFrame, path: str, partitions: int | None = None) ->
 
 
 def reload(messages: DataFrame, path: str, rollup_root: str, partitions: int | None = None) -> None:
-    """Replace the mart and its rollup together, so that neither counts the old rows."""
+    """Replace the mart and its rollup together, so that neither counts the old rows. The new
+    files are recorded as counted: a stream of the mart goes on without counting them again."""
     spark = messages.sparkSession
     write_mart(messages, path, partitions)
-    for folder in ("partials", "days"):
+    for folder in ("partials", "days", "covered"):
         location = spark._jvm.org.apache.hadoop.fs.Path(f"{rollup_root}/{folder}")
         location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
-    rollup_add(open_mart(spark, path), rollup_root, BACKFILL_BATCH)
+    rollup_backfill(open_mart(spark, path), rollup_root)
 
 
 def lookup(spark: SparkSession, path: str, message_id: str) -> DataFrame:

@@ -4,6 +4,9 @@ Stored rollup layout, below one root:
 
 ``partials/batch_id=N``  what micro-batch N (or a backfill, -1) added. A replayed batch
                          overwrites its own folder, so it can never be counted twice.
+``covered``              files of the mart that a backfill has counted, and, with a day,
+                         files whose rows of that day a rebuild has counted. A stream of
+                         the same mart leaves those rows out, so none is counted twice.
 ``days/day=D``           days that were compacted or recomputed. Each row carries
                          ``through``, the last batch it includes; readers skip that
                          day's partials up to it.
@@ -18,6 +21,7 @@ from datetime import date, datetime, time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -33,6 +37,9 @@ ROLLUP_INPUTS = ["sent_date", "country", "delivery_status", "currency", "price",
 _MEASURES = ["msgs", "delivrd", "revenue"]
 _STORED = T.StructType([*ROLLUP_SCHEMA, T.StructField("batch_id", T.LongType())])
 _STORED_DAYS = T.StructType([*ROLLUP_SCHEMA, T.StructField("through", T.LongType())])
+# Streams that name the file of each row in this column are held against ``covered``.
+SOURCE_FILE = "source_file"
+_COVERED = T.StructType([T.StructField("file", T.StringType()), T.StructField("covered_day", T.DateType())])
 
 
 def rollup_build(messages: DataFrame) -> DataFrame:
@@ -73,26 +80,61 @@ def rollup_read(spark: SparkSession, root: str) -> DataFrame:
     return rollup_merge(pending.select(*columns).unionByName(days.select(*columns))).where(F.col("msgs") > 0)
 
 
+def _covered(spark: SparkSession, root: str) -> DataFrame:
+    if not path_exists(spark, f"{root}/covered"):
+        return spark.createDataFrame([], _COVERED)
+    return spark.read.schema(_COVERED).parquet(f"{root}/covered")
+
+
+def _cover(messages: DataFrame, root: str, days: DataFrame | None = None) -> None:
+    """Record the files that ``messages`` are read from as counted, wholly or for ``days``.
+    Messages that do not come from files as they are cannot come again by a stream of files."""
+    try:
+        files = messages.select(F.col("_metadata.file_path").alias("file"), day("sent_date").alias("covered_day"))
+    except AnalysisException:
+        return
+    if days is None:
+        files = files.select("file", F.lit(None).cast("date").alias("covered_day"))
+    else:
+        files = files.join(days.withColumnRenamed("day", "covered_day"), "covered_day", "left_semi").select("file", "covered_day")
+    files.distinct().coalesce(1).write.mode("append").parquet(f"{root}/covered")
+
+
+def _not_covered(messages: DataFrame, root: str) -> DataFrame:
+    """Of a stream's messages those that no backfill or rebuild has counted."""
+    covered = _covered(messages.sparkSession, root)
+    whole = covered.where(F.col("covered_day").isNull()).select("file").distinct()
+    left = messages.join(whole, messages[SOURCE_FILE] == whole["file"], "left_anti")
+    dated = covered.where(F.col("covered_day").isNotNull()).distinct()
+    same = (left[SOURCE_FILE] == dated["file"]) & (day("sent_date") == dated["covered_day"])
+    return left.join(dated, same, "left_anti")
+
+
 def rollup_add(messages: DataFrame, root: str, batch_id: int) -> None:
-    """Add ``messages`` as batch ``batch_id``; repeating it changes nothing."""
+    """Add ``messages`` as batch ``batch_id``; repeating it changes nothing. Rows that name
+    their file are left out if that file has been counted."""
+    if SOURCE_FILE in messages.columns:
+        messages = _not_covered(messages, root)
     rollup_build(messages).write.mode("overwrite").parquet(f"{root}/partials/batch_id={batch_id}")
 
 
 def rollup_backfill(messages: DataFrame, root: str) -> bool:
     """Fill an empty rollup from the messages that are already there. Leaves a rollup that
-    has rows alone. Returns whether rows were added."""
+    has rows alone. Returns whether rows were added. The files they are read from are
+    recorded, so that a stream of the same mart goes on with what comes later."""
     spark = messages.sparkSession
     if not rollup_read(spark, root).isEmpty():
         return False
     rollup_add(messages, root, BACKFILL_BATCH)
+    _cover(messages, root)
     return not rollup_read(spark, root).isEmpty()
 
 
 def rollup_stream(messages: DataFrame, root: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
     """Maintain the rollup from a stream of messages, one partial per micro-batch.
 
-    ``checkpoint`` keeps the stream's progress and must outlive it. Start the stream
-    after the rows a backfill has covered.
+    ``checkpoint`` keeps the stream's progress and must outlive it. A stream of the stored
+    mart (``layout.stream_mart``) leaves out what a backfill, a reload or a rebuild has counted.
     """
     writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
         lambda batch, batch_id: rollup_add(batch, root, batch_id)
@@ -122,7 +164,8 @@ def _store_days(rows: DataFrame, root: str, through: int) -> None:
 def rollup_rebuild(messages: DataFrame, root: str, days: Sequence[date]) -> None:
     """Recompute whole days from the messages, for instance after soft deletes.
 
-    ``messages`` must include everything the rollup has seen. The days' earlier partials
+    ``messages`` must include everything the rollup has seen; what it includes beyond that,
+    a stream that comes to it later leaves out. The days' earlier partials
     stay where they are and are no longer read; a day left without messages stores an
     empty row, which hides them too.
     """
@@ -139,6 +182,7 @@ def rollup_rebuild(messages: DataFrame, root: str, days: Sequence[date]) -> None
         F.lit(0.0).alias("revenue"),
     )
     _store_days(rollup_merge(rebuilt.unionByName(empty)), root, through)
+    _cover(messages, root, chosen)
 
 
 def rollup_compact(spark: SparkSession, root: str) -> int:

@@ -4,6 +4,7 @@ import pytest
 
 from couriermart.contract import MESSAGE_SCHEMA
 from couriermart.session import scratch_path
+from couriermart.sources import layout
 from couriermart.streaming import rollup
 from messages import messages
 
@@ -120,3 +121,40 @@ def test_compaction_changes_nothing_and_goes_on(spark, root):
     assert _totals(rollup.rollup_read(spark, root))[0] == (date(2020, 1, 1), 2, 2, 1.0)
     rollup.rollup_compact(spark, root)
     assert _totals(rollup.rollup_read(spark, root))[0] == (date(2020, 1, 1), 2, 2, 1.0)
+
+
+def _stream(spark, mart, root):
+    source = layout.stream_mart(spark, mart)
+    rollup.rollup_stream(source, f"{root}/rollup", f"{root}/progress", available_now=True).awaitTermination()
+
+
+def test_backfill_then_stream_of_the_same_mart(spark, root):
+    mart = f"{root}/mart"
+    layout.write_mart(_fact(spark), mart)
+    assert rollup.rollup_backfill(layout.open_mart(spark, mart), f"{root}/rollup")
+    _stream(spark, mart, root)
+    assert _totals(rollup.rollup_read(spark, f"{root}/rollup")) == _totals(rollup.rollup_build(_fact(spark)))
+    layout.append_new(messages(spark, [{"message_id": "new", "sent_date": DAY2, "price": 0.7}]), mart)
+    _stream(spark, mart, root)
+    fresh = rollup.rollup_build(layout.open_mart(spark, mart))
+    assert _totals(rollup.rollup_read(spark, f"{root}/rollup")) == _totals(fresh)
+
+
+def test_reload_under_a_stream(spark, root):
+    mart = f"{root}/mart"
+    layout.write_mart(_fact(spark), mart)
+    _stream(spark, mart, root)
+    layout.reload(_fact(spark, {"sent_date": OLD}), mart, f"{root}/rollup")
+    _stream(spark, mart, root)
+    assert _totals(rollup.rollup_read(spark, f"{root}/rollup")) == _totals(rollup.rollup_build(layout.open_mart(spark, mart)))
+
+
+def test_rebuild_with_rows_yet_to_stream(spark, root):
+    mart = f"{root}/mart"
+    layout.write_mart(_fact(spark), mart)
+    _stream(spark, mart, root)
+    more = [{"message_id": "a", "sent_date": DAY1, "price": 0.4}, {"message_id": "b", "sent_date": OLD, "price": 0.6}]
+    layout.append_new(messages(spark, more), mart)
+    rollup.rollup_rebuild(layout.open_mart(spark, mart), f"{root}/rollup", [DAY1.date()])
+    _stream(spark, mart, root)
+    assert _totals(rollup.rollup_read(spark, f"{root}/rollup")) == _totals(rollup.rollup_build(layout.open_mart(spark, mart)))
