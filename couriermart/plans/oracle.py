@@ -484,7 +484,7 @@ ORACLES: dict[str, str] = {
         FROM active"""
     ),
     "format_roundtrip": _over(
-        f"SELECT unnest(['csv', 'parquet', 'orc']) AS format, * FROM (SELECT {_FINGERPRINT} FROM mart)"
+        f"SELECT unnest(['csv', 'parquet', 'orc']) AS format, * FROM (SELECT {_FINGERPRINT}, true AS same_rows FROM mart)"
     ),
     "report_roundtrip": _report(),
 }

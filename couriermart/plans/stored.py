@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from ..session import scratch_path
+from ..session import path_exists, scratch_path
 from ..sources.layout import write_mart
 from ..sources.mart import mart
 from ..streaming.rollup import ROLLUP_INPUTS, rollup_backfill
@@ -14,7 +14,8 @@ _loaded: dict[tuple[str, str, str], str] = {}
 
 def _once(spark: SparkSession, kind: str, sf_dir: str, load) -> str:
     key = (spark.sparkContext.applicationId, kind, sf_dir)
-    if key not in _loaded:
+    # The scratch folder may have been released since.
+    if key not in _loaded or not path_exists(spark, _loaded[key]):
         path = scratch_path(spark, kind)
         load(path)
         _loaded[key] = path

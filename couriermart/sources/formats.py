@@ -100,9 +100,12 @@ def against_csv(results: Sequence[FormatResult]) -> dict[str, dict[str, float]]:
 
 
 def survivors(messages: DataFrame, results: Sequence[FormatResult]) -> DataFrame:
-    """Each format's fingerprint, one row per format."""
+    """Each format's fingerprint, one row per format; ``same_rows`` compares all columns of all rows."""
+    every = F.bit_xor(F.xxhash64(*messages.columns))
+    written = messages.agg(every.alias("h")).first().h
+    same = every.eqNullSafe(F.lit(written)).alias("same_rows")
     frames = [
-        read_back(messages, result).agg(*fingerprint(messages)).select(F.lit(result.format).alias("format"), "*")
+        read_back(messages, result).agg(*fingerprint(messages), same).select(F.lit(result.format).alias("format"), "*")
         for result in results
     ]
     combined = frames[0]
