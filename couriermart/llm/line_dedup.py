@@ -35,6 +35,8 @@ RANKED = 1 << 20
 PIVOT_ROUNDS = 1
 #: Sets of fewer words are only similar to equal ones.
 LEAST_WORDS = 4
+#: Words of two lines together up to which they differ in three words at most.
+SHORT_TOGETHER = 35
 #: Sizes and places from here on are one in postings, which hold two bytes of each.
 LONG = (1 << 16) - 1
 
@@ -285,7 +287,27 @@ def _dead_classes(records: DataFrame) -> DataFrame:
     needed = F.ceil(both * NUMERATOR / (NUMERATOR + DENOMINATOR))
     apart = F.bit_count(F.col("parity_earlier").bitwiseXOR(F.col("parity_later")))
     near = (F.col("earlier") < F.col("later")) & (F.least("size_earlier", "size_later") >= needed) & (apart <= both - needed * 2)
-    rest = later.join(earlier, "token").where(near).select("later", "earlier").distinct()
+
+    # Short lines fill the longest lists. Two of up to 35 words together differ in three words at
+    # most, so that one of four parts of their parities is equal, which splits those lists.
+    def parts_of_short(rows: DataFrame, name: str) -> DataFrame:
+        part = F.transform(
+            F.sequence(F.lit(0), F.lit(3)),
+            lambda i: F.struct(
+                i.alias("part"),
+                F.call_function("shiftright", F.col(f"parity_{name}"), i * 16).bitwiseAND(F.lit(0xFFFF)).alias("bits"),
+            ),
+        )
+        return rows.where(F.col(f"size_{name}") <= SHORT_TOGETHER // 2 + 2).withColumn("k", F.explode(part)).select("*", "k.part", "k.bits").drop("k")
+
+    short = parts_of_short(later, "later").join(parts_of_short(earlier, "earlier"), ["token", "part", "bits"]).where(
+        near & (both <= SHORT_TOGETHER)
+    )
+    least = (SHORT_TOGETHER + 1) * NUMERATOR // (NUMERATOR + DENOMINATOR)
+    long = later.where(F.col("size_later") >= least).join(earlier.where(F.col("size_earlier") >= least), "token").where(
+        near & (both > SHORT_TOGETHER)
+    )
+    rest = short.select("later", "earlier").unionByName(long.select("later", "earlier")).distinct()
     dead.append(settled(_similar(settled(rest, "line-pairs"), records), "lines-similar"))
     found = dead[0]
     for more in dead[1:]:
