@@ -32,7 +32,7 @@ from .words import LOWER, SPACED, find_words, mix, slices
 NUMERATOR, DENOMINATOR = 4, 5
 #: Words are ranked by count from one in so many words of the corpus on, so there are at most as many.
 RANKED = 1 << 20
-PIVOT_ROUNDS = 1
+PIVOT_ROUNDS = 3
 #: Sets of fewer words are only similar to equal ones.
 LEAST_WORDS = 4
 #: Words of two lines together up to which they differ in three words at most.
