@@ -9,13 +9,12 @@ hold the time of the capture.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import attach
 
-#: Longer names are no host names; they are looked up as a whole only.
-LONGEST_HOST = 253
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:\[]*)"
 
 
@@ -28,19 +27,25 @@ def without_fragment(url: Column) -> Column:
     return F.substring_index(url, "#", 1)
 
 
-def url_keys(url: Column) -> Column:
-    """What a URL may be listed by: ``host``, each ``domain`` it lies in, and the ``url`` without fragment."""
+def domain_labels(entries: DataFrame) -> list[int]:
+    """The numbers of labels that listed domains have."""
+    labels = F.size(F.split("key", r"\."))
+    return [row.n for row in entries.where((F.col("kind") == "domain") & F.col("key").isNotNull()).select(labels.alias("n")).distinct().collect()]
+
+
+def url_keys(url: Column, n_labels: list[int]) -> Column:
+    """What a URL may be listed by: ``host``, each ``domain`` of ``n_labels`` labels it lies in, and the ``url``
+    without fragment. Other domains are not listed, so that the keys of a long host are few as well."""
 
     def key(kind: str, value: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), value.alias("key"))
 
     host = host_of(url)
     labels = F.split(host, r"\.")
+    listed = F.filter(F.lit(np.array(sorted(n_labels), np.int32)), lambda n: n <= F.size(labels))
     domains = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: key("domain", F.array_join(F.slice(labels, i, F.size(labels) - i + 1), ".")),
+        listed, lambda n: key("domain", F.array_join(F.slice(labels, F.size(labels) - n + 1, n), "."))
     )
-    domains = F.when(F.length(host) <= LONGEST_HOST, domains).otherwise(F.array(key("domain", host)))
     return F.concat(F.array(key("host", host), key("url", without_fragment(url))), domains)
 
 
@@ -78,7 +83,7 @@ def filter_urls(captures: DataFrame, entries: DataFrame) -> DataFrame:
     block nothing.
     """
     asked = captures.select("url", "fetched_at").where(F.col("url").isNotNull() & F.col("fetched_at").isNotNull()).distinct()
-    keys = asked.select("url", "fetched_at", F.explode(F.array_distinct(url_keys(F.col("url")))).alias("k")).select(
+    keys = asked.select("url", "fetched_at", F.explode(F.array_distinct(url_keys(F.col("url"), domain_labels(entries)))).alias("k")).select(
         "url", "fetched_at", "k.kind", "k.key", _month(F.col("fetched_at")).alias("month")
     )
     span = captures.agg(F.min("fetched_at").alias("lo"), F.max("fetched_at").alias("hi")).first()

@@ -36,3 +36,14 @@ def test_as_of(spark):
     assert {row.page_id: row.host for row in got.collect()}[4] == "www.bad.org"
     assert filter_urls(captures.where("page_id > 99"), entries).collect() == []
     assert filter_urls(captures, entries.where("list = 'none'")).where("blocked").collect() == []
+
+
+def test_long_hosts(spark):
+    deep = "x." * 300 + "deep.org"
+    entries = spark.createDataFrame([
+        ("adult", "domain", "bad.org", day(1), True, 0), ("adult", "domain", deep, day(1), True, 0), ("spam", "domain", "org", day(1), True, 0),
+    ], ENTRIES)
+    hosts = ["a." * 5000 + "bad.org", "a." * 124 + "bad.org", "y." + deep, deep, "y." + deep[2:], "a." * 5000 + "notbad.com", "bad.org.com"]
+    captures = spark.createDataFrame([(i, f"http://{host}/", day(16), None, None, None) for i, host in enumerate(hosts)], CAPTURES)
+    found = {row.page_id: (row.n_entries, row.lists) for row in filter_urls(captures, entries).collect()}
+    assert found == {0: (2, "adult,spam"), 1: (2, "adult,spam"), 2: (2, "adult,spam"), 3: (2, "adult,spam"), 4: (1, "spam"), 5: (0, ""), 6: (0, "")}
