@@ -38,13 +38,16 @@ CALIBRATION_PART = 4
 WINDOW = 8
 STEM_BYTES = 4
 CODE_BYTES = 7
-#: Words in either dictionary at most.
-TOXIC_WORDS = 500
+#: Bytes of a dictionary at most, as a power of two, and words in either one at most.
+DICTIONARY_LOG = 22
 COMMON_WORDS = 500
+TOXIC_WORDS = (1 << DICTIONARY_LOG) // (2 * CODE_BYTES) - COMMON_WORDS
 #: A stem or word is toxic if seen in so many surroundings, so many times as often as in ordinary text, and so many deviations above it.
 LEAST_SEEN = 6
 LEAST_RATIO = 8.0
 LEAST_DEVIATIONS = 6.0
+#: The same three of the tests that are tried in turn if no word passes.
+WEAKER_TESTS = ((4, 4.0, 3.0), (2, 2.0, 1.0))
 STEMS = (4, 12)
 NOISE_LEVELS = tuple(range(2, 11))
 #: A clean document called toxic weighs as much as so many toxic ones missed.
@@ -90,9 +93,17 @@ def dictionaries(toxic: list[str], common: list[str]) -> Model:
     return Model(_codes_of(toxic[::-1]) + shared, shared)
 
 
-def _compressor(content: bytes) -> zstandard.ZstdCompressor:
+def _compressors(model: Model) -> tuple[zstandard.ZstdCompressor, zstandard.ZstdCompressor]:
+    """Of the toxic and the ordinary dictionary, with room for the larger one and a text. In tables
+    of 12 bits the places of more than a thousand words push each other out."""
+    log = max(15, (len(model.toxic) + 4096).bit_length())
+    tables = log if len(model.toxic) > 1000 * 2 * CODE_BYTES else 12
+    return _compressor(model.toxic, log, tables), _compressor(model.ordinary, log, tables)
+
+
+def _compressor(content: bytes, log: int, tables: int) -> zstandard.ZstdCompressor:
     settings = zstandard.ZstdCompressionParameters(
-        strategy=zstandard.STRATEGY_GREEDY, window_log=15, chain_log=12, hash_log=12, search_log=3, min_match=5,
+        strategy=zstandard.STRATEGY_GREEDY, window_log=log, chain_log=tables, hash_log=tables, search_log=3, min_match=5,
         target_length=16, write_content_size=0, write_checksum=0, write_dict_id=0,
     )
     kind = zstandard.DICT_TYPE_RAWCONTENT
@@ -157,8 +168,9 @@ def _contexts(sample: DataFrame) -> DataFrame:
     return kinds.groupBy("word").agg(F.sum("toxic").cast("long").alias("toxic"), F.sum(1 - F.col("toxic")).cast("long").alias("ordinary"))
 
 
-def _toxic_words(contexts: DataFrame, ratio: float) -> list[str]:
+def _toxic_words(contexts: DataFrame, ratio: float, test: tuple[int, float, float] | None = None) -> list[str]:
     """The words that are telling themselves or begin with a telling stem, the most frequent first."""
+    least_seen, least_ratio, least_deviations = test or (LEAST_SEEN, LEAST_RATIO, LEAST_DEVIATIONS)
     segments = contexts.withColumn(
         "segment",
         F.explode(
@@ -177,9 +189,9 @@ def _toxic_words(contexts: DataFrame, ratio: float) -> list[str]:
         .groupBy("segment")
         .agg(F.sum("toxic").alias("t"), F.sum("ordinary").alias("o"))
         .where(
-            (F.col("t") >= LEAST_SEEN)
-            & (F.col("t") >= expected * LEAST_RATIO)
-            & (F.col("t") - expected >= F.sqrt(expected) * LEAST_DEVIATIONS)
+            (F.col("t") >= least_seen)
+            & (F.col("t") >= expected * least_ratio)
+            & (F.col("t") - expected >= F.sqrt(expected) * least_deviations)
         )
     )
     picked = segments.join(telling, "segment", "left_semi").where("toxic > ordinary").groupBy("word").agg(F.max("toxic").alias("n"))
@@ -187,7 +199,8 @@ def _toxic_words(contexts: DataFrame, ratio: float) -> list[str]:
 
 
 def fit(documents: DataFrame, labels: DataFrame) -> Model | None:
-    """A model from documents ``doc_id, text`` and labels ``doc_id, toxic``; None without toxic and ordinary ones.
+    """A model from documents ``doc_id, text`` and labels ``doc_id, toxic``; None without toxic and ordinary ones,
+    or if no word passes even the weakest of the tests.
 
     It is fitted on at most ``FIT_TOXIC`` and ``FIT_ORDINARY`` labelled documents, whole
     texts; only words that fit into the dictionaries and a few numbers for each calibrating
@@ -200,15 +213,18 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model | None:
     totals = contexts.agg(F.sum("toxic").alias("t"), F.sum("ordinary").alias("o")).first()
     if not totals.t or not totals.o:
         return None
-    toxic = _toxic_words(contexts, totals.t / totals.o)
-    if not toxic:
+    for test in (None, *WEAKER_TESTS):
+        toxic = _toxic_words(contexts, totals.t / totals.o, test)
+        if toxic:
+            break
+    else:
         return None
     common = [r.word for r in contexts.orderBy(F.desc("ordinary"), "word").limit(COMMON_WORDS).collect()]
     model = dictionaries(toxic, [word for word in common if word not in set(toxic)])
     held = sample.where(part == 0)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        against = _compressor(model.toxic), _compressor(model.ordinary)
+        against = _compressors(model)
         for batch in batches:
             values = excesses(batch.column("text"), *against, NOISE_LEVELS)
             yield pa.RecordBatch.from_pydict({"toxic": batch.column("toxic"), "excess": pa.array(list(values), pa.list_(pa.float64()))})
@@ -250,7 +266,7 @@ def score_texts(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("
     schema = docs.select(*keep, F.lit(0.0).alias("score")).schema
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        against = (_compressor(model.toxic), _compressor(model.ordinary)) if model else None
+        against = _compressors(model) if model else None
         for batch in batches:
             scores = model.score(excesses(batch.column(given), *against, (model.noise,))[:, 0]) if model else np.zeros(batch.num_rows)
             columns = {name: batch.column(name) for name in keep}

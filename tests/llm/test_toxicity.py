@@ -67,3 +67,28 @@ def test_query_on_held_out_rows(spark, tables):
     rates = {row.toxic: row.p for row in held}
     assert rates[1] > 0.85 and rates[0] < 0.03
     assert found.count() == spark.read.parquet(f"{path}/documents.parquet").count()
+
+
+def test_many_toxic_words(spark):
+    words = [f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}vile{i}" for i in range(1500)]
+    contexts = spark.createDataFrame([(w, 40, 0) for w in words] + [("ordinary", 10, 60_000)], "word string, toxic long, ordinary long")
+    assert sorted(toxicity._toxic_words(contexts, 1.0)) == sorted(words)
+
+
+def test_weaker_test_if_no_word_passes(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "LEAST_SEEN", 10**6)
+    train, other = made(900, 1), made(300, 2)
+    frame = spark.createDataFrame([(i, text, 0.5, "") for i, text, _ in train + other], DOCS)
+    model = fit(frame, spark.createDataFrame([(i, t) for i, _, t in train], "doc_id long, toxic int"))
+    scores = {row.doc_id: row.score for row in score_texts(frame, model).collect()}
+    assert np.mean([scores[i] >= 0.7 for i, _, t in other if t]) > 0.8
+    assert np.mean([scores[i] >= 0.7 for i, _, t in other if not t]) < 0.1
+
+
+def test_every_word_of_a_large_dictionary_saves():
+    named = lambda i, end: f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}{end}"
+    words = [named(i, "vile") for i in range(1500)]
+    texts = [" ".join([word, *(named(7 * i + n, "mild") for n in range(7))]) for i, word in enumerate(words)]
+    model = toxicity.dictionaries(words, ["the", "of"])
+    saved = toxicity.excesses(toxicity.pa.array(texts), *toxicity._compressors(model), (2,))
+    assert (saved > 0).mean() > 0.99
