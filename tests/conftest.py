@@ -8,8 +8,7 @@ ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 
 from couriermart.session import build_session, release_scratch  # noqa: E402
-
-TESTDATA = "/root/testdata"
+from support import TESTDATA  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -33,7 +32,3 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_dir():
     return f"{TESTDATA}/sf0.001"
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -3,7 +3,6 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
 from couriermart.contract import MESSAGE_COLUMNS
 from couriermart.plans.datasets import ensure_datasets
 from couriermart.plans.report import full_report
@@ -12,6 +11,7 @@ from couriermart.sources import formats, layout, reports
 from couriermart.sources.mart import mart
 from couriermart.streaming.rollup import rollup_read, rollup_stream
 from messages import messages
+from support import plan_of
 
 
 @pytest.fixture(scope="module")

@@ -4,9 +4,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from conftest import TESTDATA
 from couriermart.plans.oracle import ORACLES
 from couriermart.plans.queries import QUERIES
+from support import TESTDATA
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "

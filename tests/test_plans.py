@@ -3,9 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import TESTDATA, plan_of
 from couriermart.plans.queries import QUERIES
 from couriermart.sources.mart import active_mart, mart
+from support import TESTDATA, plan_of
 
 SF = f"{TESTDATA}/sf0.01"
 LAZY = [
