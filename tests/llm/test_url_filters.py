@@ -31,7 +31,7 @@ def test_as_of(spark):
     assert found == sorted([
         (1, 0, "", False), (2, 1, "adult", True), (3, 2, "adult,spam", True), (3, 2, "adult,spam", True),
         (4, 1, "spam", True), (5, 1, "adult", True), (6, 0, "", False), (7, 1, "gone", True), (8, 0, "", False),
-        (9, 0, "", False), (10, 0, "", False), (11, 0, "", False), (12, 0, "", False),
+        (9, 0, "", False), (10, 0, "", False), (11, 0, "", False), (12, 1, "adult", True),
     ])
     assert {row.page_id: row.host for row in got.collect()}[4] == "www.bad.org"
     assert filter_urls(captures.where("page_id > 99"), entries).collect() == []
