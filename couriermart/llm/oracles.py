@@ -124,3 +124,49 @@ with v as (
 )
 select query_id, rank, vec_id, score from ranked where rank <= 5
 """
+
+FILTER_AUDIT = r"""
+with recursive texts as (
+    select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words
+    from documents
+), firsts as (
+    select text, min(doc_id) as first_id from texts group by text
+), known as (
+    select doc_id, max(coalesce(quality, 0) = 1) as good, max(coalesce(toxic, 0) = 1) as toxic from labels group by doc_id
+), failing as (
+    select t.part, coalesce(l.good, false) as good, coalesce(l.toxic, false) as toxic,
+        (len(t.words) < 200) as a,
+        (100 * len(list_distinct(t.words)) < 50 * len(t.words)) as b,
+        (100 * length(regexp_replace(t.text, '[^A-Z]', '', 'g')) > 3 * length(t.text)) as c,
+        regexp_matches(t.text, '[#$%&*|]') as d,
+        coalesce(t.doc_id > f.first_id, false) as e
+    from texts t join firsts f using (text) left join known l on t.doc_id = l.doc_id
+), listed as (
+    select part, good, toxic, concat(case when a then 'A' else '' end, case when b then 'B' else '' end,
+        case when c then 'C' else '' end, case when d then 'D' else '' end, case when e then 'E' else '' end) as fails,
+        count(*) as n
+    from failing group by all
+), orders(o) as (
+    select '' union all select o || x from orders, (values ('A'), ('B'), ('C'), ('D'), ('E')) v(x) where not contains(o, x)
+), steps as (
+    select o as filter_order, cast(s as integer) as step, substr(o, 1, s - 1) as before, substr(o, s, 1) as letter
+    from orders, range(1, 6) r(s) where length(o) = 5
+), met as (
+    select part, filter_order, step, letter, n, good, toxic, fails,
+        before <> '' and regexp_matches(fails, '[' || before || '_]') as gone, contains(fails, letter) as hit
+    from listed, steps
+), counted as (
+    select part, filter_order, step, letter,
+        cast(sum(case when not gone and not hit then n else 0 end) as bigint) as kept,
+        cast(sum(case when not gone and hit then n else 0 end) as bigint) as removed,
+        cast(sum(case when gone and hit then n else 0 end) as bigint) as redundant,
+        cast(sum(case when fails = letter then n else 0 end) as bigint) as unique_fails,
+        cast(sum(case when not gone and hit and good then n else 0 end) as bigint) as good_lost,
+        cast(sum(case when not gone and hit and toxic then n else 0 end) as bigint) as toxic_lost
+    from met group by all
+)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+    cast(sum(removed) over (partition by part, letter) as bigint) as shapley
+from counted
+"""

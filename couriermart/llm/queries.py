@@ -11,6 +11,7 @@ from ..session import scratch_path
 from . import oracles
 from .chat import format_chats, gather_turns, read_loss, read_turns
 from .decontaminate import find_contamination
+from .filter_audit import audit_filters
 from .jaccard import near_duplicates
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
@@ -162,6 +163,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("letter")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_decontaminate": op2_decontaminate,
@@ -173,6 +178,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_warc": op9_warc,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 ORACLES: dict[str, str] = {
@@ -181,4 +187,5 @@ ORACLES: dict[str, str] = {
     "op5_chat_format": oracles.FORMAT_CHATS,
     "op8_url_filter": oracles.FILTER_URLS,
     "op9_warc": oracles.WARC,
+    "op11_filter_audit": oracles.FILTER_AUDIT,
 }
