@@ -15,6 +15,7 @@ from .filter_audit import audit_filters
 from .jaccard import near_duplicates
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
+from .spelling import group_variants
 from .suffix_dedup import dedup_strings
 from .topk import topk_inner
 from .toxicity import TOXIC_SCORE, fit, is_held_out, score_texts
@@ -167,6 +168,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("letter")
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_decontaminate": op2_decontaminate,
@@ -179,6 +184,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc": op9_warc,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_filter_audit": op11_filter_audit,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLES: dict[str, str] = {
