@@ -15,6 +15,8 @@ from .filter_audit import audit_filters
 from .jaccard import near_duplicates
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
+from .quality import GOOD_SCORE, score_quality
+from .quality import fit as fit_quality
 from .spelling import group_variants
 from .suffix_dedup import dedup_strings
 from .topk import topk_inner
@@ -168,6 +170,18 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("letter")
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents, by a model that has not seen the labels of held-out rows."""
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = fit_quality(documents, labels.where(~is_held_out(F.col("doc_id"))))
+    return score_quality(documents, model).select(
+        "doc_id",
+        is_held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= GOOD_SCORE, 1).otherwise(0).cast("int").alias("predicted"),
+    )
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_variants(_table(spark, sf_dir, "documents"))
 
@@ -184,6 +198,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc": op9_warc,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_filter_audit": op11_filter_audit,
+    "op12_quality": op12_quality,
     "op13_spelling": op13_spelling,
 }
 

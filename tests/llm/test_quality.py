@@ -1,0 +1,195 @@
+"""The line field against sums over all labellings, plain descriptions of lines, and held-out labels."""
+
+import itertools
+import math
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from couriermart.llm import quality
+from couriermart.llm.quality import (
+    FEATURES, Model, chain_loss, describe, fit, forward_backward, good_shares, line_odds, minimise, score_quality, split_lines,
+)
+from couriermart.llm.queries import op12_quality
+from couriermart.llm.words import text_bytes
+from llm_checks import TESTDATA
+
+DOCS = "doc_id long, text string, score double, good int, quality int"
+LABELS = "doc_id long, quality int, toxic int, text string"
+TEXTS = ["First line.\n\nSecond LINE ### of it | x\n \t\n", "", None, "one line", "\n\n", "Ünï çode!! été\r\n-- --\x0b123 a_b a_b", "no end\nx",
+         "w " * 5000 + "\n" + "\n".join("ab c" for _ in range(700))]
+
+
+def some_model(seed=1):
+    draw = np.random.default_rng(seed)
+    return Model(draw.normal(0, 0.7, (3, FEATURES)), draw.normal(0, 1, (2, 2)), 1.5, -0.2)
+
+
+def plain_features(line):
+    spaces, marks = " \t\n\x0b\x0c\r", "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+    low, high, ten = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    kinds = [low, high, ten, spaces]
+    other = [c for c in line if ord(c) < 128 and not any(c in k for k in (*kinds, marks))]
+    counts = [sum(c in k for c in line) for k in kinds] + [len(other), sum(ord(c) > 127 for c in line)] + [line.count(m) for m in marks]
+    words = line.translate({ord(c): " " for c in spaces}).split(" ")
+    words = [w for w in words if w]
+    n, chars = max(1, len(words)), max(1, len(line))
+    stops = ".!?:;,\"')"
+    return [
+        1, *(c / chars for c in counts), math.log1p(chars) / 8, math.log1p(n) / 6, min(3, (chars - counts[3]) / n / 8), len(set(words)) / n,
+        sum(w[-1] in marks and w[-1] not in stops for w in words) / n, sum(len(w) == 1 and w in marks for w in words) / n,
+        sum(w[0] in high for w in words) / n, sum(a == b for a, b in itertools.pairwise(words)) / n,
+        counts[1] / max(1, counts[0] + counts[1] + counts[5]), line[0] in high, line[-1] in stops,
+    ]
+
+
+def plain_lines(text):
+    return [line for line in (text or "").split("\n") if line.strip(" \t\n\x0b\x0c\r")]
+
+
+def plain_share(text, model):
+    """By a sum over all labellings of up to 12 lines, else by messages in plain numbers."""
+    lines = plain_lines(text)
+    if not lines:
+        return 0.0
+    features = np.array([plain_features(line) for line in lines])
+    odds = features @ model.weights[1]
+    odds[1:] += features[:-1] @ model.weights[0]
+    odds[:-1] += features[1:] @ model.weights[2]
+    sizes = np.array([len(line.encode()) for line in lines])
+    if len(lines) <= 12:
+        total, good = 0.0, np.zeros(len(lines))
+        for labels in itertools.product((0, 1), repeat=len(lines)):
+            chance = math.exp(sum(o for o, y in zip(odds, labels, strict=True) if y) + sum(model.step[a, b] for a, b in itertools.pairwise(labels)))
+            total, good = total + chance, good + chance * np.array(labels)
+        good /= total
+    else:
+        ahead, behind = [np.array([1, math.exp(odds[0])])], [np.ones(2)]
+        for o in odds[1:]:
+            v = (ahead[-1] @ np.exp(model.step)) * [1, math.exp(o)]
+            ahead.append(v / v.sum())
+        for o in odds[:0:-1]:
+            v = np.exp(model.step) @ (behind[0] * [1, math.exp(o)])
+            behind.insert(0, v / v.sum())
+        both = np.array(ahead) * np.array(behind)
+        good = both[:, 1] / both.sum(axis=1)
+    return float(good @ sizes / sizes.sum())
+
+
+def test_shares_equal_plain_sums():
+    model = some_model()
+    column = pa.array(TEXTS)
+    assert good_shares(column, model) == pytest.approx([plain_share(text, model) for text in TEXTS], abs=1e-4)
+
+
+def test_blocks_and_slices_change_nothing(monkeypatch):
+    model = some_model(2)
+    whole = good_shares(pa.array(TEXTS), model)
+    monkeypatch.setattr(quality, "BLOCK_LINES", 3)
+    monkeypatch.setattr(quality, "PART_BYTES", 64)
+    assert good_shares(pa.array(TEXTS), model) == pytest.approx(whole, abs=1e-5)
+    assert [float(good_shares(pa.array([text], pa.string()), model)[0]) for text in TEXTS] == pytest.approx(whole.tolist(), abs=1e-5)
+
+
+def test_features_equal_plain_ones():
+    data, bounds = text_bytes(pa.array(TEXTS))
+    lines = split_lines(data, bounds)
+    assert [bytes(data[a:b]).decode() for a, b in zip(lines.start, lines.end, strict=True)] == [line for t in TEXTS for line in plain_lines(t)]
+    assert np.diff(lines.first).tolist() == [len(plain_lines(text)) for text in TEXTS]
+    got = np.concatenate([describe(lines, a, b) for a, b in lines.blocks()])
+    assert got == pytest.approx(np.array([plain_features(line) for text in TEXTS for line in plain_lines(text)]), abs=1e-5)
+
+
+def test_forward_backward_equals_enumeration():
+    draw = np.random.default_rng(4)
+    lengths = [1, 5, 2, 7, 1, 3]
+    first = np.concatenate([[0], np.cumsum(lengths)])
+    odds, step = draw.normal(0, 2, first[-1]), draw.normal(0, 1.5, (2, 2))
+    chance, total, moves = forward_backward(odds, first, step)
+    for chain, length in enumerate(lengths):
+        own = odds[first[chain] : first[chain + 1]]
+        sums, good, moved = 0.0, np.zeros(length), np.zeros((2, 2))
+        for labels in itertools.product((0, 1), repeat=length):
+            weight = math.exp(sum(own[i] * y for i, y in enumerate(labels)) + sum(step[a, b] for a, b in itertools.pairwise(labels)))
+            sums, good = sums + weight, good + weight * np.array(labels)
+            for a, b in itertools.pairwise(labels):
+                moved[a, b] += weight
+        assert total[chain] == pytest.approx(math.log(sums))
+        assert chance[first[chain] : first[chain + 1]] == pytest.approx(good / sums)
+        assert moves[chain] == pytest.approx(moved / sums)
+
+
+def test_neighbours_of_other_chains_do_not_count():
+    projected = np.arange(15.0).reshape(5, 3)
+    assert line_odds(projected, np.array([0, 2, 3, 5])).tolist() == [1 + 5, 4 + 0, 7, 10 + 14, 13 + 9]
+
+
+def test_gradient():
+    draw = np.random.default_rng(7)
+    features = [draw.normal(0, 1, (n, FEATURES)).astype(np.float32) for n in (1, 4, 9, 2)]
+    good, theta = np.array([1, 0, 1, 0]), draw.normal(0, 0.3, 3 * FEATURES + 4)
+    value, gradient = chain_loss(good, features, theta)
+    for at in (0, 5, FEATURES + 3, 2 * FEATURES + 7, *range(3 * FEATURES, 3 * FEATURES + 4)):
+        step = np.zeros(len(theta))
+        step[at] = 1e-5
+        apart = (chain_loss(good, features, theta + step)[0] - chain_loss(good, features, theta - step)[0]) / 2e-5
+        assert gradient[at] == pytest.approx(apart, abs=1e-4)
+    found = minimise(lambda t: (float(((t - 3) ** 2 * [1, 50]).sum()), 2 * (t - 3) * [1, 50]), np.zeros(2), 40)
+    assert found == pytest.approx([3, 3], abs=0.05) and value > 0
+
+
+def test_held_out_labels(spark):
+    rows = op12_quality(spark, f"{TESTDATA}/sf0.01").collect()
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{TESTDATA}/sf0.01/labels.parquet").collect()}
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1 for r in rows)
+    assert all(r.predicted == (r.score >= 0.5) for r in rows)
+    held = [r for r in rows if r.held_out and r.doc_id in labels]
+    for label, least in ((0, 0.9), (1, 0.97)):
+        own = [r for r in held if labels[r.doc_id] == label]
+        assert sum(r.predicted == label for r in own) >= least * len(own)
+
+
+def made(count):
+    """Plain prose is good, lines of marks are bad; the labels of every tenth document are missing."""
+    draw = random.Random(11)
+    rows, labels = [], []
+    for i in range(count):
+        good = i % 3 > 0
+        words = ["".join(draw.choices("abcdefghij", k=draw.randint(2, 9))) + ("" if good else "%%") for _ in range(60)]
+        rows.append((i, "\n".join(" ".join(words[k : k + 12]) + "." for k in range(0, 60, 12))))
+        if i % 10:
+            labels.append((i, int(good)))
+    return rows, labels
+
+
+def frames(spark, rows, labels):
+    docs = spark.createDataFrame([(*row, 0.5, 7, 9) for row in rows], DOCS).repartition(3)
+    return docs, spark.createDataFrame([(*row, 1, "clash") for row in labels], LABELS)
+
+
+def test_odd_rows(spark):
+    rows, labels = made(300)
+    odd = [(1, None), (1, ""), (None, "some words here."), (2, rows[2][1]), (2, rows[2][1]), (900, "x" * 300_000), (901, "a\n" * 20_000),
+           (902, None), (903, ""), (904, "\n \n")]
+    docs, known = frames(spark, rows + odd, labels + [(2, 0), (2, None), (None, 1), (5, 3), (4_000, 0)])
+    got = score_quality(docs, fit(docs, known)).collect()
+    assert len(got) == len(rows) + len(odd) and all(0 <= r.score <= 1 for r in got)
+    by_id = {r.doc_id: r.score for r in got}
+    assert len({r.score for r in got if r.doc_id == 2}) == 1
+    assert by_id[902] == by_id[903] == by_id[904] == min(r.score for r in got) < 0.5
+    right = sum((by_id[i] >= 0.5) == (i % 3 > 0) for i, _ in rows if i > 2)
+    assert right >= 0.98 * (len(rows) - 3)
+    kept = score_quality(docs, fit(docs, known), keep=("doc_id", "text", "good"))
+    assert kept.columns == ["doc_id", "text", "good", "score"] and kept.where("good = 7").count() == len(got)
+
+
+def test_without_labels_or_documents(spark):
+    rows, labels = made(20)
+    for own, known in ((rows, []), (rows, [(i, 1) for i, _ in rows]), ([], labels), ([(1, None), (2, None)], [(1, 0), (2, 1)])):
+        docs, frame = frames(spark, own, known)
+        model = fit(docs, frame)
+        assert model is None
+        assert [r.score for r in score_quality(docs, model).collect()] == [0.5] * len(own)
