@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -85,6 +87,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
+def source_files(df: DataFrame) -> list[str]:
+    """The files that ``df`` reads, in the form of ``_metadata.file_path``. Spark's scans hold this list on the driver anyway."""
+    return [name.replace(":///", ":/", 1) for name in df.inputFiles()]
+
+
+def as_paths(files: Iterable[str]) -> list[str]:
+    """Files named as in ``_metadata.file_path``, where special characters are coded, as paths to read."""
+    return [unquote(name) for name in files]
+
+
 def path_bytes(spark: SparkSession, path: str) -> int:
     """Bytes stored below ``path``, from the file system's own listing."""
     location = spark._jvm.org.apache.hadoop.fs.Path(path)

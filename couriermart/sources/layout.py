@@ -2,7 +2,18 @@
 
 Readers by time skip months (``ym``). Inside a month the rows are ordered by customer
 and time across files, so row-group statistics serve a customer's messages in a period.
-Lookups by message or application, which neither helps, are served by bloom filters.
+Lookups by message go through an index (``sources.ids``), by application through bloom filters.
+
+Below the mart's path lie
+
+``generation=G``  the messages. Replacing the mart writes a new generation; a commit (see
+                  ``sources.commits``) says which one is current
+``_changes``      soft deletes, a row for each message that was deleted after it was stored:
+                  its state at that time, and when it was deleted. Readers apply them
+``_ids``          the index of ids
+
+Appends and deletes are files added to the current generation. Both leave out what is there
+already, so that repeating one that died half way finishes it.
 """
 
 from __future__ import annotations
@@ -16,12 +27,16 @@ from pyspark.sql import types as T
 from ..contract import MESSAGE_COLUMNS, MESSAGE_SCHEMA
 from ..functions.dates import year_month
 from ..operators.charts import Filters, apply_filters
-from ..session import path_exists
-from ..streaming.rollup import SOURCE_FILE, rollup_backfill
+from ..streaming.rollup import GENERATION, SIGN, SOURCE_FILE, SOURCE_MART, rollup_replace
+from . import commits, ids
 
 PARTITION = "ym"
 SORT = ["customer_id", "sent_date", "country", "delivery_status", "message_id"]
 STORED_SCHEMA = T.StructType([*MESSAGE_SCHEMA, T.StructField(PARTITION, T.IntegerType())])
+CHANGES = "_changes"
+NEW_DELETED_AT = "new_deleted_at"
+_CHANGE_SCHEMA = T.StructType([*STORED_SCHEMA, T.StructField(NEW_DELETED_AT, T.TimestampNTZType())])
+_GENERATION_FIELD = T.StructField(GENERATION, T.StringType())
 
 # Fixed value: the share of lookups a bloom filter may let through in vain.
 BLOOM_FPP = "0.01"
@@ -35,14 +50,14 @@ def _with_month(messages: DataFrame) -> DataFrame:
     return messages.select(*MESSAGE_COLUMNS).withColumn(PARTITION, year_month("sent_date").cast("int"))
 
 
-def _write(stored: DataFrame, path: str, mode: str, partitions: int | None) -> None:
+def _write(stored: DataFrame, path: str, partitions: int | None) -> None:
     # A range over (month, customer, time, id) has no hot key: a month or a customer with
     # a third of all rows is spread over a third of the tasks.
     key = [PARTITION, "customer_id", "sent_date", "message_id"]
     ranged = stored.repartitionByRange(partitions, *key) if partitions else stored.repartitionByRange(*key)
     (
         ranged.sortWithinPartitions(PARTITION, *SORT)
-        .write.mode(mode)
+        .write.mode("append")
         .partitionBy(PARTITION)
         .option("maxRecordsPerFile", FILE_ROWS)
         .option("parquet.bloom.filter.enabled#message_id", "true")
@@ -55,30 +70,111 @@ def _write(stored: DataFrame, path: str, mode: str, partitions: int | None) -> N
     )
 
 
-def write_mart(messages: DataFrame, path: str, partitions: int | None = None) -> None:
-    """Replace the stored mart. ``partitions`` is the number of write tasks; unset, it is
-    ``spark.sql.shuffle.partitions``, with small ones merged at run time."""
-    _write(_with_month(messages), path, "overwrite", partitions)
+def _folder(path: str, generation: str) -> str:
+    return f"{path}/{GENERATION}={generation}"
+
+
+def _changes_folder(path: str, generation: str) -> str:
+    return f"{path}/{CHANGES}/{GENERATION}={generation}"
+
+
+def _make_generation(spark: SparkSession, path: str) -> str:
+    generation = commits.new_name()
+    for folder in (_folder(path, generation), _changes_folder(path, generation)):
+        commits.make_folder(spark, folder)
+    return generation
+
+
+def _current(spark: SparkSession, path: str) -> str:
+    generation = commits.generation(spark, path)
+    if generation is None:
+        raise FileNotFoundError(f"no mart at {path}")
+    return generation
+
+
+def _stored(spark: SparkSession, path: str, generation: str, files: list[str] | None = None) -> DataFrame:
+    """The messages as they were written; only those of ``files``, if given."""
+    folder = _folder(path, generation)
+    if files is None:
+        return spark.read.schema(STORED_SCHEMA).parquet(folder)
+    return spark.read.schema(STORED_SCHEMA).option("basePath", folder).parquet(*files)
+
+
+def _with_changes(spark: SparkSession, path: str, generation: str, stored: DataFrame) -> DataFrame:
+    """``stored`` with the deletes that came later. Without any there is nothing to join."""
+    folder = _changes_folder(path, generation)
+    if not any(not name.startswith(("_", ".")) for name, _ in commits.children(spark, folder)):
+        return stored
+    changes = spark.read.schema(_CHANGE_SCHEMA).parquet(folder)
+    # Named apart, as both sides come from one schema.
+    deletes = changes.groupBy(F.col(PARTITION).alias("__ym"), F.col("message_id").alias("__id")).agg(
+        F.min(NEW_DELETED_AT).alias(NEW_DELETED_AT)
+    )
+    same = (stored[PARTITION] == deletes["__ym"]) & (stored["message_id"] == deletes["__id"])
+    return (
+        stored.join(deletes, same, "left")
+        .withColumn("deleted_at", F.coalesce("deleted_at", NEW_DELETED_AT))
+        .select(*STORED_SCHEMA.names)
+    )
 
 
 def open_mart(spark: SparkSession, path: str) -> DataFrame:
     """The stored mart, with its month column."""
-    return spark.read.schema(STORED_SCHEMA).parquet(path)
+    generation = _current(spark, path)
+    return _with_changes(spark, path, generation, _stored(spark, path, generation))
+
+
+def _write_generation(messages: DataFrame, path: str, partitions: int | None) -> tuple[str, dict]:
+    """A new generation and the state that makes it current."""
+    spark = messages.sparkSession
+    generation = _make_generation(spark, path)
+    _write(_with_month(messages), _folder(path, generation), partitions)
+    stored = _stored(spark, path, generation)
+    buckets = ids.buckets_for(stored)
+    ids.add(stored, path, generation, buckets)
+    return generation, {GENERATION: generation, "id_buckets": buckets, "ids_complete": True}
+
+
+def write_mart(messages: DataFrame, path: str, partitions: int | None = None) -> None:
+    """Replace the stored mart. ``partitions`` is the number of write tasks; unset, it is
+    ``spark.sql.shuffle.partitions``, with small ones merged at run time. Readers see the
+    old messages until all new ones are there."""
+    _, state = _write_generation(messages, path, partitions)
+    commits.update(messages.sparkSession, path, lambda old: {**old, **state})
 
 
 def stream_mart(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """The stored mart as a stream: what is there, then every append, with the file of each
-    row. Feeding ``rollup_stream`` from it keeps the rollup up to date with each load."""
-    reader = spark.readStream.schema(STORED_SCHEMA)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path).withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
-
-
-def ensure_mart(spark: SparkSession, path: str) -> DataFrame:
-    """The stored mart, created empty if it is not there."""
-    if not path_exists(spark, path):
-        _write(spark.createDataFrame([], STORED_SCHEMA), path, "ignore", 1)
+    """The stored mart as a stream: what is there, then every append and every soft delete, with
+    the file of each row. A delete comes as the message's old state with ``change_sign`` -1 and its
+    new one with 1. Feeding ``rollup_stream`` from it keeps the rollup up to date with both."""
+
+    def source(schema: T.StructType, folder: str) -> DataFrame:
+        reader = spark.readStream.schema(T.StructType([*schema, _GENERATION_FIELD]))
+        if files_per_batch:
+            reader = reader.option("maxFilesPerTrigger", files_per_batch)
+        return reader.parquet(folder)
+
+    ensure_mart(spark, path)
+    columns = [*STORED_SCHEMA.names, GENERATION, SOURCE_FILE, SIGN]
+    file = F.col("_metadata.file_path").alias(SOURCE_FILE)
+    stored = source(STORED_SCHEMA, path).select(*STORED_SCHEMA.names, GENERATION, file, F.lit(1).alias(SIGN))
+    states = F.explode(
+        F.array(
+            F.struct(F.col("deleted_at"), F.lit(-1).alias(SIGN)),
+            F.struct(F.col(NEW_DELETED_AT).alias("deleted_at"), F.lit(1).alias(SIGN)),
+        )
+    )
+    changed = source(_CHANGE_SCHEMA, f"{path}/{CHANGES}").select("*", file).withColumn("state", states)
+    changed = changed.withColumn("deleted_at", F.col("state.deleted_at")).withColumn(SIGN, F.col(f"state.{SIGN}"))
+    return stored.select(*columns).unionByName(changed.select(*columns)).withMetadata(SOURCE_FILE, {SOURCE_MART: path})
+
+
+def ensure_mart(spark: SparkSession, path: str, id_buckets: int = 1) -> DataFrame:
+    """The stored mart, created empty if it is not there, then with ``id_buckets`` folders of its id index."""
+    if commits.generation(spark, path) is None:
+        state = {GENERATION: _make_generation(spark, path), "id_buckets": id_buckets, "ids_complete": True}
+        # Whoever comes second takes the first one's mart.
+        commits.update(spark, path, lambda old: None if old.get(GENERATION) else {**old, **state})
     return open_mart(spark, path)
 
 
@@ -90,34 +186,94 @@ def unseen(messages: DataFrame, path: str) -> DataFrame:
     """
     spark = messages.sparkSession
     incoming = _with_month(messages)
-    if not path_exists(spark, path):
+    generation = commits.generation(spark, path)
+    if generation is None:
         return incoming
     # One value per calendar month: known before planning, they prune the stored files.
     months = [row[0] for row in incoming.select(PARTITION).distinct().collect()]
-    known = open_mart(spark, path).where(F.col(PARTITION).isin(months)).select("message_id", PARTITION)
+    known = _stored(spark, path, generation).where(F.col(PARTITION).isin(months)).select("message_id", PARTITION)
     return incoming.join(known, [PARTITION, "message_id"], "left_anti").select(*STORED_SCHEMA.names)
 
 
+def _mark_ids(spark: SparkSession, path: str, generation: str, complete: bool) -> None:
+    def mark(state: dict) -> dict | None:
+        if state.get(GENERATION) != generation or state["ids_complete"] == complete:
+            return None
+        return {**state, "ids_complete": complete}
+
+    commits.update(spark, path, mark)
+
+
 def append_new(messages: DataFrame, path: str, partitions: int | None = None) -> None:
     """Append the messages that are not stored yet. Repeating a load adds nothing, also
-    after one that failed half way."""
-    _write(unseen(messages, path), path, "append", partitions)
+    after one that failed half way, whose ids are then indexed too."""
+    spark = messages.sparkSession
+    ensure_mart(spark, path)
+    generation = _current(spark, path)
+    _mark_ids(spark, path, generation, False)
+    _write(unseen(messages, path), _folder(path, generation), partitions)
+    ids.add(_stored(spark, path, generation), path, generation, commits.newest(spark, path)[1]["id_buckets"])
+    _mark_ids(spark, path, generation, True)
+
+
+def soft_delete(messages: DataFrame, path: str, deleted_at: datetime) -> None:
+    """Mark the stored messages whose ``message_id`` is in ``messages`` as deleted. Those that are deleted
+    already stay as they are, so repeating it changes nothing. One delete runs at a time."""
+    spark = messages.sparkSession
+    generation = _current(spark, path)
+    wanted = messages.select("message_id").where(F.col("message_id").isNotNull()).distinct()
+    found = lookup_many(spark, path, wanted).where(F.col("deleted_at").isNull())
+    changes = found.withColumn(NEW_DELETED_AT, F.lit(deleted_at).cast("timestamp_ntz"))
+    changes.select(*_CHANGE_SCHEMA.names).write.mode("append").parquet(_changes_folder(path, generation))
 
 
 def reload(messages: DataFrame, path: str, rollup_root: str, partitions: int | None = None) -> None:
-    """Replace the mart and its rollup together, so that neither counts the old rows. The new
-    files are recorded as counted: a stream of the mart goes on without counting them again."""
+    """Replace the mart and its rollup at one moment: the new rollup waits for the generation
+    that the mart's commit makes current. The new files are recorded as counted: a stream of the mart goes
+    on without counting them again."""
     spark = messages.sparkSession
-    write_mart(messages, path, partitions)
-    for folder in ("partials", "days", "covered"):
-        location = spark._jvm.org.apache.hadoop.fs.Path(f"{rollup_root}/{folder}")
-        location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
-    rollup_backfill(open_mart(spark, path), rollup_root)
+    generation, state = _write_generation(messages, path, partitions)
+    rollup_replace(_stored(spark, path, generation), rollup_root, path, generation)
+    commits.update(spark, path, lambda old: {**old, **state})
+
+
+def expire_mart(spark: SparkSession, path: str, keep_commits: int = 10, older_than_s: float = 86_400) -> list[str]:
+    """Delete generations, with their changes and index, that none of the last ``keep_commits`` commits names and
+    that are older than ``older_than_s``. Returns what was deleted."""
+
+    def named(state: dict) -> set[str]:
+        folder = f"{GENERATION}={state.get(GENERATION)}"
+        return {f"./{folder}", f"{CHANGES}/{folder}", f"{ids.FOLDER}/{folder}", *(f"./{name}" for name in hidden)}
+
+    hidden = {name for name, _ in commits.children(spark, path) if not name.startswith(f"{GENERATION}=")}
+    return commits.expire(spark, path, [".", CHANGES, ids.FOLDER], named, keep_commits, older_than_s)
+
+
+def lookup_many(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """The stored messages whose id is in the column ``message_id`` of ``wanted``. The index names the files
+    to open; while an append has yet to complete it, all files are searched."""
+    state = commits.newest(spark, path)[1]
+    generation, files = _current(spark, path), None
+    if state["ids_complete"]:
+        files = ids.files_of(wanted, path, generation, state["id_buckets"])
+    if files == []:
+        return open_mart(spark, path).where(F.lit(False))
+    rows = _with_changes(spark, path, generation, _stored(spark, path, generation, files))
+    return rows.join(wanted.select("message_id").distinct(), "message_id", "left_semi").select(*STORED_SCHEMA.names)
 
 
 def lookup(spark: SparkSession, path: str, message_id: str) -> DataFrame:
-    """The stored message, or messages, with this id."""
-    return open_mart(spark, path).where(F.col("message_id") == message_id)
+    """The stored message, or messages, with this id. Inside the files that the index names, row groups are
+    skipped by bloom filters."""
+    state = commits.newest(spark, path)[1]
+    generation, files = _current(spark, path), None
+    if state["ids_complete"]:
+        wanted = spark.createDataFrame([(message_id,)], "message_id string")
+        files = ids.files_of(wanted, path, generation, state["id_buckets"])
+    if files == []:
+        return open_mart(spark, path).where(F.lit(False))
+    rows = _with_changes(spark, path, generation, _stored(spark, path, generation, files))
+    return rows.where(F.col("message_id") == message_id)
 
 
 def application_slice(spark: SparkSession, path: str, application_uuid: str) -> DataFrame:
