@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..contract import DEFAULT_BASE_PRICE, RATE_CARD, RATE_CARD_SCHEMA
 from ..functions.scalars import clip, status_class
+from .asof import attach_as_of, validity
 from .profile import summarise
 
 
@@ -53,16 +54,21 @@ def delivery_time_by_status_class(messages: DataFrame) -> DataFrame:
     return stats.select("status_class", "count", F.col("mean").alias("avg"), "median")
 
 
-def convert_revenue(messages: DataFrame, rates: DataFrame) -> DataFrame:
+def convert_revenue(messages: DataFrame, rates: DataFrame, as_of: bool = False) -> DataFrame:
     """Revenue per currency, as sent and converted with the rate of the sending day.
 
-    ``rates`` holds one row per ``currency`` and ``day``. Prices are summed per currency
+    ``rates`` holds rows of ``currency``, ``day`` and ``rate``, one each unless ``as_of``; with it, a day without a
+    rate takes the last one before it. Prices are summed per currency
     and day before the join, so it never sees more than a row per rate.
     """
     daily = messages.groupBy("currency", F.to_date("sent_date").alias("day")).agg(
         F.sum(F.col("price").cast("double")).alias("revenue"), F.count("*").alias("sms")
     )
-    return daily.join(rates, ["currency", "day"], "left").groupBy("currency").agg(
+    if as_of:
+        rated = attach_as_of(daily, validity(rates, ["currency"], "day", "rate"), ["currency"], "day", "rate")
+    else:
+        rated = daily.join(rates, ["currency", "day"], "left")
+    return rated.groupBy("currency").agg(
         F.sum("sms").alias("sms"),
         F.round(F.sum("revenue"), 2).alias("revenue"),
         F.round(F.sum(F.col("revenue") * F.col("rate")), 2).alias("revenue_converted"),

@@ -488,3 +488,67 @@ ORACLES: dict[str, str] = {
     ),
     "report_roundtrip": _report(),
 }
+
+_NOT_DELETED = "NOT (customer_id = 1005 OR customer_id = 1003 AND currency IS NOT DISTINCT FROM 'EUR')"
+_KPI = ", ".join([COUNT, REVENUE, RATE, AVG_TIME, FAILED, COST])
+
+ORACLES |= {
+    "rollup_backfill_repeated": _over(_ROLLUP + _DAYS),
+    "rollup_soft_deletes": _over(
+        f"""SELECT CAST(sent_date AS DATE) AS day, country, delivery_status, currency, count(*) AS msgs,
+            {DELIVERED} AS delivrd, round(sum(price), 8) AS revenue
+        FROM active WHERE {_NOT_DELETED} GROUP BY 1, 2, 3, 4"""
+    ),
+    "rollup_compacted": _over(_ROLLUP + _DAYS),
+    "lookup_thousand": _over(
+        f"SELECT {_MESSAGE} FROM mart WHERE message_id IN (SELECT message_id FROM mart ORDER BY message_id LIMIT 1000)"
+    ),
+    "filtered_among": _top(
+        "receiver_operator", f"{COUNT}, {RATE}", "count_messages",
+        "WHERE (country IN ('NATION_3', 'NATION_7', 'NATION_11') OR country IS NULL) "
+        "AND (delivery_status IN ('DELIVRD', 'EXPIRED') OR delivery_status IS NULL) AND currency IN ('EUR', 'RUB')",
+        limit=None,
+    ),
+    "revenue_next_month": _over(
+        f"""SELECT month, round(now, 2) AS revenue, round(before, 2) AS prev_revenue,
+               CASE WHEN before <> 0 THEN round(100 * (now - before) / before, 2) END AS mom_growth_pct,
+               round(after, 2) AS next_revenue
+        FROM (SELECT month, now, lag(now, 1, 0.0e0) OVER (ORDER BY month) AS before, lead(now) OVER (ORDER BY month) AS after
+              FROM (SELECT {_MONTH} AS month, sum(price) AS now FROM active GROUP BY 1))"""
+    ),
+    "revenue_converted_asof": _over(
+        """, rates AS (
+            SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'EUR' WHEN '2-HIGH' THEN 'USD'
+                        WHEN '3-MEDIUM' THEN 'RUB' END AS currency,
+                   CAST(o_orderdate AS DATE) AS day, max(o_totalprice) / 100000 AS rate
+            FROM orders WHERE day(o_orderdate) IN (1, 11, 21) GROUP BY 1, 2
+        ), sent AS (
+            SELECT currency, CAST(sent_date AS DATE) AS day, sum(price) AS revenue, count(*) AS sms FROM active GROUP BY 1, 2
+        ), rated AS (
+            SELECT s.*, (SELECT arg_max(rate, r.day) FROM rates r WHERE r.currency = s.currency AND r.day <= s.day) AS rate
+            FROM sent s
+        )
+        SELECT currency, CAST(sum(sms) AS BIGINT) AS sms, round(sum(revenue), 2) AS revenue,
+               round(sum(revenue * rate), 2) AS revenue_converted,
+               CAST(sum(CASE WHEN rate IS NULL THEN sms ELSE 0 END) AS BIGINT) AS sms_without_rate
+        FROM rated GROUP BY 1"""
+    ),
+    "setup_datasets": _over(
+        _RETENTION + """ SELECT (SELECT count(*) FROM mart) AS stored, (SELECT count(*) FROM active) AS active,
+            (SELECT count(*) FROM active) AS rolled_up, (SELECT count(*) FROM retention) AS cohort_rows,
+            CAST(4 AS BIGINT) AS views"""
+    ),
+    "kpi_by_sql": _over(
+        f"""SELECT CASE WHEN delivery_status = 'DELIVRD' THEN 'delivered'
+                       WHEN delivery_status IN ('SENT', 'UNKNOWN') THEN 'in_flight' ELSE 'failed' END AS status_class,
+            {_KPI} FROM active GROUP BY 1"""
+    ),
+    "checks_declared": _checks(
+        _check(
+            "country_domain",
+            "count_if(country NOT IN (SELECT CASE n_name WHEN 'NATION_1' THEN 'not_defined' ELSE n_name END FROM nation))", "v = 0",
+        ),
+        _undeclared("currency", CURRENCIES),
+        _outside("segment_count", 2, 6),
+    ),
+}

@@ -17,9 +17,9 @@ from ..session import durable, scratch_path
 from ..sources import formats, layout, reports
 from ..sources.mart import active_mart, country_name, mart, table
 from ..streaming.rollup import (
-    ROLLUP_INPUTS, rollup_backfill, rollup_build, rollup_merge, rollup_read, rollup_rebuild, rollup_stream,
+    ROLLUP_INPUTS, rollup_backfill, rollup_build, rollup_read, rollup_rebuild, rollup_stream,
 )
-from . import analytics
+from . import analytics, stored_queries
 from .dashboard import CHARTS
 from .report import NUMERIC_COLUMNS, full_report
 from .stored import stored_mart, stored_rollup
@@ -71,12 +71,12 @@ def rollup_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sms_by_day_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged = rollup_merge(rollup_read(spark, stored_rollup(spark, sf_dir)), ["day"])
+    merged = rollup_read(spark, stored_rollup(spark, sf_dir), ["day"])
     return merged.select("day", F.col("msgs").alias("count_messages")).orderBy("day")
 
 
 def delivery_rate_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged = rollup_merge(rollup_read(spark, stored_rollup(spark, sf_dir)), [])
+    merged = rollup_read(spark, stored_rollup(spark, sf_dir), [])
     rate = F.round(F.try_divide(F.lit(100.0) * F.col("delivrd"), F.col("msgs")), 2)
     return merged.select(rate.alias("delivery_rate_pct"))
 
@@ -102,7 +102,7 @@ def _streamed(spark: SparkSession, root: str) -> None:
 
 
 def _day_totals(spark: SparkSession, root: str) -> DataFrame:
-    merged = rollup_merge(rollup_read(spark, f"{root}/rollup"), ["day"])
+    merged = rollup_read(spark, f"{root}/rollup", ["day"])
     return merged.withColumn("revenue", F.round("revenue", _PRICE_DIGITS))
 
 
@@ -405,4 +405,5 @@ QUERIES: dict[str, Query] = {
     "overwrite_reload": overwrite_reload,
     "format_roundtrip": format_roundtrip,
     "report_roundtrip": report_roundtrip,
+    **stored_queries.QUERIES,
 }
