@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..contract import (
-    CURRENCIES, DELIVERED, FIELD_SPECS, MESSAGE_COLUMNS, NULLABLE_COLUMNS, FieldSpec, same_contract,
+    CURRENCIES, DELIVERED, FIELD_SPECS, MESSAGE_COLUMNS, MESSAGE_SCHEMA, NULLABLE_COLUMNS, FieldSpec, same_contract,
 )
 from ..functions.dates import days_between
 from ..functions.scalars import fraction
@@ -198,3 +199,24 @@ def rollup_differences(
         F.sum("msgs_stored").alias("msgs_rollup"),
         F.sum("msgs").alias("msgs_fact"),
     )
+
+
+def load_metrics(specs: Sequence[FieldSpec] = FIELD_SPECS) -> list[Column]:
+    """What a load counts while it writes: ``rows``, and for each field the values outside its range or list."""
+    ranges = [(f"{spec.name}_range", ~F.col(spec.name).between(spec.low, spec.high)) for spec in specs if spec.low is not None]
+    lists = [(f"{spec.name}_domain", ~F.col(spec.name).isin(list(spec.values))) for spec in specs if spec.values]
+    return [F.count(F.lit(1)).alias("rows"), *[F.count_if(wrong).alias(name) for name, wrong in ranges + lists]]
+
+
+def load_checks(spark: SparkSession, recorded: dict[str, int], stored: int, schema: T.StructType | None) -> DataFrame:
+    """The checks that come with a load: are the rows that the loads have ``recorded`` all ``stored``, do the stored files
+    have the contract's columns and types, and were all values allowed? None of them reads the messages."""
+    columns = {field.name: field.dataType for field in schema} if schema else {}
+    matching = sum(columns.get(field.name) == field.dataType for field in MESSAGE_SCHEMA)
+    rows = recorded.get("rows", 0)
+    found = [
+        ("row_count", float(stored), stored >= rows > 0),
+        ("columns_matching", float(matching), matching == len(MESSAGE_COLUMNS)),
+        *[(name, float(n), n == 0) for name, n in sorted(recorded.items()) if name != "rows"],
+    ]
+    return spark.createDataFrame(found, "check string, observed double, passed boolean")

@@ -242,16 +242,16 @@ def skew_class(statistics: DataFrame, tolerance: float = SKEW_TOLERANCE) -> Data
     return statistics.select("column", "mean", "median", skew.alias("skew"))
 
 
-def dq_metrics(messages: DataFrame, columns: Sequence[str], sentinel: str = SENTINEL) -> DataFrame:
-    """Share of real NULLs and of the sentinel per column, and the share of deleted rows.
-
-    Meant for the base table. One wide aggregate, turned into rows afterwards.
-    """
-    shares = messages.agg(
+def share_columns(columns: Sequence[str], sentinel: str = SENTINEL) -> list[Column]:
+    """The aggregates that ``shares_as_rows`` turns into rows."""
+    return [
         *[fraction(F.col(name).isNull()).alias(f"{name}__null") for name in columns],
         *[fraction(F.col(name) == sentinel).alias(f"{name}__sentinel") for name in columns],
         fraction(F.col("deleted_at").isNotNull()).alias("deleted_share"),
-    )
+    ]
+
+
+def shares_as_rows(shares: DataFrame, columns: Sequence[str]) -> DataFrame:
     rows = F.array(
         *[
             F.struct(
@@ -263,3 +263,67 @@ def dq_metrics(messages: DataFrame, columns: Sequence[str], sentinel: str = SENT
         ]
     )
     return shares.select(F.inline(rows), "deleted_share")
+
+
+def dq_metrics(messages: DataFrame, columns: Sequence[str], sentinel: str = SENTINEL) -> DataFrame:
+    """Share of real NULLs and of the sentinel per column, and the share of deleted rows.
+
+    Meant for the base table. One wide aggregate, turned into rows afterwards.
+    """
+    return shares_as_rows(messages.agg(*share_columns(columns, sentinel)), columns)
+
+
+def grouped(df: DataFrame, columns: Sequence[str], segments: Sequence[str], value: str) -> DataFrame:
+    """One row per row of ``df`` and subject: each of ``columns`` with its own value, and the row's segment of each of
+    ``segments`` with its ``value``. ``kind`` is empty for columns, else the segment's name; ``subject`` is text."""
+
+    def number(name: str) -> Column:
+        return F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double")).alias("value")
+
+    subjects = [F.struct(F.lit("").alias("kind"), F.lit(name).alias("subject"), number(name)) for name in columns]
+    subjects += [F.struct(F.lit(name).alias("kind"), F.col(name).cast("string").alias("subject"), number(value)) for name in segments]
+    return df.select(F.inline(F.array(*subjects)))
+
+
+def report_frames(
+    messages: DataFrame, columns: Sequence[str], segments: Sequence[str], value: str, checked: Sequence[str], k: float = OUTLIER_REACH
+) -> dict[str, DataFrame]:
+    """``numeric_summary`` of ``columns``, ``segment_stats`` of ``value`` by each of ``segments``, both of rows that are
+    not deleted, and ``dq_metrics`` of ``checked`` over all rows, under the names ``""``, the segments', and ``dq``.
+
+    Three scans of ``messages`` make all of them: two give the statistics of every subject
+    together, and one counts what lies beyond the fences, which are two numbers for each
+    column, along with the shares.
+    """
+    kept = messages.where(F.col("deleted_at").isNull())
+    stats = durable(summarise(grouped(kept, columns, segments, value), ["kind", "subject"]))
+    summary = stats.where("kind = ''").withColumns({"range": F.col("max") - F.col("min"), "iqr": F.col("q3") - F.col("q1")})
+    fences = {
+        row.subject: (row.q1 - k * row.iqr, row.q3 + k * row.iqr)
+        for row in summary.where("q1 is not null").select("subject", "q1", "q3", "iqr").collect()
+    }
+
+    def beyond(name: str) -> Column:
+        low, high = fences[name]
+        number = F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))
+        return F.count_if(F.col("deleted_at").isNull() & ((number < low) | (number > high))).alias(f"{name}__beyond")
+
+    counted = durable(messages.agg(*share_columns(checked), *[beyond(name) for name in fences]))
+    outliers = [
+        F.struct(F.lit(name).alias("column"), F.lit(low).alias("outlier_low_fence"), F.lit(high).alias("outlier_high_fence"),
+                 F.col(f"{name}__beyond").alias("outlier_n_outliers"))
+        for name, (low, high) in fences.items()
+    ]
+    named = summary.select(F.col("subject").alias("column"), *STATISTICS)
+    if outliers:
+        named = attach(named, counted.select(F.inline(F.array(*outliers))), ["column"], "left")
+    else:
+        empty = {"low_fence": "double", "high_fence": "double", "n_outliers": "long"}
+        named = named.withColumns({f"outlier_{name}": F.lit(None).cast(kind) for name, kind in empty.items()})
+    share = F.coalesce(F.try_divide("outlier_n_outliers", "count"), F.lit(0.0))
+    frames = {"": named.withColumn("outlier_n_outliers", F.coalesce("outlier_n_outliers", F.lit(0))).withColumn("outlier_share", share)}
+    for by in segments:
+        segment = F.col("subject").cast(messages.schema[by].dataType).alias(by)
+        own = stats.where(F.col("kind") == by).select(segment, "count", F.col("mean").alias("avg"), "median", "total")
+        frames[by] = own.orderBy(F.desc("count"), F.asc_nulls_last(by))
+    return {**frames, "dq": shares_as_rows(counted, checked)}

@@ -551,4 +551,19 @@ ORACLES |= {
         _undeclared("currency", CURRENCIES),
         _outside("segment_count", 2, 6),
     ),
+    "checks_load": _checks(
+        _check("row_count", "count(*)", "v > 0"),
+        _check("columns_matching", "18", "v = 18", "(SELECT 1)"),
+        _outside("segment_count", 1, 14),
+        _outside("attempt_number", 1, 3),
+        _outside("delivery_time", 100, 3000),
+        _outside("price", 0, 1),
+        _undeclared("sender", SENDERS),
+        _undeclared("country", COUNTRIES),
+        _undeclared("delivery_status", STATUSES),
+        _undeclared("attempt_number", [1, 2, 3]),
+        _undeclared("currency", CURRENCIES),
+        _undeclared("receiver_operator", OPERATORS),
+        _undeclared("direction", [0, 1]),
+    ),
 }

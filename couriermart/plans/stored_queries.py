@@ -159,7 +159,17 @@ def checks_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.domain_checks(messages, specs).unionByName(checks.range_checks(messages, specs))
 
 
+def checks_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks that two loads have made while they wrote."""
+    path = scratch_path(spark, "load-checks")
+    messages = layout.open_mart(spark, stored_mart(spark, sf_dir))
+    for load in (messages.where("ym < 199700"), messages):
+        layout.append_new(load, path)
+    return checks.load_checks(spark, layout.load_record(spark, path), layout.stored_rows(spark, path), layout.stored_schema(spark, path))
+
+
 QUERIES = {
+    "checks_load": checks_load,
     "rollup_backfill_repeated": rollup_backfill_repeated,
     "rollup_soft_deletes": rollup_soft_deletes,
     "rollup_compacted": rollup_compacted,

@@ -20,13 +20,16 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contract import MESSAGE_COLUMNS, MESSAGE_SCHEMA
 from ..functions.dates import year_month
 from ..operators.charts import Filters, apply_filters
+from ..operators.checks import load_metrics
 from ..streaming.rollup import GENERATION, SIGN, SOURCE_FILE, SOURCE_MART, rollup_replace
 from . import commits, ids
 
@@ -34,6 +37,7 @@ PARTITION = "ym"
 SORT = ["customer_id", "sent_date", "country", "delivery_status", "message_id"]
 STORED_SCHEMA = T.StructType([*MESSAGE_SCHEMA, T.StructField(PARTITION, T.IntegerType())])
 CHANGES = "_changes"
+LOADED = "loaded"
 NEW_DELETED_AT = "new_deleted_at"
 _CHANGE_SCHEMA = T.StructType([*STORED_SCHEMA, T.StructField(NEW_DELETED_AT, T.TimestampNTZType())])
 _GENERATION_FIELD = T.StructField(GENERATION, T.StringType())
@@ -50,13 +54,17 @@ def _with_month(messages: DataFrame) -> DataFrame:
     return messages.select(*MESSAGE_COLUMNS).withColumn(PARTITION, year_month("sent_date").cast("int"))
 
 
-def _write(stored: DataFrame, path: str, partitions: int | None) -> None:
+def _write(stored: DataFrame, path: str, partitions: int | None) -> dict[str, int]:
+    """Write the messages. Returns what the tasks that wrote them have seen: their number, and how many had a value that
+    the contract does not allow. It is counted on the way, without another scan."""
     # A range over (month, customer, time, id) has no hot key: a month or a customer with
     # a third of all rows is spread over a third of the tasks.
     key = [PARTITION, "customer_id", "sent_date", "message_id"]
     ranged = stored.repartitionByRange(partitions, *key) if partitions else stored.repartitionByRange(*key)
+    seen = Observation()
     (
         ranged.sortWithinPartitions(PARTITION, *SORT)
+        .observe(seen, *load_metrics())
         .write.mode("append")
         .partitionBy(PARTITION)
         .option("maxRecordsPerFile", FILE_ROWS)
@@ -68,6 +76,7 @@ def _write(stored: DataFrame, path: str, partitions: int | None) -> None:
         .option("parquet.bloom.filter.fpp", BLOOM_FPP)
         .parquet(path)
     )
+    return dict(seen.get)
 
 
 def _folder(path: str, generation: str) -> str:
@@ -128,11 +137,11 @@ def _write_generation(messages: DataFrame, path: str, partitions: int | None) ->
     """A new generation and the state that makes it current."""
     spark = messages.sparkSession
     generation = _make_generation(spark, path)
-    _write(_with_month(messages), _folder(path, generation), partitions)
+    seen = _write(_with_month(messages), _folder(path, generation), partitions)
     stored = _stored(spark, path, generation)
     buckets = ids.buckets_for(stored)
     ids.add(stored, path, generation, buckets)
-    return generation, {GENERATION: generation, "id_buckets": buckets, "ids_complete": True}
+    return generation, {GENERATION: generation, "id_buckets": buckets, "ids_complete": True, LOADED: seen}
 
 
 def write_mart(messages: DataFrame, path: str, partitions: int | None = None) -> None:
@@ -172,7 +181,7 @@ def stream_mart(spark: SparkSession, path: str, files_per_batch: int | None = No
 def ensure_mart(spark: SparkSession, path: str, id_buckets: int = 1) -> DataFrame:
     """The stored mart, created empty if it is not there, then with ``id_buckets`` folders of its id index."""
     if commits.generation(spark, path) is None:
-        state = {GENERATION: _make_generation(spark, path), "id_buckets": id_buckets, "ids_complete": True}
+        state = {GENERATION: _make_generation(spark, path), "id_buckets": id_buckets, "ids_complete": True, LOADED: {}}
         # Whoever comes second takes the first one's mart.
         commits.update(spark, path, lambda old: None if old.get(GENERATION) else {**old, **state})
     return open_mart(spark, path)
@@ -195,11 +204,14 @@ def unseen(messages: DataFrame, path: str) -> DataFrame:
     return incoming.join(known, [PARTITION, "message_id"], "left_anti").select(*STORED_SCHEMA.names)
 
 
-def _mark_ids(spark: SparkSession, path: str, generation: str, complete: bool) -> None:
+def _mark_ids(spark: SparkSession, path: str, generation: str, complete: bool, seen: dict[str, int] | None = None) -> None:
+    """Say whether the index is complete, and add what a load has ``seen`` to what the loads before it have."""
+
     def mark(state: dict) -> dict | None:
-        if state.get(GENERATION) != generation or state["ids_complete"] == complete:
+        if state.get(GENERATION) != generation or (state["ids_complete"] == complete and not seen):
             return None
-        return {**state, "ids_complete": complete}
+        before = state.get(LOADED, {})
+        return {**state, "ids_complete": complete, LOADED: {**before, **{k: before.get(k, 0) + n for k, n in (seen or {}).items()}}}
 
     commits.update(spark, path, mark)
 
@@ -211,9 +223,9 @@ def append_new(messages: DataFrame, path: str, partitions: int | None = None) ->
     ensure_mart(spark, path)
     generation = _current(spark, path)
     _mark_ids(spark, path, generation, False)
-    _write(unseen(messages, path), _folder(path, generation), partitions)
+    seen = _write(unseen(messages, path), _folder(path, generation), partitions)
     ids.add(_stored(spark, path, generation), path, generation, commits.newest(spark, path)[1]["id_buckets"])
-    _mark_ids(spark, path, generation, True)
+    _mark_ids(spark, path, generation, True, seen)
 
 
 def soft_delete(messages: DataFrame, path: str, deleted_at: datetime) -> None:
@@ -296,6 +308,26 @@ def customer_period(
     )
 
 
+def load_record(spark: SparkSession, path: str) -> dict[str, int]:
+    """What the loads of the current generation have seen. A load that died before its end is not in it."""
+    return dict(commits.newest(spark, path)[1].get(LOADED, {}))
+
+
+def stored_rows(spark: SparkSession, path: str) -> int:
+    """The rows of the current generation's files, by their footers."""
+    return _stored(spark, path, _current(spark, path)).count()
+
+
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The columns and types of the stored files, read from all their footers and merged; None if two files
+    disagree on a type."""
+    folder = _folder(path, _current(spark, path))
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(folder).schema
+    except (PySparkException, Py4JJavaError):
+        return None
+
+
 def month_counts(stored: DataFrame) -> DataFrame:
     """Messages per stored month."""
     return stored.groupBy(PARTITION).agg(F.count("*").alias("messages")).orderBy(PARTITION)
