@@ -9,7 +9,9 @@ more share a word among their |x| - ceil(0.8 |x|) + 1 rarest.
    word, and by parities of word hashes, which lines have any plausible partner.
 2. Only those are fetched with all their words. Each is first compared with the earliest
    line of its lists, so that a crowd of variants takes as many comparisons as it has
-   members, then, unless it is gone, with every earlier line that passes the filters.
+   members. Then each line that is left looks through its lists, where they are, for an
+   earlier one that passes the filters, and is compared with that one; only lines that it
+   does not resemble after all are compared with every other that passes.
 3. Lines that are not the first of their class, or whose class has an earlier similar one,
    are cut out of their documents.
 """
@@ -25,18 +27,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import attach
-from .setjoin import build_filter, may_hold, parts_of, settled
+from .setjoin import build_filter, discard, may_hold, parts_of, settled
 from .words import LOWER, SPACED, find_words, mix, slices
 
 #: Two lines are similar when DENOMINATOR * intersection >= NUMERATOR * union.
 NUMERATOR, DENOMINATOR = 4, 5
 #: Words are ranked by count from one in so many words of the corpus on, so there are at most as many.
 RANKED = 1 << 20
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 1
+#: Postings of a group, about, and lines of one list that meet in a group.
+GROUP_POSTINGS = 200_000
+LIST_BLOCK = 4096
 #: Sets of fewer words are only similar to equal ones.
 LEAST_WORDS = 4
-#: Words of two lines together up to which they differ in three words at most.
-SHORT_TOGETHER = 35
 #: Sizes and places from here on are one in postings, which hold two bytes of each.
 LONG = (1 << 16) - 1
 
@@ -260,59 +263,104 @@ def _similar(pairs: DataFrame, records: DataFrame) -> DataFrame:
     )
 
 
+def _search(every: bool):
+    """A function of a group of postings that returns, of each line that asks, the nearest earlier line of a common
+    list that the filters let through, or ``every`` such line."""
+
+    def search(table: pa.Table) -> pa.Table:
+        names = ("token", "at", "size", "parity", "place", "asks")
+        token, at, size, parity, place, asks = (table.column(name).to_numpy() for name in names)
+        order = np.lexsort((~asks, at, token))
+        token, at, size, parity, place, asks = (x[order] for x in (token, at, size.astype(np.int64), parity, place, asks))
+        later, earlier, distance = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+        open_ = np.flatnonzero(asks)
+        while len(open_):
+            distance += 1
+            open_ = open_[open_ >= distance]
+            other = open_ - distance
+            same = token[open_] == token[other]
+            open_, other = open_[same], other[same]
+            both = size[open_] + size[other]
+            needed = -(-NUMERATOR * both // (NUMERATOR + DENOMINATOR))
+            behind = np.minimum(size[open_] - place[open_], size[other] - place[other])
+            ahead = np.minimum(place[open_], place[other])
+            apart = np.bitwise_count(parity[open_] ^ parity[other])
+            fits = (at[other] < at[open_]) & (np.minimum(size[open_], size[other]) >= needed)
+            fits &= (ahead + behind >= needed) & (apart <= both - 2 * needed)
+            later.append(at[open_[fits]])
+            earlier.append(at[other[fits]])
+            if not every:
+                open_ = open_[~fits]
+        return pa.table({"later": np.concatenate(later), "earlier": np.concatenate(earlier)})
+
+    return search
+
+
+def _offers(postings: DataFrame, asking: DataFrame, every: bool) -> DataFrame:
+    """``later, earlier``: for the lines ``asking (at)`` earlier lines of their lists.
+
+    Lists are dealt to groups by their word. A long list is cut into blocks, and every block
+    of lines that ask meets every block of the list, each pair of blocks in a group of its
+    own, so that no group grows with a list.
+    """
+    marked = postings.join(asking.select("at", F.lit(True).alias("asks")), "at", "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
+    lists = marked.groupBy("token").agg(F.count("*").alias("n"), F.count_if("asks").alias("asking")).where("asking > 0 and n > 1")
+    blocks = F.ceil(F.col("n") / LIST_BLOCK).cast("int")
+    total = lists.agg(F.sum("n").alias("n")).first().n or 0
+    used = marked.join(lists.select("token", blocks.alias("blocks")), "token")
+    spread = F.lit(max(4, -(-total // GROUP_POSTINGS)))
+    short = used.where("blocks = 1").withColumn("group", F.pmod(F.xxhash64("token"), spread))
+    own = F.pmod(F.xxhash64("at"), F.col("blocks"))
+    others = F.sequence(F.lit(0).cast("long"), (F.col("blocks") - 1).cast("long"))
+    long = used.where("blocks > 1").withColumn("own", own).withColumn("other", F.explode(others))
+    key = lambda a, b: F.xxhash64(F.col("token"), F.col(a), F.col(b))
+    asked = long.withColumn("asks", F.lit(False)).withColumn("group", key("other", "own"))
+    asks = long.where("asks").withColumn("group", key("own", "other"))
+    columns = ["group", "token", "at", "size", "parity", "place", "asks"]
+    dealt = short.select(*columns).unionByName(asked.select(*columns)).unionByName(asks.select(*columns))
+    return dealt.groupBy("group").applyInArrow(_search(every), "later long, earlier long")
+
+
 def _dead_classes(records: DataFrame) -> DataFrame:
-    """``line``: classes that have a similar class which occurs earlier."""
+    """``line``: classes that have a similar class which occurs earlier.
+
+    Parities tell almost surely whether two lines are similar, so a line needs one candidate.
+    Lines whose candidates turn out not to be similar meet all that the filters let through.
+    """
     size = F.size("tokens")
     length = size - F.ceil(size * NUMERATOR / DENOMINATOR).cast("int") + 1
-    postings = settled(records.select("at", F.explode(F.slice("tokens", F.lit(1), length)).alias("token")), "line-postings")
-    dead, tried, left = [], None, postings
+    prefix = F.posexplode(F.slice("tokens", F.lit(1), length))
+    postings = settled(records.select("at", "parity", size.alias("size"), prefix.alias("place", "token")), "line-postings")
+    dead, left = [], records.select("at")
     for _ in range(PIVOT_ROUNDS):
-        # Before the first round nothing is gone; later the earliest line that is left leads its lists.
-        leads = left.groupBy("token").agg(F.min("at").alias("earlier"))
+        # The earliest line of a list, which most of a crowd of variants resemble.
+        leads = postings.groupBy("token").agg(F.min("at").alias("earlier"))
         offers = (
-            left.join(leads, "token").where(F.col("earlier") < F.col("at")).groupBy(F.col("at").alias("later"), "earlier").agg(F.count("*").alias("n"))
+            postings.join(left, "at", "left_semi").join(leads, "token").where(F.col("earlier") < F.col("at"))
+            .groupBy(F.col("at").alias("later"), "earlier").agg(F.count("*").alias("n"))
         )
-        if tried is not None:
-            offers = offers.join(tried, ["later", "earlier"], "left_anti")
-        chosen = settled(offers.groupBy("later").agg(F.max_by("earlier", F.struct("n", "earlier")).alias("earlier")), "line-pairs")
-        tried = chosen if tried is None else tried.unionByName(chosen)
+        chosen = offers.groupBy("later").agg(F.max_by("earlier", F.struct("n", "earlier")).alias("earlier"))
         dead.append(settled(_similar(chosen, records), "lines-similar"))
-        left = settled(left.join(dead[-1].withColumnRenamed("later", "at"), "at", "left_anti"), "lines-left")
-    # What is left is compared with all earlier lines of its lists that the filters let through.
-    filters = records.select("at", size.alias("size"), "parity")
-    facts = lambda name: filters.select(F.col("at").alias(name), F.col("size").alias(f"size_{name}"), F.col("parity").alias(f"parity_{name}"))
-    earlier = postings.select(F.col("at").alias("earlier"), "token").join(facts("earlier"), "earlier")
-    later = left.select(F.col("at").alias("later"), "token").join(facts("later"), "later")
-    both = F.col("size_earlier") + F.col("size_later")
-    needed = F.ceil(both * NUMERATOR / (NUMERATOR + DENOMINATOR))
-    apart = F.bit_count(F.col("parity_earlier").bitwiseXOR(F.col("parity_later")))
-    near = (F.col("earlier") < F.col("later")) & (F.least("size_earlier", "size_later") >= needed) & (apart <= both - needed * 2)
-
-    # Short lines fill the longest lists. Two of up to 35 words together differ in three words at
-    # most, so that one of four parts of their parities is equal, which splits those lists.
-    def parts_of_short(rows: DataFrame, name: str) -> DataFrame:
-        part = F.transform(
-            F.sequence(F.lit(0), F.lit(3)),
-            lambda i: F.struct(
-                i.alias("part"),
-                F.call_function("shiftright", F.col(f"parity_{name}"), i * 16).bitwiseAND(F.lit(0xFFFF)).alias("bits"),
-            ),
-        )
-        return rows.where(F.col(f"size_{name}") <= SHORT_TOGETHER // 2 + 2).withColumn("k", F.explode(part)).select("*", "k.part", "k.bits").drop("k")
-
-    short = parts_of_short(later, "later").join(parts_of_short(earlier, "earlier"), ["token", "part", "bits"]).where(
-        near & (both <= SHORT_TOGETHER)
-    )
-    least = (SHORT_TOGETHER + 1) * NUMERATOR // (NUMERATOR + DENOMINATOR)
-    long = later.where(F.col("size_later") >= least).join(earlier.where(F.col("size_earlier") >= least), "token").where(
-        near & (both > SHORT_TOGETHER)
-    )
-    rest = short.select("later", "earlier").unionByName(long.select("later", "earlier")).distinct()
-    dead.append(settled(_similar(settled(rest, "line-pairs"), records), "lines-similar"))
+        left = left.join(dead[-1].withColumnRenamed("later", "at"), "at", "left_anti")
+    left = settled(left, "lines-left")
+    chosen = _offers(postings, left, every=False).groupBy("later").agg(F.max("earlier").alias("earlier"))
+    chosen = settled(chosen, "line-pairs")
+    dead.append(settled(_similar(chosen, records), "lines-similar"))
+    # Whoever was offered a line that is not similar may still have another one.
+    again = settled(chosen.join(dead[-1], "later", "left_anti").select(F.col("later").alias("at")), "lines-again")
+    rest = _offers(postings, again, every=True).distinct().join(chosen, ["later", "earlier"], "left_anti")
+    dead.append(settled(_similar(rest, records), "lines-similar"))
     found = dead[0]
     for more in dead[1:]:
         found = found.unionByName(more)
-    return records.select("line", F.col("at").alias("later")).join(found.distinct(), "later", "left_semi").select("line")
+    lines = settled(
+        records.select("line", F.col("at").alias("later"))
+        .join(found.distinct(), "later", "left_semi")
+        .select("line", F.lit(True).alias("dead")),
+        "lines-dead",
+    )
+    discard(postings, left, chosen, again, *dead)
+    return lines
 
 
 def dedup_lines(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -330,7 +378,8 @@ def dedup_lines(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFra
     classes = settled(_classes(keyed), "line-classes")
     candidates = settled(_candidates(docs, ranks, parts), "line-candidates")
     records = _records(docs, ranks, candidates, classes)
-    dead = settled(_dead_classes(records).withColumn("dead", F.lit(True)), "lines-dead")
+    dead = _dead_classes(records)
+    discard(records, candidates)
     marked = settled(
         classes.join(dead, "line", "left").where("n > 1 or dead").select("line", "place", F.coalesce("dead", F.lit(False)).alias("dead")),
         "lines-marked",

@@ -34,6 +34,16 @@ def settled(df: DataFrame, label: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of ``settled`` tables whose last reader has ended."""
+    for table in tables:
+        folders = {name.rsplit("/", 1)[0] for name in table.inputFiles()}
+        context = table.sparkSession
+        for folder in folders:
+            location = context._jvm.org.apache.hadoop.fs.Path(context._jvm.java.net.URI(folder))
+            location.getFileSystem(context._jsc.hadoopConfiguration()).delete(location, True)
+
+
 def parts_of(texts: DataFrame, column: str = "text") -> int:
     """How many parts keep the postings of a part at a bounded size."""
     size = texts.agg(F.sum(F.octet_length(column)).alias("n")).first().n or 0

@@ -90,6 +90,13 @@ def test_first_round_only_saves_work(spark, made, monkeypatch):
     assert found(spark, made) == brute_force(spark, made)
 
 
+def test_long_lists_meet_in_blocks(spark, made, monkeypatch):
+    monkeypatch.setattr(line_dedup, "PIVOT_ROUNDS", 0)
+    monkeypatch.setattr(line_dedup, "LIST_BLOCK", 7)
+    monkeypatch.setattr(line_dedup, "GROUP_POSTINGS", 100)
+    assert found(spark, made) == brute_force(spark, made)
+
+
 def test_nothing_to_do(spark):
     assert found(spark, []) == []
     assert found(spark, [(1, "only one\nother text"), (2, None)]) == [(1, "only one\nother text", 2, 0), (2, None, 0, 0)]
