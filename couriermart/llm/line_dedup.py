@@ -284,7 +284,7 @@ def _search(every: bool):
             needed = -(-NUMERATOR * both // (NUMERATOR + DENOMINATOR))
             behind = np.minimum(size[open_] - place[open_], size[other] - place[other])
             ahead = np.minimum(place[open_], place[other])
-            apart = np.bitwise_count(parity[open_] ^ parity[other])
+            apart = np.bitwise_count((parity[open_] ^ parity[other]).view(np.uint64))
             fits = (at[other] < at[open_]) & (np.minimum(size[open_], size[other]) >= needed)
             fits &= (ahead + behind >= needed) & (apart <= both - 2 * needed)
             later.append(at[open_[fits]])
@@ -297,13 +297,14 @@ def _search(every: bool):
 
 
 def _offers(postings: DataFrame, asking: DataFrame, every: bool) -> DataFrame:
-    """``later, earlier``: for the lines ``asking (at)`` earlier lines of their lists.
+    """``later, earlier``: for the lines ``asking (at)`` an earlier line of their lists, or ``every`` one.
 
     Lists are dealt to groups by their word. A long list is cut into blocks, and every block
     of lines that ask meets every block of the list, each pair of blocks in a group of its
     own, so that no group grows with a list.
     """
-    marked = postings.join(asking.select("at", F.lit(True).alias("asks")), "at", "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
+    flagged = postings.join(asking.select("at", F.lit(True).alias("asks")), "at", "left")
+    marked = settled(flagged.withColumn("asks", F.coalesce("asks", F.lit(False))), "line-lists")
     lists = marked.groupBy("token").agg(F.count("*").alias("n"), F.count_if("asks").alias("asking")).where("asking > 0 and n > 1")
     blocks = F.ceil(F.col("n") / LIST_BLOCK).cast("int")
     total = lists.agg(F.sum("n").alias("n")).first().n or 0
@@ -318,7 +319,10 @@ def _offers(postings: DataFrame, asking: DataFrame, every: bool) -> DataFrame:
     asks = long.where("asks").withColumn("group", key("own", "other"))
     columns = ["group", "token", "at", "size", "parity", "place", "asks"]
     dealt = short.select(*columns).unionByName(asked.select(*columns)).unionByName(asks.select(*columns))
-    return dealt.groupBy("group").applyInArrow(_search(every), "later long, earlier long")
+    found = dealt.groupBy("group").applyInArrow(_search(every), "later long, earlier long")
+    pairs = settled(found.distinct() if every else found.groupBy("later").agg(F.max("earlier").alias("earlier")), "line-pairs")
+    discard(marked)
+    return pairs
 
 
 def _dead_classes(records: DataFrame) -> DataFrame:
@@ -339,17 +343,17 @@ def _dead_classes(records: DataFrame) -> DataFrame:
             postings.join(left, "at", "left_semi").join(leads, "token").where(F.col("earlier") < F.col("at"))
             .groupBy(F.col("at").alias("later"), "earlier").agg(F.count("*").alias("n"))
         )
-        chosen = offers.groupBy("later").agg(F.max_by("earlier", F.struct("n", "earlier")).alias("earlier"))
+        chosen = settled(offers.groupBy("later").agg(F.max_by("earlier", F.struct("n", "earlier")).alias("earlier")), "line-pairs")
         dead.append(settled(_similar(chosen, records), "lines-similar"))
+        discard(chosen)
         left = left.join(dead[-1].withColumnRenamed("later", "at"), "at", "left_anti")
     left = settled(left, "lines-left")
-    chosen = _offers(postings, left, every=False).groupBy("later").agg(F.max("earlier").alias("earlier"))
-    chosen = settled(chosen, "line-pairs")
+    chosen = _offers(postings, left, every=False)
     dead.append(settled(_similar(chosen, records), "lines-similar"))
     # Whoever was offered a line that is not similar may still have another one.
     again = settled(chosen.join(dead[-1], "later", "left_anti").select(F.col("later").alias("at")), "lines-again")
-    rest = _offers(postings, again, every=True).distinct().join(chosen, ["later", "earlier"], "left_anti")
-    dead.append(settled(_similar(rest, records), "lines-similar"))
+    rest = _offers(postings, again, every=True)
+    dead.append(settled(_similar(rest.join(chosen, ["later", "earlier"], "left_anti"), records), "lines-similar"))
     found = dead[0]
     for more in dead[1:]:
         found = found.unionByName(more)
@@ -359,7 +363,7 @@ def _dead_classes(records: DataFrame) -> DataFrame:
         .select("line", F.lit(True).alias("dead")),
         "lines-dead",
     )
-    discard(postings, left, chosen, again, *dead)
+    discard(postings, left, chosen, again, rest, *dead)
     return lines
 
 
