@@ -7,8 +7,8 @@ more share a word among their |x| - ceil(0.8 |x|) + 1 rarest.
 
 1. The lists of lines with a prefix word in common show, by length, by the places of that
    word, and by parities of word hashes, which lines have any plausible partner.
-2. Only those are fetched with all their words. Each is first compared with the earliest
-   line of its lists, so that a crowd of variants takes as many comparisons as it has
+2. Only those are fetched with all their words. Those of long lists are first compared with the earliest
+   line there, so that a crowd of variants takes as many comparisons as it has
    members. Then each line that is left looks through its lists, where they are, for an
    earlier one that passes the filters, and is compared with that one; only lines that it
    does not resemble after all are compared with every other that passes.
@@ -23,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import attach
@@ -34,7 +34,6 @@ from .words import LOWER, SPACED, find_words, mix, slices
 NUMERATOR, DENOMINATOR = 4, 5
 #: Words are ranked by count from one in so many words of the corpus on, so there are at most as many.
 RANKED = 1 << 20
-PIVOT_ROUNDS = 1
 #: Postings of a group, about, and lines of one list that meet in a group.
 GROUP_POSTINGS = 200_000
 LIST_BLOCK = 4096
@@ -296,37 +295,33 @@ def _search(every: bool):
     return search
 
 
-def _offers(postings: DataFrame, asking: DataFrame, every: bool) -> DataFrame:
-    """``later, earlier``: for the lines ``asking (at)`` an earlier line of their lists, or ``every`` one.
+def _offers(postings: DataFrame, lists: DataFrame, asks: Column, every: bool) -> DataFrame:
+    """``later, earlier``: for the lines of the postings that ``asks`` an earlier line of their lists, or ``every`` one.
 
     Lists are dealt to groups by their word. A long list is cut into blocks, and every block
     of lines that ask meets every block of the list, each pair of blocks in a group of its
     own, so that no group grows with a list.
     """
-    flagged = postings.join(asking.select("at", F.lit(True).alias("asks")), "at", "left")
-    marked = settled(flagged.withColumn("asks", F.coalesce("asks", F.lit(False))), "line-lists")
-    lists = marked.groupBy("token").agg(F.count("*").alias("n"), F.count_if("asks").alias("asking")).where("asking > 0 and n > 1")
-    blocks = F.ceil(F.col("n") / LIST_BLOCK).cast("int")
+    marked = postings.withColumn("asks", asks)
+    asked = marked.where("asks").select("token").distinct()
+    used = marked.join(lists.join(asked, "token", "left_semi").select("token", "blocks"), "token")
     total = lists.agg(F.sum("n").alias("n")).first().n or 0
-    used = marked.join(lists.select("token", blocks.alias("blocks")), "token")
     spread = F.lit(max(4, -(-total // GROUP_POSTINGS)))
-    short = used.where("blocks = 1").withColumn("group", F.pmod(F.xxhash64("token"), spread))
-    own = F.pmod(F.xxhash64("at"), F.col("blocks"))
-    others = F.sequence(F.lit(0).cast("long"), (F.col("blocks") - 1).cast("long"))
-    long = used.where("blocks > 1").withColumn("own", own).withColumn("other", F.explode(others))
-    key = lambda a, b: F.xxhash64(F.col("token"), F.col(a), F.col(b))
-    asked = long.withColumn("asks", F.lit(False)).withColumn("group", key("other", "own"))
-    asks = long.where("asks").withColumn("group", key("own", "other"))
-    columns = ["group", "token", "at", "size", "parity", "place", "asks"]
-    dealt = short.select(*columns).unionByName(asked.select(*columns)).unionByName(asks.select(*columns))
+    own = F.pmod(F.xxhash64("at"), F.col("blocks").cast("long"))
+    others = F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)
+    key = lambda a, b: F.xxhash64(F.col("token"), a, b)
+    one = F.array(F.struct(F.pmod(F.xxhash64("token"), spread).alias("group"), F.col("asks")))
+    as_listed = F.transform(others, lambda other: F.struct(key(other, own).alias("group"), F.lit(False).alias("asks")))
+    as_asking = F.transform(others, lambda other: F.struct(key(own, other).alias("group"), F.lit(True).alias("asks")))
+    several = F.when(F.col("asks"), F.concat(as_listed, as_asking)).otherwise(as_listed)
+    dealt = used.withColumn("to", F.explode(F.when(F.col("blocks") == 1, one).otherwise(several)))
+    dealt = dealt.select("to.group", "token", "at", "size", "parity", "place", "to.asks")
     found = dealt.groupBy("group").applyInArrow(_search(every), "later long, earlier long")
-    pairs = settled(found.distinct() if every else found.groupBy("later").agg(F.max("earlier").alias("earlier")), "line-pairs")
-    discard(marked)
-    return pairs
+    return settled(found.distinct() if every else found.groupBy("later").agg(F.max("earlier").alias("earlier")), "line-pairs")
 
 
 def _dead_classes(records: DataFrame) -> DataFrame:
-    """``line``: classes that have a similar class which occurs earlier.
+    """``line, dead``: classes that have a similar class which occurs earlier.
 
     Parities tell almost surely whether two lines are similar, so a line needs one candidate.
     Lines whose candidates turn out not to be similar meet all that the filters let through.
@@ -335,35 +330,31 @@ def _dead_classes(records: DataFrame) -> DataFrame:
     length = size - F.ceil(size * NUMERATOR / DENOMINATOR).cast("int") + 1
     prefix = F.posexplode(F.slice("tokens", F.lit(1), length))
     postings = settled(records.select("at", "parity", size.alias("size"), prefix.alias("place", "token")), "line-postings")
-    dead, left = [], records.select("at")
-    for _ in range(PIVOT_ROUNDS):
-        # The earliest line of a list, which most of a crowd of variants resemble.
-        leads = postings.groupBy("token").agg(F.min("at").alias("earlier"))
-        offers = (
-            postings.join(left, "at", "left_semi").join(leads, "token").where(F.col("earlier") < F.col("at"))
-            .groupBy(F.col("at").alias("later"), "earlier").agg(F.count("*").alias("n"))
-        )
-        chosen = settled(offers.groupBy("later").agg(F.max_by("earlier", F.struct("n", "earlier")).alias("earlier")), "line-pairs")
-        dead.append(settled(_similar(chosen, records), "lines-similar"))
-        discard(chosen)
-        left = left.join(dead[-1].withColumnRenamed("later", "at"), "at", "left_anti")
-    left = settled(left, "lines-left")
-    chosen = _offers(postings, left, every=False)
+    lists = postings.groupBy("token").agg(F.count("*").alias("n"), F.min("at").alias("lead")).where("n > 1")
+    lists = settled(lists.withColumn("blocks", F.ceil(F.col("n") / LIST_BLOCK).cast("int")), "line-lists")
+    # The earliest line of a long list, which most of a crowd of variants resemble: they need not ask all others.
+    offers = (
+        postings.join(lists.where("blocks > 1").select("token", F.col("lead").alias("earlier")), "token").where(F.col("earlier") < F.col("at"))
+        .groupBy(F.col("at").alias("later"), "earlier").agg(F.count("*").alias("n"))
+    )
+    leading = settled(offers.groupBy("later").agg(F.max_by("earlier", F.struct("n", "earlier")).alias("earlier")), "line-leads")
+    dead = [settled(_similar(leading, records), "lines-similar")]
+
+    def flagged(lines: DataFrame) -> DataFrame:
+        return postings.join(lines.select(F.col("later").alias("at"), F.lit(True).alias("flag")), "at", "left")
+
+    chosen = _offers(flagged(dead[0]), lists, F.col("flag").isNull(), every=False)
     dead.append(settled(_similar(chosen, records), "lines-similar"))
     # Whoever was offered a line that is not similar may still have another one.
-    again = settled(chosen.join(dead[-1], "later", "left_anti").select(F.col("later").alias("at")), "lines-again")
-    rest = _offers(postings, again, every=True)
+    again = settled(chosen.join(dead[1], "later", "left_anti").select("later"), "lines-again")
+    rest = _offers(flagged(again), lists, F.col("flag").isNotNull(), every=True)
     dead.append(settled(_similar(rest.join(chosen, ["later", "earlier"], "left_anti"), records), "lines-similar"))
-    found = dead[0]
-    for more in dead[1:]:
-        found = found.unionByName(more)
+    found = dead[0].unionByName(dead[1]).unionByName(dead[2]).distinct()
     lines = settled(
-        records.select("line", F.col("at").alias("later"))
-        .join(found.distinct(), "later", "left_semi")
-        .select("line", F.lit(True).alias("dead")),
+        records.select("line", F.col("at").alias("later")).join(found, "later", "left_semi").select("line", F.lit(True).alias("dead")),
         "lines-dead",
     )
-    discard(postings, left, chosen, again, rest, *dead)
+    discard(postings, lists, leading, chosen, again, rest, *dead)
     return lines
 
 

@@ -84,14 +84,12 @@ def test_matches_brute_force(spark, made):
     assert found(spark, made) == want
 
 
-def test_first_round_only_saves_work(spark, made, monkeypatch):
-    monkeypatch.setattr(line_dedup, "PIVOT_ROUNDS", 1)
+def test_order_of_words_only_saves_work(spark, made, monkeypatch):
     monkeypatch.setattr(line_dedup, "RANKED", 8)
     assert found(spark, made) == brute_force(spark, made)
 
 
 def test_long_lists_meet_in_blocks(spark, made, monkeypatch):
-    monkeypatch.setattr(line_dedup, "PIVOT_ROUNDS", 0)
     monkeypatch.setattr(line_dedup, "LIST_BLOCK", 7)
     monkeypatch.setattr(line_dedup, "GROUP_POSTINGS", 100)
     assert found(spark, made) == brute_force(spark, made)
