@@ -81,9 +81,9 @@ def _digits(level: int) -> Column:
 
 
 def hash_thresholds(items: DataFrame, budgets: DataFrame) -> DataFrame:
-    """``source, limit``: documents of ``items (source, hash, size)`` whose hash is below
-    ``limit`` have as many words as the budget of ``budgets (source, budget)`` asks for, up
-    to the documents of one hash value, which are in or out by what comes nearer.
+    """``source, edge, edge_rows``: documents of ``items (source, hash, size)`` whose hash is below
+    ``edge``, and ``edge_rows`` of those that have it, have as many words as the budget of
+    ``budgets (source, budget)`` asks for, up to half a document.
 
     A round reads what the rounds before have left open, which is one bucket a source; its
     window sees at most 4096 rows a source.
@@ -96,13 +96,15 @@ def hash_thresholds(items: DataFrame, budgets: DataFrame) -> DataFrame:
         inside = attach(items, found, ["source"]) if level else attach(items, budgets.select("source"), ["source"])
         if level:
             inside = inside.where(F.col("hash").startswith(F.col("prefix")))
-        histogram = inside.groupBy("source", _digits(level).alias("digits")).agg(F.sum("size").alias("words"))
+        histogram = inside.groupBy("source", _digits(level).alias("digits")).agg(
+            F.sum("size").alias("words"), F.count("*").alias("rows")
+        )
         sums = attach(histogram, found, ["source"]).withColumn("upto", F.sum("words").over(upto))
         # The bucket in which the budget ends: the first whose running sum reaches it.
         reached = (
             sums.where(F.col("upto") >= F.col("rest"))
             .groupBy("source")
-            .agg(F.min(F.struct("digits", "upto", "words", "prefix", "rest")).alias("b"))
+            .agg(F.min(F.struct("digits", "upto", "words", "prefix", "rest", "rows")).alias("b"))
         )
         if level < last:
             found = durable(
@@ -114,14 +116,26 @@ def hash_thresholds(items: DataFrame, budgets: DataFrame) -> DataFrame:
             )
             continue
         before = F.col("b.rest") - (F.col("b.upto") - F.col("b.words"))
-        return reached.select(
-            "source",
-            F.concat("b.prefix", "b.digits").alias("edge"),
-            (F.col("b.upto") - F.col("b.rest") < before).alias("edge_in"),
-        )
+        # Of equal rows a whole number, the one that comes nearest.
+        nearest = F.ceil(before * F.col("b.rows") / F.col("b.words") - F.lit(0.5)).cast("long")
+        return reached.select("source", F.concat("b.prefix", "b.digits").alias("edge"), nearest.alias("edge_rows"))
     raise AssertionError
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with their number among those of their source, from 1: rows are numbered inside their partition, and shifted
+    by the partitions before. No window sees more rows than a partition has, or than there are partitions."""
+    placed = durable(rows.withColumn("__part", F.spark_partition_id()).withColumn("__place", F.monotonically_increasing_id()))
+    before = Window.partitionBy("__source").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = placed.groupBy("__source", "__part").agg(F.count("*").alias("n")).select(
+        "__source", "__part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__shift")
+    )
+    inside = Window.partitionBy("__source", "__part").orderBy("__place")
+    counted = placed.withColumn("__number", F.row_number().over(inside))
+    numbered = attach(counted, shifts, ["__source", "__part"]).withColumn("__number", F.col("__number") + F.col("__shift"))
+    return numbered.drop("__part", "__place", "__shift")
+
+
 def mix_sources(
     docs: DataFrame,
     weights: tuple[int, ...] = WEIGHTS,
@@ -135,7 +149,8 @@ def mix_sources(
     often the mix takes the document, ``taken`` its words times that.
 
     A NULL or empty text has no words and is taken as its hash says. NULL is a source of
-    its own, the last. Rows that agree in id and text share their fate. A source without
+    its own, the last. Rows that agree in id and text share a hash; where the threshold meets
+    them, as many of them are taken as the target asks for. A source without
     words has target 0 and its documents are not taken. An empty table gives an empty mix.
     """
     named = docs.select(
@@ -165,14 +180,16 @@ def mix_sources(
         )
     )
     per_source = limits.select(
-        F.col("source").alias("__source"), "source_size", "target", "whole", "edge", "edge_in"
+        F.col("source").alias("__source"), "source_size", "target", "whole", "edge", "edge_rows"
     )
-    extra = F.when(
-        (F.col("__hash") < F.col("edge")) | ((F.col("__hash") == F.col("edge")) & F.col("edge_in")), F.lit(1)
-    ).otherwise(F.lit(0))
+    decided = attach(rows, per_source, ["__source"], "left")
+    at_edge = F.coalesce(F.col("__hash") == F.col("edge"), F.lit(False))
+    below = F.coalesce((F.col("__hash") < F.col("edge")).cast("int"), F.lit(0))
+    among = (F.col("__number") <= F.col("edge_rows")).cast("int")
+    beside = decided.where(~at_edge).withColumn("copies", (F.col("whole") + below).cast("long"))
+    edge = _numbered(decided.where(at_edge)).withColumn("copies", (F.col("whole") + among).cast("long")).drop("__number")
     return (
-        attach(rows, per_source, ["__source"], "left")
-        .withColumn("copies", (F.col("whole") + F.coalesce(extra, F.lit(0))).cast("long"))
+        beside.unionByName(edge)
         .select(
             *[F.col(name) for name in dict.fromkeys(("doc_id", *keep))],
             F.col("__size").alias("size"),

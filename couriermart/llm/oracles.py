@@ -29,12 +29,13 @@ with rows as (
 ), ordered as (
     select r.*, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size as budget,
         sum(r.size) over (partition by r.source order by r.hash range between unbounded preceding and current row) as upto,
-        sum(r.size) over (partition by r.source, r.hash) as own
+        sum(r.size) over (partition by r.source, r.hash) as own,
+        count(*) over (partition by r.source, r.hash) as alike, row_number() over (partition by r.source, r.hash) as nth
     from rows r join parts p on r.source is not distinct from p.source
 )
 select doc_id, size, source_size, target,
     cast(size * (whole + case when budget <= 0 then 0 when upto < budget then 1
-        when upto - own < budget and upto - budget < budget - (upto - own) then 1 else 0 end) as bigint) as taken
+        when upto - own < budget and nth <= ceil((budget - (upto - own)) * alike / own - 0.5e0) then 1 else 0 end) as bigint) as taken
 from ordered
 """
 

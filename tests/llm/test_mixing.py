@@ -56,7 +56,10 @@ def test_edges(spark):
     assert mix_sources(spark.createDataFrame([], DOCS)).collect() == []
     same = [(1, "a b c", "s", None, None)] * 5 + [(None, "x y", None, None, None)] * 3
     got = mix_sources(spark.createDataFrame(same, DOCS)).collect()
-    assert len(got) == 8 and len({(row.doc_id, row.taken) for row in got}) == 2
+    assert len(got) == 8
+    for doc_id in (1, None):
+        own = [row for row in got if row.doc_id == doc_id]
+        assert abs(sum(row.taken for row in own) - own[0].target) <= own[0].size / 2
     blank = mix_sources(spark.createDataFrame([(1, "", "s", None, None), (2, None, "t", None, None)], DOCS)).collect()
     assert [(row.size, row.target, row.taken) for row in blank] == [(0, 0.0, 0)] * 2
 
@@ -66,3 +69,17 @@ def test_keeps_columns(spark):
     got = mix_sources(spark.createDataFrame(docs, DOCS), keep=("doc_id", "text", "source"))
     assert got.columns[:3] == ["doc_id", "text", "source"]
     assert {row.doc_id: (row.text, row.source) for row in got.collect()} == {1: ("a b", "s"), 2: ("c d e", "t")}
+
+
+def test_equal_rows_at_the_threshold(spark):
+    """A third of a source's rows are one text: whatever their hash, the target is met to half a document."""
+    for seed in range(4):
+        many = [(seed, "w " * 10, "s", "x", 1)] * 801
+        docs = many + [(1000 * seed + i, "v " * (1 + i % 12), "s", "x", 1) for i in range(10, 1600)]
+        docs += [(90_000 + i, "u " * 20, "t", "x", 1) for i in range(400)]
+        for keep in ((), ("doc_id", "text")):
+            got = mix_sources(spark.createDataFrame(docs, DOCS).repartition(5), keep=keep).collect()
+            assert len(got) == len(docs) and all(row.taken in (0, row.size, 2 * row.size) for row in got)
+            for target in {row.target for row in got}:
+                own = [row for row in got if row.target == target]
+                assert abs(sum(row.taken for row in own) - target) <= max(row.size for row in own) / 2 + 1e-6
