@@ -34,6 +34,8 @@ from .words import LOWER, SPACED, find_words, mix, slices
 NUMERATOR, DENOMINATOR = 4, 5
 #: Words are ranked by count from one in so many words of the corpus on, so there are at most as many.
 RANKED = 1 << 20
+#: Bytes of text that are split into lines and words at once.
+LINE_SLICE = 1 << 20
 #: Postings of a group, about, and lines of one list that meet in a group.
 GROUP_POSTINGS = 200_000
 LIST_BLOCK = 4096
@@ -120,7 +122,7 @@ def frequent_words(docs: DataFrame) -> Ranks:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [find_words(LOWER[data], bounds, SPACED).hash for _, _, data, bounds in slices(batch.column("text"))]
+            found = [find_words(LOWER[data], bounds, SPACED).hash for _, _, data, bounds in slices(batch.column("text"), LINE_SLICE)]
             hashes, counts = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64),) * 2
             several = counts > 1
             yield pa.RecordBatch.from_pydict({"word": hashes[several].view(np.int64), "n": counts[several].astype(np.int64)})
@@ -138,7 +140,7 @@ def _classes(keyed: DataFrame) -> DataFrame:
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin, _, data, bounds in slices(batch.column("text")):
+            for begin, _, data, bounds in slices(batch.column("text"), LINE_SLICE):
                 lines = find_lines(data, bounds)
                 worded = np.flatnonzero(lines.id >= 0)
                 if len(worded):
@@ -163,7 +165,7 @@ def _candidates(docs: DataFrame, ranks: Ranks, parts: int) -> DataFrame:
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, bounds in slices(batch.column("text")):
+            for _, _, data, bounds in slices(batch.column("text"), LINE_SLICE):
                 lines = find_lines(data, bounds, ranks)
                 _, own = np.unique(lines.id, return_index=True)
                 own = own[lines.size[own] >= LEAST_WORDS]
@@ -229,7 +231,7 @@ def _records(docs: DataFrame, ranks: Ranks, candidates: DataFrame, classes: Data
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, bounds in slices(batch.column("text")):
+            for _, _, data, bounds in slices(batch.column("text"), LINE_SLICE):
                 lines = find_lines(data, bounds, ranks)
                 _, own = np.unique(lines.id, return_index=True)
                 own = own[(lines.id[own] >= 0) & may_hold(passing, lines.id[own])]
@@ -383,7 +385,7 @@ def dedup_lines(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFra
 
     def occur(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin, _, data, bounds in slices(batch.column("text")):
+            for begin, _, data, bounds in slices(batch.column("text"), LINE_SLICE):
                 lines = find_lines(data, bounds)
                 hit = np.flatnonzero((lines.id >= 0) & may_hold(passing, lines.id))
                 at = pa.array(begin + lines.row[hit])
