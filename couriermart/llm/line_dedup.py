@@ -349,14 +349,19 @@ def _dead_classes(records: DataFrame) -> DataFrame:
     dead.append(settled(_similar(chosen, records), "lines-similar"))
     # Whoever was offered a line that is not similar may still have another one.
     again = settled(chosen.join(dead[1], "later", "left_anti").select("later"), "lines-again")
-    rest = _offers(flagged(again), lists, F.col("flag").isNotNull(), every=True)
-    dead.append(settled(_similar(rest.join(chosen, ["later", "earlier"], "left_anti"), records), "lines-similar"))
+    offered = _offers(flagged(again), lists, F.col("flag").isNotNull(), every=True)
+    discard(postings, lists, leading, again)
+    rest = settled(offered.join(chosen, ["later", "earlier"], "left_anti"), "line-rest")
+    # As tables, so that Spark knows how small they are and leaves the other lines where they lie.
+    met = settled(rest.select(F.explode(F.array("later", "earlier")).alias("at")).distinct(), "lines-met")
+    few = settled(records.join(met, "at", "left_semi"), "line-records-met")
+    dead.append(settled(_similar(rest, few), "lines-similar"))
     found = dead[0].unionByName(dead[1]).unionByName(dead[2]).distinct()
     lines = settled(
         records.select("line", F.col("at").alias("later")).join(found, "later", "left_semi").select("line", F.lit(True).alias("dead")),
         "lines-dead",
     )
-    discard(postings, lists, leading, chosen, again, rest, *dead)
+    discard(chosen, offered, rest, met, few, *dead)
     return lines
 
 
@@ -375,8 +380,9 @@ def dedup_lines(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFra
     classes = settled(_classes(keyed), "line-classes")
     candidates = settled(_candidates(docs, ranks, parts), "line-candidates")
     records = _records(docs, ranks, candidates, classes)
+    discard(candidates)
     dead = _dead_classes(records)
-    discard(records, candidates)
+    discard(records)
     marked = settled(
         classes.join(dead, "line", "left").where("n > 1 or dead").select("line", "place", F.coalesce("dead", F.lit(False)).alias("dead")),
         "lines-marked",
