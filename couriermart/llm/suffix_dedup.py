@@ -7,14 +7,16 @@ have equal triggers, and equal text behind them up to where the first of them ma
 starts with one trigger form a run, and only runs whose triggers are followed by the same
 text can hold equal strings.
 
-1. Of each run two hashes travel: of the text behind the trigger, and of all that its
+1. Texts that are equal as a whole go as a whole; one of them stands for them in what
+   follows, so that copies do not crowd at their triggers.
+2. Of each run two hashes travel: of the text behind the trigger, and of all that its
    strings cover. Runs that are alone with the first are done; runs that share the second
-   are repeated as a whole, which settles exact copies without looking at a byte again.
-2. The other runs meet with their text, in buckets by the first hash. A bucket is parsed
+   are repeated as a whole, which settles most of near copies without looking at a byte again.
+3. The other runs meet with their text, in buckets by the first hash. A bucket is parsed
    into phrases that end at places a second rolling hash picks; overlapping runs and near
    copies have most of them in common. The suffix array of the distinct phrases and that of
    the parse, combined, give the starts in corpus order, where equal strings are neighbours.
-3. Where too many different runs share a trigger's text, as at the edges of a passage that
+4. Where too many different runs share a trigger's text, as at the edges of a passage that
    a share of all documents quotes, the strings themselves are counted by their hashes,
    which splits the crowd.
 
@@ -45,6 +47,8 @@ GRAM = 16
 PART_STARTS = 1 << 20
 #: Different runs behind one trigger text that meet in one bucket at most.
 MOST_RUNS = 2048
+#: Rows of eight bytes that are sent to every executor at most.
+MOST_BROADCAST = 1 << 19
 #: Phrases of a bucket end where the hash of so many bytes leaves 0 when divided by the second number.
 PHRASE_GRAM = 8
 PHRASE_EVERY = 32
@@ -242,6 +246,7 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
     whole = matched.where(F.col("behind").isNull()).select("doc", "low", "high")
     mixed = matched.where(F.col("behind").isNotNull())
     few, many = build_filter(mixed.where(F.col("runs") <= MOST_RUNS).select("behind")), build_filter(mixed.where(F.col("runs") > MOST_RUNS).select("behind"))
+    buckets = parts * 4
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -254,49 +259,61 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
                     size = runs.high[own] - runs.low[own] + LENGTH
                     yield pa.RecordBatch.from_pydict(
                         {
-                            "part": pa.array(_part_of(runs.behind[own], parts * 4), pa.int32()),
-                            "doc": docs_[begin + runs.text[own]],
-                            "low": runs.low[own],
+                            "part": pa.array(_part_of(runs.behind[own], buckets), pa.int32()),
+                            "doc": pa.array([x.tobytes() for x in docs_[begin + runs.text[own]]], pa.binary()),
+                            "low": pa.array([x.tobytes() for x in runs.low[own].astype(np.int32)], pa.binary()),
                             "bytes": pa.array([part[a : a + n].tobytes() for a, n in zip(low[own], size, strict=True)], pa.binary()),
                         }
                     )
-
-    def compare(table: pa.Table) -> pa.Table:
-        again = repeated_starts([np.frombuffer(x.as_buffer(), np.uint8) for chunk in table.column("bytes").chunks for x in chunk])
-        low, doc = table.column("low").to_numpy(), table.column("doc").to_numpy()
-        found = [np.flatnonzero(hits) + a for hits, a in zip(again, low, strict=True)]
-        return _intervals(np.repeat(doc, [len(x) for x in found]), np.concatenate(found))
-
-    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            docs_ = batch.column("doc").to_numpy()
-            for begin, runs, part, low in _runs_of(batch.column("text")):
                 own = np.flatnonzero(may_hold(many, runs.behind.view(np.int64)))
                 if len(own):
                     count = runs.high[own] - runs.low[own] + 1
                     step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
                     string = Rolling(part).of(np.repeat(low[own], count) + step, LENGTH)
                     yield _packed(
-                        _part_of(string, parts), string=string, doc=np.repeat(docs_[begin + runs.text[own]], count),
-                        start=(np.repeat(runs.low[own], count) + step).astype(np.int32),
+                        _part_of(string, parts) + buckets, doc=np.repeat(docs_[begin + runs.text[own]], count),
+                        low=(np.repeat(runs.low[own], count) + step).astype(np.int32), bytes=string,
                     )
 
-    def count(table: pa.Table) -> pa.Table:
-        string, doc, start = _columns(table, string=np.uint64, doc=np.int64, start=np.int32)
-        order = np.argsort(string, kind="stable")
-        same = string[order[1:]] == string[order[:-1]]
-        again = np.zeros(len(string), bool)
-        again[order[1:][same]] = again[order[:-1][same]] = True
-        return _intervals(doc[again], start[again].astype(np.int64))
-
-    spans = "doc long, low long, high long"
-    compared = (
-        docs.mapInArrow(fetch, "part int, doc long, low long, bytes binary").groupBy("part").applyInArrow(compare, spans)
+    def compare(table: pa.Table) -> pa.Table:
+        if table.column("part")[0].as_py() >= buckets:
+            return count_strings(*_columns(table, doc=np.int64, low=np.int32, bytes=np.uint64))
+        doc, low = _columns(table, doc=np.int64, low=np.int32)
+        again = repeated_starts([np.frombuffer(x.as_buffer(), np.uint8) for chunk in table.column("bytes").chunks for x in chunk])
+        found = [np.flatnonzero(hits) + a for hits, a in zip(again, low, strict=True)]
+        return _intervals(np.repeat(doc, [len(x) for x in found]), np.concatenate(found))
+
+    fetched = docs.mapInArrow(fetch, "part int, doc binary, low binary, bytes binary")
+    return whole.unionByName(fetched.groupBy("part").applyInArrow(compare, "doc long, low long, high long"))
+
+
+def count_strings(doc: np.ndarray, start: np.ndarray, string: np.ndarray) -> pa.Table:
+    """Ranges of the starts whose string, told by its hash, comes again."""
+    order = np.argsort(string, kind="stable")
+    same = string[order[1:]] == string[order[:-1]]
+    again = np.zeros(len(string), bool)
+    again[order[1:][same]] = again[order[:-1][same]] = True
+    return _intervals(doc[again], start[again].astype(np.int64))
+
+
+def equal_texts(docs: DataFrame) -> DataFrame:
+    """``doc, low, high, first``: rows of ``docs (doc, text)`` whose whole text, of a string at least, others have too,
+    with the range of all its starts, and whether the row stands for them. Only hashes and sizes are shuffled, and counted
+    before, so a text that a third of all rows have is a few rows in the one group it makes."""
+    sized = docs.where(F.octet_length("text") >= LENGTH).select(
+        "doc", F.xxhash64("text").alias("text_hash"), F.crc32("text").alias("text_check"), F.octet_length("text").alias("size")
     )
-    counted = (
-        docs.mapInArrow(spell, "part int, string binary, doc binary, start binary").groupBy("part").applyInArrow(count, spans)
+    text = ["text_hash", "text_check", "size"]
+    groups = sized.groupBy(*text).agg(F.count("*").alias("n"), F.min("doc").alias("least")).where("n > 1")
+    return sized.join(groups, text).select(
+        "doc", F.lit(0).cast("long").alias("low"), (F.col("size") - LENGTH).cast("long").alias("high"), (F.col("doc") == F.col("least")).alias("first")
     )
-    return whole.unionByName(compared).unionByName(counted)
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose ``doc`` is in ``gone``, which is broadcast if it has been counted to be small."""
+    few = gone.count() <= MOST_BROADCAST
+    return docs.join(F.broadcast(gone) if few else gone, "doc", "left_anti")
 
 
 def dedup_strings(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -310,7 +327,10 @@ def dedup_strings(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataF
     table gives no rows. Rows are told apart by a 64-bit hash of id and text.
     """
     key = F.xxhash64("doc_id", "text")
-    found = repeated_strings(docs.select(key.alias("doc"), "text"))
+    texts = docs.select(key.alias("doc"), "text")
+    copies = durable(equal_texts(texts))
+    single = without(texts, copies.where(~F.col("first")).select("doc").distinct())
+    found = copies.select("doc", "low", "high").unionByName(repeated_strings(single))
     ranges = found.groupBy(F.col("doc").alias("__key")).agg(F.collect_set(F.struct("low", "high")).alias("__found"))
     wide = docs.select(*keep, F.col("text").alias("__text"), key.alias("__key"))
     joined = attach(wide, ranges, ["__key"], "left").select(*keep, "__text", "__found")

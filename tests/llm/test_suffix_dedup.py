@@ -7,7 +7,7 @@ import pytest
 
 from couriermart.llm import suffix_dedup
 from couriermart.llm.queries import QUERIES
-from couriermart.llm.suffix_dedup import LENGTH, dedup_strings, repeated_starts
+from couriermart.llm.suffix_dedup import LENGTH, dedup_strings, equal_texts, repeated_starts
 from llm_checks import TESTDATA
 
 DOCS = "doc_id long, text string, kept string, doc long"
@@ -79,9 +79,20 @@ def test_matches_brute_force(spark, made):
 def test_crowds_and_parts(spark, made, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "MOST_RUNS", 2)
     monkeypatch.setattr(suffix_dedup, "PART_STARTS", 700)
+    monkeypatch.setattr(suffix_dedup, "MOST_BROADCAST", 0)
     assert found(spark, made) == brute_force(made)
 
 
+def test_one_text_stands_for_its_copies(spark):
+    copied, alone = "k" * 450, "m" * 450
+    rows = [*[(i, copied) for i in range(500)], (600, alone), (601, "short"), (602, "short"), (603, None)]
+    copies = equal_texts(spark.createDataFrame(rows, "doc long, text string").repartition(8)).collect()
+    assert sorted(r.doc for r in copies) == list(range(500))
+    assert [r.doc for r in copies if r.first] == [0]
+    assert {(r.low, r.high) for r in copies} == {(0, 50)}
+    assert found(spark, rows) == brute_force(rows)
+
+
 def test_nothing(spark):
     assert found(spark, []) == []
     assert [row[2] for row in found(spark, [(1, "x" * 100), (2, None)])] == [0, 0]
