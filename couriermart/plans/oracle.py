@@ -500,6 +500,13 @@ ORACLES |= {
         FROM active WHERE {_NOT_DELETED} GROUP BY 1, 2, 3, 4"""
     ),
     "rollup_compacted": _over(_ROLLUP + _DAYS),
+    "cohort_retention_stored": _over(
+        _RETENTION.replace("receiver IS NOT NULL", f"receiver IS NOT NULL AND {_NOT_DELETED}") + " SELECT * FROM retention"
+    ),
+    "active_receivers_stored": _over(
+        f"""SELECT {_MONTH} AS month, count(DISTINCT receiver) AS active_receivers
+        FROM active WHERE {_NOT_DELETED} GROUP BY 1 HAVING count(receiver) > 0"""
+    ),
     "lookup_thousand": _over(
         f"SELECT {_MESSAGE} FROM mart WHERE message_id IN (SELECT message_id FROM mart ORDER BY message_id LIMIT 1000)"
     ),

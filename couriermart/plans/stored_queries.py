@@ -14,6 +14,7 @@ from ..operators.charts import Filters, apply_filters, chart_query
 from ..session import scratch_path
 from ..sources import layout
 from ..sources.mart import active_mart, country_name, mart, table
+from ..streaming.receivers import RECEIVERS, active_by_month, stored_retention
 from ..streaming.rollup import (
     rollup_backfill, rollup_build, rollup_compact, rollup_expire, rollup_read, rollup_stream,
     write_covered, write_run,
@@ -86,6 +87,38 @@ def rollup_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return day_totals(spark, root)
 
 
+def _receivers_followed(spark: SparkSession, sf_dir: str) -> str:
+    """Receiver partials of a mart that is backfilled, streamed, has late loads and deletes, and is compacted between."""
+    root = scratch_path(spark, "receivers")
+    messages = layout.open_mart(spark, stored_mart(spark, sf_dir))
+    held = f"{root}/receivers"
+
+    def receivers_follow() -> None:
+        stream = layout.stream_mart(spark, f"{root}/mart", files_per_batch=40)
+        rollup_stream(stream, held, f"{root}/progress", available_now=True, kind=RECEIVERS).awaitTermination()
+
+    # What was sent last is loaded first, so that cohorts move to earlier months.
+    layout.append_new(messages.where("ym >= 199600"), f"{root}/mart")
+    rollup_backfill(layout.open_mart(spark, f"{root}/mart"), held, RECEIVERS)
+    receivers_follow()
+    rollup_compact(spark, held, RECEIVERS)
+    layout.soft_delete(messages.where("customer_id = 1003 and currency = 'EUR'"), f"{root}/mart", DELETED_AT)
+    layout.append_new(messages, f"{root}/mart")
+    layout.soft_delete(messages.where("customer_id = 1005 or customer_id = 1003 and currency = 'EUR'"), f"{root}/mart", DELETED_AT)
+    receivers_follow()
+    return held
+
+
+def cohort_retention_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retention from receiver partials that followed loads, late loads and deletes."""
+    return stored_retention(spark, _receivers_followed(spark, sf_dir))
+
+
+def active_receivers_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct receivers per month from the same partials."""
+    return active_by_month(spark, _receivers_followed(spark, sf_dir))
+
+
 def lookup_thousand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The messages with the thousand smallest ids, found through the index."""
     path = stored_mart(spark, sf_dir)
@@ -173,6 +206,8 @@ QUERIES = {
     "rollup_backfill_repeated": rollup_backfill_repeated,
     "rollup_soft_deletes": rollup_soft_deletes,
     "rollup_compacted": rollup_compacted,
+    "cohort_retention_stored": cohort_retention_stored,
+    "active_receivers_stored": active_receivers_stored,
     "lookup_thousand": lookup_thousand,
     "filtered_among": filtered_among,
     "revenue_next_month": revenue_next_month,

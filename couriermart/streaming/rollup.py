@@ -1,5 +1,7 @@
 """The daily rollup: mergeable partial aggregates per day, country, status and currency.
 
+Other partials can be kept in the same way, see ``Partials`` and ``streaming.receivers``.
+
 The rollup is a set of runs, each a folder of partials; the sum of all runs is the rollup.
 One commit (see ``sources.commits``) names everything that counts:
 
@@ -20,7 +22,8 @@ own day, however old. Runs are merged by levels, so a reader opens few of them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from datetime import date, datetime, time
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,7 +40,6 @@ from ..sources.mart import active
 
 BACKFILL_BATCH = -1
 ROLLUP_INPUTS = ["sent_date", "country", "delivery_status", "currency", "price", "deleted_at"]
-_MEASURES = ["msgs", "delivrd", "revenue"]
 # Streams that name the file of each row in this column are held against ``covered``. Its
 # metadata may name the mart; then rows of other generations than its current one are left out.
 SOURCE_FILE = "source_file"
@@ -68,9 +70,26 @@ def rollup_build(messages: DataFrame) -> DataFrame:
     )
 
 
-def rollup_merge(partials: DataFrame, keys: Sequence[str] = ROLLUP_KEYS) -> DataFrame:
-    """Partials of the same ``keys`` combined. Any subset of the keys will do."""
-    return partials.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in _MEASURES])
+@dataclass(frozen=True)
+class Partials:
+    """What a rollup keeps: its columns, of which ``msgs`` counts messages, those that are added up, and how messages
+    become partials. Signed rows must count with their sign."""
+
+    schema: T.StructType
+    measures: tuple[str, ...]
+    build: Callable[[DataFrame], DataFrame]
+
+    @property
+    def keys(self) -> list[str]:
+        return [name for name in self.schema.names if name not in self.measures]
+
+
+DAILY = Partials(ROLLUP_SCHEMA, ("msgs", "delivrd", "revenue"), rollup_build)
+
+
+def rollup_merge(partials: DataFrame, keys: Sequence[str] | None = None, kind: Partials = DAILY) -> DataFrame:
+    """Partials of the same ``keys`` combined. Any subset of the keys will do; all, if none are named."""
+    return partials.groupBy(*(kind.keys if keys is None else keys)).agg(*[F.sum(name).alias(name) for name in kind.measures])
 
 
 # --- what is stored ---------------------------------------------------------
@@ -93,21 +112,21 @@ def _update(spark: SparkSession, root: str, change) -> State | None:
     return commits.update(spark, root, lambda state: change(_settled(spark, state)))
 
 
-def _read_runs(spark: SparkSession, root: str, runs: Sequence[Sequence]) -> DataFrame:
+def _read_runs(spark: SparkSession, root: str, runs: Sequence[Sequence], kind: Partials = DAILY) -> DataFrame:
     if not runs:
-        return spark.createDataFrame([], ROLLUP_SCHEMA)
-    return spark.read.schema(ROLLUP_SCHEMA).parquet(*[f"{root}/{path}" for path, _ in runs])
+        return spark.createDataFrame([], kind.schema)
+    return spark.read.schema(kind.schema).parquet(*[f"{root}/{path}" for path, _ in runs])
 
 
-def rollup_read(spark: SparkSession, root: str, keys: Sequence[str] = ROLLUP_KEYS) -> DataFrame:
+def rollup_read(spark: SparkSession, root: str, keys: Sequence[str] | None = None, kind: Partials = DAILY) -> DataFrame:
     """The rollup as stored below ``root``, merged once, to one row per combination of ``keys``."""
-    return rollup_merge(_read_runs(spark, root, _state(spark, root)["runs"]), keys).where(F.col("msgs") > 0)
+    return rollup_merge(_read_runs(spark, root, _state(spark, root)["runs"], kind), keys, kind).where(F.col("msgs") > 0)
 
 
-def write_run(partials: DataFrame, root: str, level: int = 0) -> list:
+def write_run(partials: DataFrame, root: str, level: int = 0, kind: Partials = DAILY) -> list:
     """Store ``partials`` as a run that counts as soon as a commit names it."""
     path = f"runs/{commits.new_name()}"
-    partials.select(*ROLLUP_SCHEMA.names).write.parquet(f"{root}/{path}")
+    partials.select(*kind.schema.names).write.parquet(f"{root}/{path}")
     return [path, level]
 
 
@@ -156,7 +175,7 @@ def _not_counted(messages: DataFrame, root: str, state: State) -> DataFrame:
 # --- writers ----------------------------------------------------------------
 
 
-def rollup_add(messages: DataFrame, root: str, batch_id: int, stream: str = "") -> None:
+def rollup_add(messages: DataFrame, root: str, batch_id: int, stream: str = "", kind: Partials = DAILY) -> None:
     """Count ``messages`` as batch ``batch_id`` of ``stream``; repeating it changes nothing. Rows that name
     their file are left out if that file has been counted."""
 
@@ -164,14 +183,14 @@ def rollup_add(messages: DataFrame, root: str, batch_id: int, stream: str = "")
         done = state["batches"].get(stream, [])
         if _counted(done, batch_id):
             return None
-        run = write_run(rollup_build(_not_counted(messages, root, state)), root)
+        run = write_run(kind.build(_not_counted(messages, root, state)), root, kind=kind)
         return {**state, "runs": [*state["runs"], run], "batches": {**state["batches"], stream: _with_batch(done, batch_id)}}
 
     _update(messages.sparkSession, root, add)
-    _merge_levels(messages.sparkSession, root)
+    _merge_levels(messages.sparkSession, root, kind)
 
 
-def _merge_levels(spark: SparkSession, root: str) -> None:
+def _merge_levels(spark: SparkSession, root: str, kind: Partials) -> None:
     """Merge the runs of every level that has ``MERGED_RUNS``: n batches leave at most that many runs for each
     power of it, and each partial is rewritten once a level."""
 
@@ -183,46 +202,48 @@ def _merge_levels(spark: SparkSession, root: str) -> None:
         if not full:
             return None
         chosen = [run for run in state["runs"] if run[1] == full[0]]
-        merged = write_run(rollup_merge(_read_runs(spark, root, chosen)), root, full[0] + 1)
+        merged = write_run(rollup_merge(_read_runs(spark, root, chosen, kind), kind=kind), root, full[0] + 1, kind)
         return {**state, "runs": [run for run in state["runs"] if run not in chosen] + [merged]}
 
     while _update(spark, root, merge) is not None:
         pass
 
 
-def rollup_backfill(messages: DataFrame, root: str) -> bool:
+def rollup_backfill(messages: DataFrame, root: str, kind: Partials = DAILY) -> bool:
     """Fill an empty rollup from the messages that are already there. Leaves a rollup that
     has rows alone. Returns whether rows were added. The files they are read from are
     recorded by the same commit, so that a stream of the same mart goes on with what comes later."""
     spark = messages.sparkSession
 
     def fill(state: State) -> State | None:
-        if not rollup_merge(_read_runs(spark, root, state["runs"])).where(F.col("msgs") > 0).isEmpty():
+        if not rollup_merge(_read_runs(spark, root, state["runs"], kind), kind=kind).where(F.col("msgs") > 0).isEmpty():
             return None
-        run = write_run(rollup_build(messages), root)
+        run = write_run(kind.build(messages), root, kind=kind)
         return {**state, "runs": [*state["runs"], run], "covered": state["covered"] + write_covered(messages, root)}
 
-    return _update(spark, root, fill) is not None and not rollup_read(spark, root).isEmpty()
+    return _update(spark, root, fill) is not None and not rollup_read(spark, root, kind=kind).isEmpty()
 
 
-def rollup_stream(messages: DataFrame, root: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+def rollup_stream(
+    messages: DataFrame, root: str, checkpoint: str, available_now: bool = False, kind: Partials = DAILY
+) -> StreamingQuery:
     """Maintain the rollup from a stream of messages, one commit per micro-batch.
 
     ``checkpoint`` keeps the stream's progress and must outlive it. A stream of the stored
     mart (``layout.stream_mart``) leaves out what a backfill, a reload or a rebuild has counted.
     """
     writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda batch, batch_id: rollup_add(batch, root, batch_id, checkpoint)
+        lambda batch, batch_id: rollup_add(batch, root, batch_id, checkpoint, kind)
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
-def rollup_replace(messages: DataFrame, root: str, mart: str, generation: str) -> None:
+def rollup_replace(messages: DataFrame, root: str, mart: str, generation: str, kind: Partials = DAILY) -> None:
     """Have the rollup of ``messages``, read from a generation of ``mart`` that is not current yet, take the
     place of the present one at the moment that generation becomes current."""
-    run, covered = write_run(rollup_build(messages), root), write_covered(messages, root)
+    run, covered = write_run(kind.build(messages), root, kind=kind), write_covered(messages, root)
     pending = {"mart": mart, "generation": generation, "runs": [run], "covered": covered}
     _update(messages.sparkSession, root, lambda state: {**state, "pending": pending})
 
@@ -254,14 +275,14 @@ def _next_level(state: State) -> int:
     return max((level for _, level in state["runs"]), default=0)
 
 
-def rollup_compact(spark: SparkSession, root: str) -> int:
+def rollup_compact(spark: SparkSession, root: str, kind: Partials = DAILY) -> int:
     """Merge all runs into one, and all lists of covered files into one. Rows that have come to nothing stay, as a
     delete may be counted before its message. Returns the last batch that has been counted, of any stream."""
 
     def compact(state: State) -> State | None:
         if len(state["runs"]) <= 1 and len(state["covered"]) <= 1:
             return None
-        merged = rollup_merge(_read_runs(spark, root, state["runs"]))
+        merged = rollup_merge(_read_runs(spark, root, state["runs"], kind), kind=kind)
         covered = state["covered"]
         if len(covered) > 1:
             path = f"covered/{commits.new_name()}"
@@ -270,7 +291,7 @@ def rollup_compact(spark: SparkSession, root: str) -> int:
                 F.when(F.count("days") == F.count("*"), F.array_distinct(F.flatten(F.collect_list("days")))).alias("days")
             ).write.parquet(f"{root}/{path}")
             covered = [path]
-        return {**state, "runs": [write_run(merged, root, _next_level(state))], "covered": covered}
+        return {**state, "runs": [write_run(merged, root, _next_level(state), kind)], "covered": covered}
 
     _update(spark, root, compact)
     counted = [ranges[-1][1] for ranges in _state(spark, root)["batches"].values() if ranges]
