@@ -1,5 +1,8 @@
+import math
 import random
+import re
 
+import duckdb
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -92,3 +95,54 @@ def test_every_word_of_a_large_dictionary_saves():
     model = toxicity.dictionaries(words, ["the", "of"])
     saved = toxicity.excesses(toxicity.pa.array(texts), *toxicity._compressors(model), (2,))
     assert (saved > 0).mean() > 0.99
+
+
+def spread(value):
+    """64-bit mixing, on Python's own integers."""
+    factor, top = 0xD6E8FEB86659FD93, (1 << 64) - 1
+    value = (value ^ value >> 32) * factor & top
+    value = (value ^ value >> 29) * factor & top
+    return value ^ value >> 32
+
+
+def plain_code(word):
+    raw, base = word.encode(), 0x9E3779B97F4A7C15
+    stem = int.from_bytes(raw[:4].ljust(4, b"\0"), "big")
+    whole = sum((byte + 1) * pow(base, i, 1 << 64) for i, byte in enumerate(raw)) % (1 << 64)
+    return b"".join(spread(value).to_bytes(8, "little")[:7] for value in (stem, whole))
+
+
+def plain_score(text, model, toxic, ordinary):
+    """One text, word by word and window by window."""
+    lowered = re.sub("[A-Z]", lambda found: found[0].lower(), text or "")
+    words = re.findall(toxicity.WORD, lowered)
+    excess = 0
+    for begin in range(0, len(words), toxicity.WINDOW):
+        window = b"".join(plain_code(word) for word in words[begin : begin + toxicity.WINDOW])
+        excess += max(0, len(ordinary.compress(window)) - len(toxic.compress(window)) - model.noise)
+    odds = math.exp(model.slope * (math.log1p(excess) - math.log1p(model.threshold - 0.5))) * toxicity.TOXIC_SCORE / (1 - toxicity.TOXIC_SCORE)
+    return odds / (1 + odds)
+
+
+def test_query_equals_a_plain_scorer(spark, tables):
+    path = f"{TESTDATA}/sf0.01"
+    documents, labels = (spark.read.parquet(f"{path}/{name}.parquet") for name in ("documents", "labels"))
+    model = fit(documents, labels.where(~toxicity.is_held_out(F.col("doc_id"))))
+    against = toxicity._compressors(model)
+    texts = dict(duckdb.sql(f"select doc_id, text from '{tables['documents']}'").fetchall())
+    found = {row.doc_id: row for row in QUERIES["op3_toxicity"](spark, path).collect()}
+    assert set(found) == set(texts) and any(row.predicted for row in found.values())
+    for doc_id, text in texts.items():
+        assert math.isclose(found[doc_id].score, plain_score(text, model, *against), rel_tol=1e-9)
+        assert found[doc_id].predicted == int(found[doc_id].score >= toxicity.TOXIC_SCORE)
+
+
+def test_odd_texts_equal_a_plain_scorer(spark):
+    train = made(900, 1)
+    frame = spark.createDataFrame([(i, text, 0.5, "") for i, text, _ in train], DOCS)
+    model = fit(frame, spark.createDataFrame([(i, t) for i, _, t in train], "doc_id long, toxic int"))
+    odd = [None, "", "?!", "NITWIT " * 9, "Ünwörter Blockheads, \u00c0\u0100 wretch42", "scoundrel\x00nitwit_buffoon" * 50, "a b c " * 40_000]
+    scores = score_texts(spark.createDataFrame([(i, t, 0.5, "") for i, t in enumerate(odd)], DOCS), model).collect()
+    against = toxicity._compressors(model)
+    for row in scores:
+        assert math.isclose(row.score, plain_score(odd[row.doc_id], model, *against), rel_tol=1e-9)
