@@ -7,13 +7,16 @@ counts and sums the values between the brackets and keeps the distinct values in
 them, and only those are sorted, in ranges of their own. Both passes combine on the map side: what is shuffled
 is a few rows per task plus the brackets' content, a few thousandths of a segment's
 distinct values at most, however large or skewed the segments are.
+
+Brackets may also come from stored sketches (``streaming.sketches``), which spares pass one.
+They need not be right: pass two counts anew, and sees when a quantile lies elsewhere.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import add, or_
+from operator import add, and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +27,7 @@ from ..session import durable
 from .joins import attach
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+MEDIAN = {"median": 0.5}
 # The sketch misses a rank by at most count/ACCURACY; a bracket reaches further than that
 # on both sides. Columns of fewer rows than ACCURACY are sketched without error, where
 # the neighbours of a bracket are at most one rank away.
@@ -48,16 +52,20 @@ def stacked(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Da
     return long.withColumn("column", F.substring("column", 3, 1000))
 
 
+def bracket_ranks(quantiles: dict[str, float], margin: float) -> list[float]:
+    """The shares of the values below the two edges of each quantile's bracket."""
+    return [edge for q in quantiles.values() for edge in (max(0.0, q - margin), min(1.0, q + margin))]
+
+
 def _sketch(values: DataFrame, keys: list[str], quantiles: dict[str, float], accuracy: int) -> DataFrame:
     """Pass one, per key: the number of values, and for each quantile its bracket."""
-    margin = BRACKET_MARGIN / accuracy
-    edges = [edge for q in quantiles.values() for edge in (max(0.0, q - margin), min(1.0, q + margin))]
+    edges = bracket_ranks(quantiles, BRACKET_MARGIN / accuracy)
     return values.groupBy(*keys).agg(
         F.count("value").alias("count"), F.percentile_approx("value", edges, accuracy).alias("edges")
     )
 
 
-def _attach_sized(rows: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+def _attach_sized(rows: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """``rows`` with the columns of a stored per-key table.
 
     The table is broadcast only when its measured size is small. Beyond that both
@@ -66,10 +74,10 @@ def _attach_sized(rows: DataFrame, small: DataFrame, keys: list[str]) -> DataFra
     """
     size = small.agg(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes")).first().bytes or 0
     if size <= BROADCAST_BYTES:
-        return attach(rows, F.broadcast(small), keys)
+        return attach(rows, F.broadcast(small), keys, how)
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     salted = rows.withColumn("salt", F.spark_partition_id() % SALTS)
-    return attach(salted, small.withColumn("salt", salts), [*keys, "salt"]).drop("salt")
+    return attach(salted, small.withColumn("salt", salts), [*keys, "salt"], how).drop("salt")
 
 
 def _position(q: float) -> Column:
@@ -77,17 +85,18 @@ def _position(q: float) -> Column:
     return F.lit(q) * (F.col("count") - 1)
 
 
-def _zones(values: DataFrame, brackets: DataFrame, keys: list[str], n_quantiles: int) -> DataFrame:
+def _zones(values: DataFrame, brackets: DataFrame, keys: list[str], n_quantiles: int, how: str = "inner") -> DataFrame:
     """Pass two: values between the brackets are only counted and summed, per zone; those
-    inside are kept apart, one row per distinct value. Zones follow the values' order."""
+    inside are kept apart, one row per distinct value. Zones follow the values' order.
+    NULL values are in a zone of their own, as are the values of keys without brackets."""
     value, edge = F.col("value"), [F.element_at("edges", i + 1) for i in range(2 * n_quantiles)]
     pairs = list(zip(edge[::2], edge[1::2]))
     zone = reduce(add, [(value >= low).cast("int") + (value > high).cast("int") for low, high in pairs])
     inside = reduce(or_, [value.between(low, high) for low, high in pairs])
     off = value - edge[n_quantiles]  # from a value near the middle, which keeps the sums accurate
-    placed = _attach_sized(values.where(value.isNotNull()), brackets, keys)
+    placed = _attach_sized(values, brackets, keys, how)
     return placed.groupBy(*keys, zone.alias("zone"), F.when(inside, value).alias("kept")).agg(
-        F.count("*").alias("n"),
+        F.count("value").alias("n"),
         F.sum("value").alias("total"),
         F.min("value").alias("smallest"),
         F.max("value").alias("largest"),
@@ -124,13 +133,39 @@ def summarise(
     keys: Sequence[str],
     quantiles: dict[str, float] = QUARTILES,
     accuracy: int = ACCURACY,
+    brackets: DataFrame | None = None,
 ) -> DataFrame:
     """Per key of stacked ``values``: ``count total mean min max std_sample std_pop`` and
-    exact quantiles, interpolated linearly between neighbours."""
-    keys = list(keys)
-    sketch = durable(_sketch(values, keys, quantiles, accuracy))
-    zones = _zones(values, sketch, keys, len(quantiles))
+    exact quantiles, interpolated linearly between neighbours.
 
+    ``brackets`` of the same quantiles, per key a row of the ``edges`` that ``bracket_ranks``
+    names, spare the first pass. Keys without any, and those whose quantiles turn out to lie
+    elsewhere, are sketched after all; keys that have no rows any more are left out.
+    """
+    keys = list(keys)
+    if brackets is None:
+        sketch = durable(_sketch(values, keys, quantiles, accuracy))
+        zones = _zones(values.where(F.col("value").isNotNull()), sketch, keys, len(quantiles))
+        missing = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
+        return _summary(sketch.drop("edges"), zones, keys, quantiles, missing)
+    # The count only marks keys that have brackets; it is counted below.
+    marked = durable(brackets.where(F.col("edges").isNotNull()).select(*keys, "edges", F.lit(1).alias("count")))
+    zones = durable(_zones(values, marked, keys, len(quantiles), "left"))
+    counts = zones.groupBy(*keys).agg(F.sum("n").alias("count"), F.max("count").isNotNull().alias("bracketed"))
+    zones = attach(zones.drop("count"), counts.drop("bracketed"), keys)
+    result = durable(_summary(counts, zones, keys, quantiles, F.lit(None).cast("double"), ["bracketed"]))
+    found = reduce(and_, [F.col(name).isNotNull() for name in quantiles]) & F.col("bracketed") | (F.col("count") == 0)
+    missed = durable(result.where(~found).select(*keys))
+    result = result.where(found).drop("bracketed")
+    if missed.isEmpty():
+        return result
+    return result.unionByName(summarise(_attach_sized(values, missed, keys).select(*values.columns), keys, quantiles, accuracy))
+
+
+def _summary(
+    counts: DataFrame, zones: DataFrame, keys: list[str], quantiles: dict[str, float], missing: Column, also: Sequence[str] = ()
+) -> DataFrame:
+    """The statistics of ``summarise`` per key of ``counts``, from the zones; ``missing`` stands for ranks in the midst of a zone."""
     ranked = _ranked(zones, keys)
 
     def at(rank: Column) -> Column:
@@ -139,7 +174,7 @@ def summarise(
             F.when(F.col("kept").isNotNull(), F.col("kept"))
             .when(rank == F.col("first"), F.col("smallest"))
             .when(rank == F.col("last") - 1, F.col("largest"))
-            .otherwise(F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double"))
+            .otherwise(missing)
         )
         return F.max(F.when((rank >= F.col("first")) & (rank < F.col("last")), found))
 
@@ -157,7 +192,7 @@ def summarise(
     )
     squares = F.greatest(F.col("squares"), F.lit(0.0))
     beyond_one = F.nullif(F.col("count") - 1, F.lit(0))
-    return attach(sketch.drop("edges"), found, keys, "left").select(
+    return attach(counts, found, keys, "left").select(
         *keys, "count", "total",
         F.try_divide("total", "count").alias("mean"),
         "min", "max",
@@ -170,20 +205,22 @@ def summarise(
             ).alias(name)
             for name, q in quantiles.items()
         ],
+        *also,
     )
 
 
-def _statistics(values: DataFrame) -> DataFrame:
+def _statistics(values: DataFrame, brackets: DataFrame | None = None) -> DataFrame:
     return (
-        summarise(values, ["column"])
+        summarise(values, ["column"], brackets=brackets)
         .withColumns({"range": F.col("max") - F.col("min"), "iqr": F.col("q3") - F.col("q1")})
         .select("column", *STATISTICS)
     )
 
 
-def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Eleven statistics of each numeric column, one row per column. NULLs are ignored."""
-    return _statistics(stacked(df, columns))
+def describe(df: DataFrame, columns: Sequence[str], brackets: DataFrame | None = None) -> DataFrame:
+    """Eleven statistics of each numeric column, one row per column. NULLs are ignored.
+    ``brackets`` per column, see ``summarise``, spare a scan."""
+    return _statistics(stacked(df, columns), brackets)
 
 
 def _outliers(values: DataFrame, statistics: DataFrame, reach: float) -> DataFrame:
@@ -221,10 +258,10 @@ def numeric_summary(df: DataFrame, columns: Sequence[str], k: float = OUTLIER_RE
     return attach(statistics, prefixed, ["column"])
 
 
-def segment_stats(df: DataFrame, by: str, value: str = "price") -> DataFrame:
+def segment_stats(df: DataFrame, by: str, value: str = "price", brackets: DataFrame | None = None) -> DataFrame:
     """Count, average, median and total of ``value`` per segment, largest first. NULL is a
-    segment of its own."""
-    stats = summarise(stacked(df, [value], [by]), [by], {"median": 0.5})
+    segment of its own. ``brackets`` of the median per segment, see ``summarise``, spare a scan."""
+    stats = summarise(stacked(df, [value], [by]), [by], MEDIAN, brackets=brackets)
     return stats.select(by, "count", F.col("mean").alias("avg"), "median", "total").orderBy(
         F.desc("count"), F.asc_nulls_last(by)
     )

@@ -507,6 +507,10 @@ ORACLES |= {
         f"""SELECT {_MONTH} AS month, count(DISTINCT receiver) AS active_receivers
         FROM active WHERE {_NOT_DELETED} GROUP BY 1 HAVING count(receiver) > 0"""
     ),
+    "describe_sketched": _over(
+        f"{_statistics('price', f'active WHERE {_NOT_DELETED}')} UNION ALL {_statistics('delivery_time', f'active WHERE {_NOT_DELETED}')}"
+    ),
+    "segment_by_country_sketched": _over(_segments("country").replace("FROM active", f"FROM active WHERE {_NOT_DELETED}")),
     "lookup_thousand": _over(
         f"SELECT {_MESSAGE} FROM mart WHERE message_id IN (SELECT message_id FROM mart ORDER BY message_id LIMIT 1000)"
     ),

@@ -361,6 +361,8 @@ QUERIES: dict[str, Query] = {
     "iqr_outliers": _on_active(
         NUMERIC_COLUMNS, lambda df: _rounded(profile.iqr_outliers(df, NUMERIC_COLUMNS))
     ),
+    "describe_sketched": lambda spark, sf_dir: _rounded(stored_queries.describe_sketched(spark, sf_dir)),
+    "segment_by_country_sketched": lambda spark, sf_dir: _rounded(stored_queries.segment_by_country_sketched(spark, sf_dir)),
     "event_value_profile": event_value_profile,
     "segment_by_country": _segments("country"),
     "segment_by_customer": _segments("customer_id"),

@@ -9,17 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contract import MESSAGE_COLUMNS, load_field_specs
-from ..operators import checks, ranking, tariff
+from ..operators import checks, profile, ranking, tariff
 from ..operators.charts import Filters, apply_filters, chart_query
 from ..session import scratch_path
 from ..sources import layout
-from ..sources.mart import active_mart, country_name, mart, table
+from ..sources.mart import active, active_mart, country_name, mart, table
 from ..streaming.receivers import RECEIVERS, active_by_month, stored_retention
 from ..streaming.rollup import (
-    rollup_backfill, rollup_build, rollup_compact, rollup_expire, rollup_read, rollup_stream,
+    Partials, rollup_backfill, rollup_build, rollup_compact, rollup_expire, rollup_read, rollup_stream,
     write_covered, write_run,
 )
+from ..streaming.sketches import sketches, stored_brackets
 from .datasets import ensure_datasets
+from .report import NUMERIC_COLUMNS
 from .sqlfunctions import register_functions
 from .stored import stored_mart
 
@@ -119,6 +121,35 @@ def active_receivers_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return active_by_month(spark, _receivers_followed(spark, sf_dir))
 
 
+def _sketched(spark: SparkSession, sf_dir: str, kind: Partials) -> tuple[DataFrame, str]:
+    """The messages of a mart that is backfilled, streamed and has deletes, and the root of the sketches that followed it."""
+    root = scratch_path(spark, "sketches")
+    messages = layout.open_mart(spark, stored_mart(spark, sf_dir))
+    held = f"{root}/sketches"
+    layout.append_new(messages.where("ym < 199600"), f"{root}/mart")
+    rollup_backfill(layout.open_mart(spark, f"{root}/mart"), held, kind)
+    layout.append_new(messages, f"{root}/mart")
+    layout.soft_delete(messages.where("customer_id = 1005 or customer_id = 1003 and currency = 'EUR'"), f"{root}/mart", DELETED_AT)
+    stream = layout.stream_mart(spark, f"{root}/mart", files_per_batch=40)
+    rollup_stream(stream, held, f"{root}/progress", available_now=True, kind=kind).awaitTermination()
+    return active(layout.open_mart(spark, f"{root}/mart")), held
+
+
+def describe_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of the numeric columns in one scan, by brackets from stored sketches."""
+    kind = sketches(NUMERIC_COLUMNS)
+    messages, held = _sketched(spark, sf_dir, kind)
+    return profile.describe(messages, NUMERIC_COLUMNS, stored_brackets(spark, held, kind))
+
+
+def segment_by_country_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices by country in one scan, by brackets from sketches per country."""
+    kind = sketches(["price"], ["country"])
+    messages, held = _sketched(spark, sf_dir, kind)
+    brackets = stored_brackets(spark, held, kind, ["country"], profile.MEDIAN)
+    return profile.segment_stats(messages, "country", brackets=brackets)
+
+
 def lookup_thousand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The messages with the thousand smallest ids, found through the index."""
     path = stored_mart(spark, sf_dir)

@@ -72,16 +72,17 @@ def rollup_build(messages: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Partials:
-    """What a rollup keeps: its columns, of which ``msgs`` counts messages, those that are added up, and how messages
-    become partials. Signed rows must count with their sign."""
+    """What a rollup keeps: its columns, of which ``msgs`` counts messages, those that are added up, how messages
+    become partials, and columns of quantile sketches, which are merged. Signed rows must count with their sign."""
 
     schema: T.StructType
     measures: tuple[str, ...]
     build: Callable[[DataFrame], DataFrame]
+    sketches: tuple[str, ...] = ()
 
     @property
     def keys(self) -> list[str]:
-        return [name for name in self.schema.names if name not in self.measures]
+        return [name for name in self.schema.names if name not in {*self.measures, *self.sketches}]
 
 
 DAILY = Partials(ROLLUP_SCHEMA, ("msgs", "delivrd", "revenue"), rollup_build)
@@ -89,7 +90,10 @@ DAILY = Partials(ROLLUP_SCHEMA, ("msgs", "delivrd", "revenue"), rollup_build)
 
 def rollup_merge(partials: DataFrame, keys: Sequence[str] | None = None, kind: Partials = DAILY) -> DataFrame:
     """Partials of the same ``keys`` combined. Any subset of the keys will do; all, if none are named."""
-    return partials.groupBy(*(kind.keys if keys is None else keys)).agg(*[F.sum(name).alias(name) for name in kind.measures])
+    return partials.groupBy(*(kind.keys if keys is None else keys)).agg(
+        *[F.sum(name).alias(name) for name in kind.measures],
+        *[F.kll_merge_agg_double(name).alias(name) for name in kind.sketches],
+    )
 
 
 # --- what is stored ---------------------------------------------------------
