@@ -271,6 +271,24 @@ def test_an_id_opens_one_folder_and_one_file(spark):
     assert many.columns == [*MESSAGE_COLUMNS, "ym"]
 
 
+def test_a_folder_of_the_index_is_written_by_many_tasks(spark, monkeypatch):
+    place = Place(spark)
+    monkeypatch.setattr(ids, "TASK_IDS", 50, raising=False)
+    rows = messages(spark, [{"message_id": f"m-{i % 150}", "sent_date": datetime(2025, 1 + i % 3, 1)} for i in range(400)])
+    layout.write_mart(rows, place.mart, partitions=4)
+    generation = commits.generation(spark, place.mart)
+    entries = spark.read.parquet(f"{place.mart}/{ids.FOLDER}/generation={generation}/entries")
+    stored = place.open().select(F.xxhash64("message_id").alias("id_hash"), F.col("_metadata.file_path").alias("file")).distinct()
+    held = entries.select("id_hash", "file")
+    assert held.exceptAll(stored).isEmpty() and stored.exceptAll(held).isEmpty() and entries.select("bucket").distinct().count() == 1
+    # Tasks have ranges of hashes, so that a lookup skips most of what they wrote.
+    parts = entries.groupBy(F.input_file_name().alias("part")).agg(F.min("id_hash").alias("low"), F.max("id_hash").alias("high"))
+    ranges = sorted((row.low, row.high) for row in parts.collect())
+    assert len(ranges) >= 6 and all(before[1] < after[0] for before, after in zip(ranges, ranges[1:]))
+    wanted = spark.createDataFrame([("m-3",), ("m-149",)], "message_id string")
+    assert layout.lookup_many(spark, place.mart, wanted).count() == rows.where("message_id in ('m-3', 'm-149')").count()
+
+
 def test_an_unfinished_index_is_not_trusted(spark, dies):
     place = Place(spark)
     layout.append_new(load(spark, 0, 4), place.mart)
