@@ -20,6 +20,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -44,21 +46,26 @@ LEAST_WORDS = 4
 #: Sizes and places from here on are one in postings, which hold two bytes of each.
 LONG = (1 << 16) - 1
 
-POSTINGS = "part int, token binary, line binary, parity binary, size binary, place binary"
+#: Longs of a line's parities. Postings hold them folded to two; with fewer bits than the words in which two lines
+#: may differ, all long lines would pass.
+PARITIES = 4
+PARITY = [f"parity{i}" for i in range(PARITIES)]
+
+POSTINGS = "part int, token binary, line binary, parity binary, other binary, size binary, place binary"
 
 
 @dataclass(frozen=True)
 class Ranks:
-    """The frequent words' hashes, in order, and their counts."""
+    """The frequent words' hashes, in order, and their numbers: from 1, the rarest first. Other words have number 0."""
 
     hash: np.ndarray
-    count: np.ndarray
+    number: np.ndarray
 
     def of(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.hash):
-            return np.zeros(len(hashes), np.int64)
+            return np.zeros(len(hashes), np.int32)
         at = np.minimum(np.searchsorted(self.hash, hashes), len(self.hash) - 1)
-        return np.where(self.hash[at] == hashes, self.count[at], 0)
+        return np.where(self.hash[at] == hashes, self.number[at], np.int32(0))
 
 
 @dataclass
@@ -70,9 +77,11 @@ class Lines:
     start: np.ndarray
     id: np.ndarray  # of the set of words; -1 without words
     size: np.ndarray
-    parity: np.ndarray
+    parity: np.ndarray  # ``parities`` folded to one
+    parities: np.ndarray
     token: np.ndarray
     first: np.ndarray
+    rank: np.ndarray  # the words' numbers
 
 
 def prefix_length(size):
@@ -88,7 +97,7 @@ def line_starts(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def find_lines(data: np.ndarray, bounds: np.ndarray, ranks: Ranks | None = None) -> Lines:
-    """The lines of some texts; without ``ranks`` their words are in order of hashes."""
+    """The lines of some texts; without ``ranks`` their words are in order of hashes and they have no parities."""
     start, row, number = line_starts(data, bounds)
     words = find_words(LOWER[data], np.append(start, len(data)), SPACED)
     line = np.repeat(np.arange(len(start)), words.counts())
@@ -101,19 +110,24 @@ def find_lines(data: np.ndarray, bounds: np.ndarray, ranks: Ranks | None = None)
     token, line = token[new], line[new]
     size = np.bincount(line, minlength=len(start))
     first = np.concatenate([[0], np.cumsum(size)])
-    ids, parity = np.full(len(start), -1, np.int64), np.zeros(len(start), np.uint64)
+    ids, parities = np.full(len(start), -1, np.int64), np.zeros((len(start), PARITIES), np.uint64)
     filled = np.flatnonzero(size)
     if len(filled):
         with np.errstate(over="ignore"):
             spread = mix(token)
             sums = np.add.reduceat(spread, first[filled])
             ids[filled] = (mix(sums ^ size[filled].astype(np.uint64)) >> np.uint64(1)).astype(np.int64)
-            parity[filled] = np.bitwise_xor.reduceat(np.uint64(1) << (spread >> np.uint64(58)), first[filled])
+        if ranks is not None:
+            bit, which = np.uint64(1) << (spread >> np.uint64(58)), (spread >> np.uint64(56)) % np.uint64(PARITIES)
+            for i in range(PARITIES):
+                parities[filled, i] = np.bitwise_xor.reduceat(np.where(which == i, bit, np.uint64(0)), first[filled])
+    ranked = np.zeros(len(token), np.int32)
     if ranks is not None and len(token):
-        # By count within a line; words of one count stay in the order of their hashes.
-        by_count = (line.astype(np.uint64) << np.uint64(40)) | np.minimum(ranks.of(token), (1 << 40) - 1).astype(np.uint64)
-        token = token[np.argsort(by_count, kind="stable")]
-    return Lines(row, number, start, ids, size, parity, token, first)
+        # By number within a line; words without one stay in the order of their hashes, before the others.
+        ranked = ranks.of(token)
+        order = np.argsort((line.astype(np.uint64) << np.uint64(40)) | ranked.astype(np.uint64), kind="stable")
+        token, ranked = token[order], ranked[order]
+    return Lines(row, number, start, ids, size, np.bitwise_xor.reduce(parities, axis=1), parities, token, first, ranked)
 
 
 def frequent_words(docs: DataFrame) -> Ranks:
@@ -131,8 +145,11 @@ def frequent_words(docs: DataFrame) -> Ranks:
     total = counts.agg(F.sum("n").alias("n")).first().n or 0
     table = counts.where(F.col("n") > total // RANKED).toArrow()
     hashes = table.column("word").to_numpy().view(np.uint64)
+    number = np.empty(len(hashes), np.int32)
+    # Words of one count are numbered in the order of their hashes.
+    number[np.lexsort((hashes, table.column("n").to_numpy()))] = np.arange(1, len(hashes) + 1)
     order = np.argsort(hashes)
-    return Ranks(hashes[order], table.column("n").to_numpy()[order])
+    return Ranks(hashes[order], number[order])
 
 
 def _classes(keyed: DataFrame) -> DataFrame:
@@ -181,7 +198,7 @@ def _candidates(docs: DataFrame, ranks: Ranks, parts: int) -> DataFrame:
                 part = ((token >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
                 cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), len(token)]
                 low = (token >> np.uint64(4)).astype(np.uint32)
-                columns = {"token": low, "line": lines.id[line], "parity": (lines.parity ^ (lines.parity >> np.uint64(32))).astype(np.uint32)[line], "size": np.minimum(lines.size[line], LONG).astype(np.uint16), "place": np.minimum(place, LONG).astype(np.uint16)}
+                columns = {"token": low, "line": lines.id[line], "parity": (lines.parities[:, 0] ^ lines.parities[:, 1])[line], "other": (lines.parities[:, 2] ^ lines.parities[:, 3])[line], "size": np.minimum(lines.size[line], LONG).astype(np.uint16), "place": np.minimum(place, LONG).astype(np.uint16)}
                 pieces = list(zip(cuts[:-1], cuts[1:], strict=True))
                 yield pa.RecordBatch.from_pydict(
                     {"part": pa.array([int(part[a]) for a, _ in pieces], pa.int32())}
@@ -189,44 +206,57 @@ def _candidates(docs: DataFrame, ranks: Ranks, parts: int) -> DataFrame:
                 )
 
     def match(table: pa.Table) -> pa.Table:
-        kinds = {"token": np.uint32, "line": np.int64, "parity": np.uint32, "size": np.uint16, "place": np.uint16}
+        kinds = {"token": np.uint32, "line": np.int64, "parity": np.uint64, "other": np.uint64, "size": np.uint16, "place": np.uint16}
         values = {name: np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table.column(name)]) for name, kind in kinds.items()}
         return pa.table({"line": plausible(**values)})
 
     return docs.select("text").mapInArrow(post, POSTINGS).groupBy("part").applyInArrow(match, "line long").distinct()
 
 
-def plausible(token, line, parity, size, place) -> np.ndarray:
-    """Lines that may be similar to another one of the same token, by length, place and parity."""
+def plausible(token, line, parity, size, place, other=None) -> np.ndarray:
+    """Lines that may be similar to another one of the same token, by length, place and parity, or both parities."""
     order = np.lexsort((line, size, token))
-    token, line, parity, size, place = (x[order] for x in (token, line, parity, size, place))
+    token, line, size, place = (x[order] for x in (token, line, size, place))
+    parities = [x[order] for x in (parity, other) if x is not None]
     new = np.ones(len(token), bool)
     new[1:] = (token[1:] != token[:-1]) | (line[1:] != line[:-1])
-    token, line, parity = token[new], line[new], parity[new]
+    token, line, parities = token[new], line[new], [x[new] for x in parities]
     size, place = size[new].astype(np.int64), place[new].astype(np.int64)
     found = np.zeros(len(token), bool)
     alive, distance = np.arange(len(token)), 0
     while len(alive):
         distance += 1
         alive = alive[alive + distance < len(token)]
-        other = alive + distance
+        near_by = alive + distance
         # By size within a token: what is too long now is so for all that follow.
-        near = (token[alive] == token[other]) & (size[other] * NUMERATOR <= size[alive] * DENOMINATOR)
-        alive, other = alive[near], other[near]
-        both = size[alive] + size[other]
+        near = (token[alive] == token[near_by]) & (size[near_by] * NUMERATOR <= size[alive] * DENOMINATOR)
+        alive, near_by = alive[near], near_by[near]
+        both = size[alive] + size[near_by]
         needed = -(-NUMERATOR * both // (NUMERATOR + DENOMINATOR))
-        behind = np.minimum(size[alive] - place[alive], size[other] - place[other])
-        ahead = np.minimum(place[alive], place[other])
-        apart = np.bitwise_count(parity[alive] ^ parity[other])
+        behind = np.minimum(size[alive] - place[alive], size[near_by] - place[near_by])
+        ahead = np.minimum(place[alive], place[near_by])
+        apart = sum(np.bitwise_count(x[alive] ^ x[near_by]).astype(np.int64) for x in parities)
         fits = (ahead + behind >= needed) & (apart <= both - 2 * needed)
         # Of the very longest lines the postings do not tell the size.
-        fits = (fits | (size[other] >= LONG)) & (line[alive] != line[other])
-        found[alive[fits]] = found[other[fits]] = True
+        fits = (fits | (size[near_by] >= LONG)) & (line[alive] != line[near_by])
+        found[alive[fits]] = found[near_by[fits]] = True
     return np.unique(line[found])
 
 
+def _lists(bounds: np.ndarray, values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values))
+
+
+def _words_of(side: str = "") -> Column:
+    """The number of words of a record."""
+    return F.size(f"rare{side}") + F.size(f"tokens{side}")
+
+
 def _records(docs: DataFrame, ranks: Ranks, candidates: DataFrame, classes: DataFrame) -> DataFrame:
-    """``line, at, parity, tokens`` of the candidates; ``at`` numbers them by their first occurrence."""
+    """``line, at``, parities, ``rare, tokens`` of the candidates; ``at`` numbers them by their first occurrence.
+
+    Of the frequent words, which most are, ``tokens`` holds the numbers, of the others ``rare`` holds the hashes.
+    """
     passing = build_filter(candidates)
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,27 +266,40 @@ def _records(docs: DataFrame, ranks: Ranks, candidates: DataFrame, classes: Data
                 _, own = np.unique(lines.id, return_index=True)
                 own = own[(lines.id[own] >= 0) & may_hold(passing, lines.id[own])]
                 if len(own):
-                    tokens = [lines.token[lines.first[i] : lines.first[i + 1]].view(np.int64) for i in own]
+                    size = lines.size[own]
+                    end = np.cumsum(size)
+                    word = np.arange(end[-1]) + np.repeat(lines.first[own] - end + size, size)
+                    number = lines.rank[word]
+                    known = np.concatenate([[0], np.cumsum(number > 0)[end - 1]])
                     yield pa.RecordBatch.from_pydict(
-                        {"line": lines.id[own], "parity": lines.parity[own].view(np.int64), "tokens": pa.array(tokens, pa.list_(pa.int64()))}
-                    )
+                        {
+                            "line": lines.id[own],
+                            **{name: lines.parities[own, i].view(np.int64) for i, name in enumerate(PARITY)},
+                            "rare": _lists(np.concatenate([[0], end]) - known, lines.token[word[number == 0]].view(np.int64)),
+                            "tokens": _lists(known, number[number > 0]),
+                        }
+                    )
 
     # Sorted by ranges, so that numbers rise with places from partition to partition.
     placed = candidates.join(classes, "line").orderBy("place").select("line", F.monotonically_increasing_id().alias("at"))
     placed = settled(placed, "line-places")
-    fetched = docs.select("text").mapInArrow(fetch, "line long, parity long, tokens array<long>")
+    fetched = docs.select("text").mapInArrow(fetch, f"line long, {', '.join(f'{name} long' for name in PARITY)}, rare array<long>, tokens array<int>")
     return settled(fetched.join(placed, "line").dropDuplicates(["line"]), "line-records")
 
 
 def _similar(pairs: DataFrame, records: DataFrame) -> DataFrame:
     """The ``later`` of the pairs that are similar to their ``earlier``, once each."""
-    common = F.size(F.array_intersect("tokens_e", "tokens_l"))
-    both, smaller = F.size("tokens_e") + F.size("tokens_l"), F.least(F.size("tokens_e"), F.size("tokens_l"))
-    apart = F.bit_count(F.col("parity_e").bitwiseXOR(F.col("parity_l")))
+
+    def named(at: str, side: str) -> DataFrame:
+        return records.select(F.col("at").alias(at), *[F.col(name).alias(f"{name}{side}") for name in (*PARITY, "rare", "tokens")])
+
+    common = F.size(F.array_intersect("rare_e", "rare_l")) + F.size(F.array_intersect("tokens_e", "tokens_l"))
+    both, smaller = _words_of("_e") + _words_of("_l"), F.least(_words_of("_e"), _words_of("_l"))
+    apart = reduce(add, [F.bit_count(F.col(f"{name}_e").bitwiseXOR(F.col(f"{name}_l"))) for name in PARITY])
     needed = F.ceil(both * NUMERATOR / (NUMERATOR + DENOMINATOR))
     return (
-        pairs.join(records.select(F.col("at").alias("earlier"), F.col("parity").alias("parity_e"), F.col("tokens").alias("tokens_e")), "earlier")
-        .join(records.select(F.col("at").alias("later"), F.col("parity").alias("parity_l"), F.col("tokens").alias("tokens_l")), "later")
+        pairs.join(named("earlier", "_e"), "earlier")
+        .join(named("later", "_l"), "later")
         .where((smaller >= needed) & (apart <= both - needed * 2))
         .where(common * DENOMINATOR >= (both - common) * NUMERATOR)
         .select("later")
@@ -269,10 +312,10 @@ def _search(every: bool):
     list that the filters let through, or ``every`` such line."""
 
     def search(table: pa.Table) -> pa.Table:
-        names = ("token", "at", "size", "parity", "place", "asks")
-        token, at, size, parity, place, asks = (table.column(name).to_numpy() for name in names)
+        token, at, size, place, asks, *parities = (table.column(name).to_numpy() for name in ("token", "at", "size", "place", "asks", *PARITY))
         order = np.lexsort((~asks, at, token))
-        token, at, size, parity, place, asks = (x[order] for x in (token, at, size.astype(np.int64), parity, place, asks))
+        token, at, size, place, asks = (x[order] for x in (token, at, size.astype(np.int64), place, asks))
+        parities = [x[order].view(np.uint64) for x in parities]
         later, earlier, distance = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
         open_ = np.flatnonzero(asks)
         while len(open_):
@@ -285,7 +328,7 @@ def _search(every: bool):
             needed = -(-NUMERATOR * both // (NUMERATOR + DENOMINATOR))
             behind = np.minimum(size[open_] - place[open_], size[other] - place[other])
             ahead = np.minimum(place[open_], place[other])
-            apart = np.bitwise_count((parity[open_] ^ parity[other]).view(np.uint64))
+            apart = sum(np.bitwise_count(x[open_] ^ x[other]).astype(np.int64) for x in parities)
             fits = (at[other] < at[open_]) & (np.minimum(size[open_], size[other]) >= needed)
             fits &= (ahead + behind >= needed) & (apart <= both - 2 * needed)
             later.append(at[open_[fits]])
@@ -317,7 +360,7 @@ def _offers(postings: DataFrame, lists: DataFrame, asks: Column, every: bool) ->
     as_asking = F.transform(others, lambda other: F.struct(key(own, other).alias("group"), F.lit(True).alias("asks")))
     several = F.when(F.col("asks"), F.concat(as_listed, as_asking)).otherwise(as_listed)
     dealt = used.withColumn("to", F.explode(F.when(F.col("blocks") == 1, one).otherwise(several)))
-    dealt = dealt.select("to.group", "token", "at", "size", "parity", "place", "to.asks")
+    dealt = dealt.select("to.group", "token", "at", "size", *PARITY, "place", "to.asks")
     found = dealt.groupBy("group").applyInArrow(_search(every), "later long, earlier long")
     return settled(found.distinct() if every else found.groupBy("later").agg(F.max("earlier").alias("earlier")), "line-pairs")
 
@@ -328,10 +371,11 @@ def _dead_classes(records: DataFrame) -> DataFrame:
     Parities tell almost surely whether two lines are similar, so a line needs one candidate.
     Lines whose candidates turn out not to be similar meet all that the filters let through.
     """
-    size = F.size("tokens")
+    size = _words_of()
     length = size - F.ceil(size * NUMERATOR / DENOMINATOR).cast("int") + 1
-    prefix = F.posexplode(F.slice("tokens", F.lit(1), length))
-    postings = settled(records.select("at", "parity", size.alias("size"), prefix.alias("place", "token")), "line-postings")
+    # Rarest first. Lists that a number and a hash shared would only offer more lines.
+    prefix = F.posexplode(F.slice(F.concat("rare", F.col("tokens").cast("array<long>")), F.lit(1), length))
+    postings = settled(records.select("at", *PARITY, size.alias("size"), prefix.alias("place", "token")), "line-postings")
     lists = postings.groupBy("token").agg(F.count("*").alias("n"), F.min("at").alias("lead")).where("n > 1")
     lists = settled(lists.withColumn("blocks", F.ceil(F.col("n") / LIST_BLOCK).cast("int")), "line-lists")
     # The earliest line of a long list, which most of a crowd of variants resemble: they need not ask all others.

@@ -123,3 +123,22 @@ def test_query(spark, tables):
     docs = duckdb.sql(f"select doc_id, text from '{tables['documents']}'").fetchall()
     want = sorted(((i, n, gone, hashlib.sha256(text.encode()).hexdigest()) for i, text, n, gone in brute_force(spark, docs)), key=str)
     assert sorted((tuple(row) for row in QUERIES["op7_line_dedup"](spark, f"{TESTDATA}/sf0.01").collect()), key=str) == want
+
+
+def test_long_lines_of_other_words_are_no_candidates(spark):
+    rng = random.Random(5)
+    texts = [" ".join(["shared", *(f"w{rng.randrange(3000)}" for _ in range(120))]) for _ in range(200)]
+    docs = spark.createDataFrame(list(enumerate([*texts, texts[0] + " more"])), "doc_id long, text string")
+    found = line_dedup._candidates(docs, line_dedup.Ranks(np.zeros(0, np.uint64), np.zeros(0, np.int32)), 2)
+    assert found.count() == 2
+
+
+def test_records_hold_frequent_words_by_number(spark):
+    docs = spark.createDataFrame([(1, "a a b b c c d e\na b c d e f"), (2, "A b c d f")], "doc_id long, text string").coalesce(1)
+    ranks = line_dedup.frequent_words(docs)
+    classes = line_dedup._classes(docs.withColumn("key", F.xxhash64("text")))
+    rows = line_dedup._records(docs, ranks, classes.select("line"), classes).collect()
+    assert sorted(len(row.rare) + len(row.tokens) for row in rows) == [5, 5, 6]
+    assert all(row.tokens == sorted(row.tokens) and set(row.tokens) <= set(ranks.number.tolist()) for row in rows)
+    assert sum(len(row.tokens) for row in rows) >= 9
+    assert not {h for row in rows for h in row.rare} & set(ranks.hash.view(np.int64).tolist())
