@@ -18,7 +18,7 @@ more share a word among their |x| - ceil(0.8 |x|) + 1 rarest.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 from operator import add
@@ -96,8 +96,20 @@ def line_starts(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     return start, row, np.arange(len(start)) - np.searchsorted(row, row)
 
 
-def find_lines(data: np.ndarray, bounds: np.ndarray, ranks: Ranks | None = None) -> Lines:
-    """The lines of some texts; without ``ranks`` their words are in order of hashes and they have no parities."""
+def first_of(ids: np.ndarray) -> np.ndarray:
+    """Whether each of the ``ids`` is the first of its value."""
+    first = np.zeros(len(ids), bool)
+    first[np.unique(ids, return_index=True)[1]] = True
+    return first
+
+
+def find_lines(
+    data: np.ndarray, bounds: np.ndarray, ranks: Ranks | None = None, wanted: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None
+) -> Lines:
+    """The lines of some texts; without ``ranks`` their words are in order of hashes and they have no parities.
+
+    ``wanted`` tells from ids and sizes which lines keep their words and get parities; all, if it is not given.
+    """
     start, row, number = line_starts(data, bounds)
     words = find_words(LOWER[data], np.append(start, len(data)), SPACED)
     line = np.repeat(np.arange(len(start)), words.counts())
@@ -117,7 +129,12 @@ def find_lines(data: np.ndarray, bounds: np.ndarray, ranks: Ranks | None = None)
             spread = mix(token)
             sums = np.add.reduceat(spread, first[filled])
             ids[filled] = (mix(sums ^ size[filled].astype(np.uint64)) >> np.uint64(1)).astype(np.int64)
-        if ranks is not None:
+        if wanted is not None:
+            kept = wanted(ids, size) & (size > 0)
+            held, filled = kept[line], np.flatnonzero(kept)
+            token, line, spread = token[held], line[held], spread[held]
+            first = np.concatenate([[0], np.cumsum(np.where(kept, size, 0))])
+        if ranks is not None and len(filled):
             bit, which = np.uint64(1) << (spread >> np.uint64(58)), (spread >> np.uint64(56)) % np.uint64(PARITIES)
             for i in range(PARITIES):
                 parities[filled, i] = np.bitwise_xor.reduceat(np.where(which == i, bit, np.uint64(0)), first[filled])
@@ -152,8 +169,8 @@ def frequent_words(docs: DataFrame) -> Ranks:
     return Ranks(hashes[order], number[order])
 
 
-def _classes(keyed: DataFrame) -> DataFrame:
-    """``line, place, n``: the first occurrence of each class, and how many there are."""
+def _occurrences(keyed: DataFrame) -> DataFrame:
+    """``line, doc_id, key, number`` of every line that has words."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,11 +187,17 @@ def _classes(keyed: DataFrame) -> DataFrame:
                     )
 
     kind = keyed.schema["doc_id"].dataType.simpleString()
-    # NULL ids come last.
-    where = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "key", "number")
-    return keyed.mapInArrow(place, f"line long, doc_id {kind}, key long, number long").groupBy("line").agg(
-        F.min(where).alias("place"), F.count("*").alias("n")
-    )
+    return keyed.mapInArrow(place, f"line long, doc_id {kind}, key long, number long")
+
+
+def _place() -> Column:
+    """By what occurrences are ordered; NULL ids come last."""
+    return F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "key", "number")
+
+
+def _classes(occurrences: DataFrame) -> DataFrame:
+    """``line, place, n``: the first occurrence of each class, and how many there are."""
+    return occurrences.groupBy("line").agg(F.min(_place()).alias("place"), F.count("*").alias("n"))
 
 
 def _candidates(docs: DataFrame, ranks: Ranks, parts: int) -> DataFrame:
@@ -183,9 +206,8 @@ def _candidates(docs: DataFrame, ranks: Ranks, parts: int) -> DataFrame:
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, bounds in slices(batch.column("text"), LINE_SLICE):
-                lines = find_lines(data, bounds, ranks)
-                _, own = np.unique(lines.id, return_index=True)
-                own = own[lines.size[own] >= LEAST_WORDS]
+                lines = find_lines(data, bounds, ranks, lambda ids, size: first_of(ids) & (size >= LEAST_WORDS))
+                own = np.flatnonzero(np.diff(lines.first))
                 if not len(own):
                     continue
                 length = prefix_length(lines.size[own])
@@ -262,9 +284,8 @@ def _records(docs: DataFrame, ranks: Ranks, candidates: DataFrame, classes: Data
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, bounds in slices(batch.column("text"), LINE_SLICE):
-                lines = find_lines(data, bounds, ranks)
-                _, own = np.unique(lines.id, return_index=True)
-                own = own[(lines.id[own] >= 0) & may_hold(passing, lines.id[own])]
+                lines = find_lines(data, bounds, ranks, lambda ids, size: first_of(ids) & may_hold(passing, ids))
+                own = np.flatnonzero(np.diff(lines.first))
                 if len(own):
                     size = lines.size[own]
                     end = np.cumsum(size)
@@ -335,7 +356,14 @@ def _search(every: bool):
             earlier.append(at[other[fits]])
             if not every:
                 open_ = open_[~fits]
-        return pa.table({"later": np.concatenate(later), "earlier": np.concatenate(earlier)})
+        later, earlier = np.concatenate(later), np.concatenate(earlier)
+        order = np.lexsort((earlier, later))
+        later, earlier = later[order], earlier[order]
+        last = np.ones(len(later), bool)
+        last[:-1] = later[1:] != later[:-1]
+        if every:
+            last[:-1] |= earlier[1:] != earlier[:-1]
+        return pa.table({"later": later[last], "earlier": earlier[last]})
 
     return search
 
@@ -421,7 +449,8 @@ def dedup_lines(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFra
     """
     ranks, parts = frequent_words(docs), parts_of(docs)
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
-    classes = settled(_classes(keyed), "line-classes")
+    occurrences = settled(_occurrences(keyed), "line-occurrences")
+    classes = settled(_classes(occurrences), "line-classes")
     candidates = settled(_candidates(docs, ranks, parts), "line-candidates")
     records = _records(docs, ranks, candidates, classes)
     discard(candidates)
@@ -431,24 +460,9 @@ def dedup_lines(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFra
         classes.join(dead, "line", "left").where("n > 1 or dead").select("line", "place", F.coalesce("dead", F.lit(False)).alias("dead")),
         "lines-marked",
     )
-    passing = build_filter(marked.select("line"))
-
-    def occur(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for begin, _, data, bounds in slices(batch.column("text"), LINE_SLICE):
-                lines = find_lines(data, bounds)
-                hit = np.flatnonzero((lines.id >= 0) & may_hold(passing, lines.id))
-                at = pa.array(begin + lines.row[hit])
-                yield pa.RecordBatch.from_pydict(
-                    {"line": lines.id[hit], "doc_id": batch.column("doc_id").take(at), "key": batch.column("key").take(at), "number": lines.number[hit].astype(np.int64)}
-                )
-
-    kind = keyed.schema["doc_id"].dataType.simpleString()
-    is_first = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "key", "number").eqNullSafe(F.col("place"))
     removed = (
-        keyed.mapInArrow(occur, f"line long, doc_id {kind}, key long, number long")
-        .join(marked, "line")
-        .where(F.col("dead") | ~is_first)
+        occurrences.join(marked, "line")
+        .where(F.col("dead") | ~_place().eqNullSafe(F.col("place")))
         .groupBy(F.col("doc_id").alias("__id"), F.col("key").alias("__key"))
         .agg(F.sort_array(F.collect_set("number")).alias("__numbers"))
     )

@@ -136,7 +136,7 @@ def test_long_lines_of_other_words_are_no_candidates(spark):
 def test_records_hold_frequent_words_by_number(spark):
     docs = spark.createDataFrame([(1, "a a b b c c d e\na b c d e f"), (2, "A b c d f")], "doc_id long, text string").coalesce(1)
     ranks = line_dedup.frequent_words(docs)
-    classes = line_dedup._classes(docs.withColumn("key", F.xxhash64("text")))
+    classes = line_dedup._classes(line_dedup._occurrences(docs.withColumn("key", F.xxhash64("text"))))
     rows = line_dedup._records(docs, ranks, classes.select("line"), classes).collect()
     assert sorted(len(row.rare) + len(row.tokens) for row in rows) == [5, 5, 6]
     assert all(row.tokens == sorted(row.tokens) and set(row.tokens) <= set(ranks.number.tolist()) for row in rows)
