@@ -85,6 +85,26 @@ def test_append_adds_only_new_ids(spark):
     assert ids == {"a", "b", "c"} and layout.open_mart(spark, where).count() == 3
 
 
+def test_whole_messages_meet_stored_ids_only_in_months_stored_in_part(spark):
+    where = scratch_path(spark, "unseen-test")
+    day = {month: datetime(2025, month, 3) for month in (1, 2, 3)}
+    rows = [{"message_id": f"{month}-{i % 3}", "sent_date": day[month]} for month in day for i in range(4)]
+    layout.append_new(messages(spark, rows[:4] + rows[4:5]), where)
+    again = layout.unseen(messages(spark, rows[:4] + rows[8:]), where)
+    assert "Join" not in plan_of(again) and again.count() == 4
+    assert layout.unseen(messages(spark, rows[:4]), where).isEmpty()
+    late = messages(spark, rows).select(*[F.when(F.col("message_id") != "3-1", F.col(c)).alias(c) if c in ("message_id", "sent_date") else c for c in MESSAGE_COLUMNS])
+    part = layout.unseen(late, where)
+    assert part.columns == layout.STORED_SCHEMA.names and plan_of(part).count("Join") >= 1
+    found = sorted((str(r.ym), str(r.message_id)) for r in part.collect())
+    assert found == [("202502", "2-1"), ("202502", "2-2"), *[("202503", "3-0")] * 2, ("202503", "3-2"), ("None", "None")]
+    # The same row without month or id is never taken for a stored one.
+    layout.append_new(late, where)
+    assert [(r.ym, r.message_id) for r in layout.unseen(late, where).collect()] == [(None, None)]
+    layout.append_new(messages(spark, []), where)
+    assert layout.open_mart(spark, where).count() == 11
+
+
 def test_ensure_creates_once(spark):
     where = scratch_path(spark, "ensure-test")
     assert layout.ensure_mart(spark, where).isEmpty()
