@@ -9,9 +9,10 @@ more share a word among their |x| - ceil(0.8 |x|) + 1 rarest.
    word, and by parities of word hashes, which lines have any plausible partner.
 2. Only those are fetched with all their words. Those of long lists are first compared with the earliest
    line there, so that a crowd of variants takes as many comparisons as it has
-   members. Then each line that is left looks through its lists, where they are, for an
-   earlier one that passes the filters, and is compared with that one; only lines that it
-   does not resemble after all are compared with every other that passes.
+   members. Then each line that is left looks through the list of its rarest word, where it
+   is, for an earlier one that passes the filters, and is compared with that one. Lines that
+   this does not settle look through all their lists; only lines that do not resemble what
+   they find there either are compared with every other that passes.
 3. Lines that are not the first of their class, or whose class has an earlier similar one,
    are cut out of their documents.
 """
@@ -396,8 +397,9 @@ def _offers(postings: DataFrame, lists: DataFrame, asks: Column, every: bool) ->
 def _dead_classes(records: DataFrame) -> DataFrame:
     """``line, dead``: classes that have a similar class which occurs earlier.
 
-    Parities tell almost surely whether two lines are similar, so a line needs one candidate.
-    Lines whose candidates turn out not to be similar meet all that the filters let through.
+    Parities tell almost surely whether two lines are similar, so a line needs one candidate, which
+    the list of its rarest word mostly has. Lines whose candidates turn out not to be similar meet all
+    that the filters let through.
     """
     size = _words_of()
     length = size - F.ceil(size * NUMERATOR / DENOMINATOR).cast("int") + 1
@@ -417,23 +419,32 @@ def _dead_classes(records: DataFrame) -> DataFrame:
     def flagged(lines: DataFrame) -> DataFrame:
         return postings.join(lines.select(F.col("later").alias("at"), F.lit(True).alias("flag")), "at", "left")
 
-    chosen = _offers(flagged(dead[0]), lists, F.col("flag").isNull(), every=False)
+    # In the list of its rarest word most similar lines are met already. All its lists, which lie in many groups,
+    # would each offer a line the same one, so only lines that this list does not settle ask them.
+    homes = postings.join(lists.select("token"), "token", "left_semi").groupBy(F.col("at").alias("later")).agg(F.min("place").alias("home"))
+    homes = settled(homes.join(dead[0], "later", "left_anti"), "line-homes")
+    at_home = postings.join(homes.withColumnRenamed("later", "at"), "at", "left")
+    chosen = _offers(at_home, lists, F.coalesce(F.col("place") == F.col("home"), F.lit(False)), every=False)
     dead.append(settled(_similar(chosen, records), "lines-similar"))
+    open_ = settled(homes.join(dead[1], "later", "left_anti").select("later"), "lines-open")
+    others = _offers(flagged(open_), lists, F.col("flag").isNotNull(), every=False)
+    compared = chosen.unionByName(others)
+    dead.append(settled(_similar(others.join(chosen, ["later", "earlier"], "left_anti"), records), "lines-similar"))
     # Whoever was offered a line that is not similar may still have another one.
-    again = settled(chosen.join(dead[1], "later", "left_anti").select("later"), "lines-again")
+    again = settled(others.join(dead[2], "later", "left_anti").select("later"), "lines-again")
     offered = _offers(flagged(again), lists, F.col("flag").isNotNull(), every=True)
-    discard(postings, lists, leading, again)
-    rest = settled(offered.join(chosen, ["later", "earlier"], "left_anti"), "line-rest")
+    discard(postings, lists, leading, homes, open_, again)
+    rest = settled(offered.join(compared, ["later", "earlier"], "left_anti"), "line-rest")
     # As tables, so that Spark knows how small they are and leaves the other lines where they lie.
     met = settled(rest.select(F.explode(F.array("later", "earlier")).alias("at")).distinct(), "lines-met")
     few = settled(records.join(met, "at", "left_semi"), "line-records-met")
     dead.append(settled(_similar(rest, few), "lines-similar"))
-    found = dead[0].unionByName(dead[1]).unionByName(dead[2]).distinct()
+    found = reduce(DataFrame.unionByName, dead).distinct()
     lines = settled(
         records.select("line", F.col("at").alias("later")).join(found, "later", "left_semi").select("line", F.lit(True).alias("dead")),
         "lines-dead",
     )
-    discard(chosen, offered, rest, met, few, *dead)
+    discard(chosen, others, offered, rest, met, few, *dead)
     return lines
 
 

@@ -142,3 +142,20 @@ def test_records_hold_frequent_words_by_number(spark):
     assert all(row.tokens == sorted(row.tokens) and set(row.tokens) <= set(ranks.number.tolist()) for row in rows)
     assert sum(len(row.tokens) for row in rows) >= 9
     assert not {h for row in rows for h in row.rare} & set(ranks.hash.view(np.int64).tolist())
+
+
+def test_lines_that_share_many_words_are_offered_in_few_groups(spark, monkeypatch):
+    made, search = [], line_dedup._offers
+    rng = random.Random(8)
+    shared = [[f"s{i}x{j}" for j in range(60)] for i in range(12)]
+    docs = [(i, " ".join([*shared[i % 12][:56], *(f"e{rng.randrange(10**6)}" for _ in range(4))])) for i in range(120)]
+    want = brute_force(spark, docs)
+
+    def counted(postings, lists, asks, every):
+        made.append(postings.where(asks).join(lists, "token", "left_semi").count())
+        return search(postings, lists, asks, every)
+
+    monkeypatch.setattr(line_dedup, "_offers", counted)
+    assert found(spark, docs) == want and sum(row[3] for row in want) == 108
+    # The first question is asked once by each line; the next ones by the twelve that have no earlier line.
+    assert made[0] <= 120 and made[1] <= 12 * 13
