@@ -48,9 +48,11 @@ LEAST_WORDS = 4
 LONG = (1 << 16) - 1
 
 #: Longs of a line's parities. Postings hold them folded to two; with fewer bits than the words in which two lines
-#: may differ, all long lines would pass.
+#: may differ, all long lines would pass. Records have a second set by other bits of the hashes: of two words more
+#: than lines may differ in, one set now and then sees only those allowed, both sets hardly ever do.
 PARITIES = 4
-PARITY = [f"parity{i}" for i in range(PARITIES)]
+SETS = 2
+PARITY = [f"parity{i}" for i in range(SETS * PARITIES)]
 
 POSTINGS = "part int, token binary, line binary, parity binary, other binary, size binary, place binary"
 
@@ -79,7 +81,7 @@ class Lines:
     id: np.ndarray  # of the set of words; -1 without words
     size: np.ndarray
     parity: np.ndarray  # ``parities`` folded to one
-    parities: np.ndarray
+    parities: np.ndarray  # a column for each of ``PARITY``
     token: np.ndarray
     first: np.ndarray
     rank: np.ndarray  # the words' numbers
@@ -104,6 +106,12 @@ def first_of(ids: np.ndarray) -> np.ndarray:
     return first
 
 
+def differences(one: list, other: list, count: Callable) -> list:
+    """By each set of parities, in how many words two lines differ at least; ``count`` gives the bits that two longs differ in."""
+    bits = [count(a, b) for a, b in zip(one, other, strict=True)]
+    return [reduce(add, bits[first : first + PARITIES]) for first in range(0, len(bits), PARITIES)]
+
+
 def find_lines(
     data: np.ndarray, bounds: np.ndarray, ranks: Ranks | None = None, wanted: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None
 ) -> Lines:
@@ -123,7 +131,7 @@ def find_lines(
     token, line = token[new], line[new]
     size = np.bincount(line, minlength=len(start))
     first = np.concatenate([[0], np.cumsum(size)])
-    ids, parities = np.full(len(start), -1, np.int64), np.zeros((len(start), PARITIES), np.uint64)
+    ids, parities = np.full(len(start), -1, np.int64), np.zeros((len(start), len(PARITY)), np.uint64)
     filled = np.flatnonzero(size)
     if len(filled):
         with np.errstate(over="ignore"):
@@ -136,16 +144,18 @@ def find_lines(
             token, line, spread = token[held], line[held], spread[held]
             first = np.concatenate([[0], np.cumsum(np.where(kept, size, 0))])
         if ranks is not None and len(filled):
-            bit, which = np.uint64(1) << (spread >> np.uint64(58)), (spread >> np.uint64(56)) % np.uint64(PARITIES)
-            for i in range(PARITIES):
-                parities[filled, i] = np.bitwise_xor.reduceat(np.where(which == i, bit, np.uint64(0)), first[filled])
+            for i in range(len(PARITY)):
+                # A byte of the hash for each set: six bits choose the bit, two the long.
+                byte = spread >> np.uint64(56 - 8 * (i // PARITIES))
+                bit = np.uint64(1) << ((byte >> np.uint64(2)) & np.uint64(63))
+                parities[filled, i] = np.bitwise_xor.reduceat(np.where(byte % np.uint64(PARITIES) == i % PARITIES, bit, np.uint64(0)), first[filled])
     ranked = np.zeros(len(token), np.int32)
     if ranks is not None and len(token):
         # By number within a line; words without one stay in the order of their hashes, before the others.
         ranked = ranks.of(token)
         order = np.argsort((line.astype(np.uint64) << np.uint64(40)) | ranked.astype(np.uint64), kind="stable")
         token, ranked = token[order], ranked[order]
-    return Lines(row, number, start, ids, size, np.bitwise_xor.reduce(parities, axis=1), parities, token, first, ranked)
+    return Lines(row, number, start, ids, size, np.bitwise_xor.reduce(parities[:, :PARITIES], axis=1), parities, token, first, ranked)
 
 
 def frequent_words(docs: DataFrame) -> Ranks:
@@ -317,7 +327,7 @@ def _similar(pairs: DataFrame, records: DataFrame) -> DataFrame:
 
     common = F.size(F.array_intersect("rare_e", "rare_l")) + F.size(F.array_intersect("tokens_e", "tokens_l"))
     both, smaller = _words_of("_e") + _words_of("_l"), F.least(_words_of("_e"), _words_of("_l"))
-    apart = reduce(add, [F.bit_count(F.col(f"{name}_e").bitwiseXOR(F.col(f"{name}_l"))) for name in PARITY])
+    apart = F.greatest(*differences(*([F.col(name + side) for name in PARITY] for side in ("_e", "_l")), lambda a, b: F.bit_count(a.bitwiseXOR(b))))
     needed = F.ceil(both * NUMERATOR / (NUMERATOR + DENOMINATOR))
     return (
         pairs.join(named("earlier", "_e"), "earlier")
@@ -350,9 +360,9 @@ def _search(every: bool):
             needed = -(-NUMERATOR * both // (NUMERATOR + DENOMINATOR))
             behind = np.minimum(size[open_] - place[open_], size[other] - place[other])
             ahead = np.minimum(place[open_], place[other])
-            apart = sum(np.bitwise_count(x[open_] ^ x[other]).astype(np.int64) for x in parities)
+            apart = differences(*([x[lines] for x in parities] for lines in (open_, other)), lambda a, b: np.bitwise_count(a ^ b).astype(np.int64))
             fits = (at[other] < at[open_]) & (np.minimum(size[open_], size[other]) >= needed)
-            fits &= (ahead + behind >= needed) & (apart <= both - 2 * needed)
+            fits &= (ahead + behind >= needed) & (np.maximum.reduce(apart) <= both - 2 * needed)
             later.append(at[open_[fits]])
             earlier.append(at[other[fits]])
             if not every:

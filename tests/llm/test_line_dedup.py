@@ -159,3 +159,16 @@ def test_lines_that_share_many_words_are_offered_in_few_groups(spark, monkeypatc
     assert found(spark, docs) == want and sum(row[3] for row in want) == 108
     # The first question is asked once by each line; the next ones by the twelve that have no earlier line.
     assert made[0] <= 120 and made[1] <= 12 * 13
+
+
+def test_a_second_set_of_parities_sees_what_the_first_misses():
+    rng = np.random.default_rng(6)
+    texts = [" ".join([f"s{i}" for i in range(16)] + [f"e{n}" for n in rng.integers(0, 10**9, 2)]) for _ in range(400)]
+    raw = np.frombuffer("\n".join(texts).encode(), np.uint8)
+    lines = line_dedup.find_lines(raw, np.array([0, len(raw)]), line_dedup.Ranks(np.zeros(0, np.uint64), np.zeros(0, np.int32)))
+    a, b = np.triu_indices(400, 1)
+    pairs = [[lines.parities[x, i] for i in range(len(line_dedup.PARITY))] for x in (a, b)]
+    apart = line_dedup.differences(*pairs, lambda x, y: np.bitwise_count(x ^ y).astype(np.int64))
+    # Every two differ in four words, two more than similar lines may.
+    assert len(apart) == 2 and all((x <= 4).all() for x in apart)
+    assert all((x <= 2).sum() > 1000 for x in apart) and (np.maximum(*apart) <= 2).sum() < 200
