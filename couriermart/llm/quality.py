@@ -23,15 +23,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import durable
-from .words import PART_BYTES, SPACED, find_words, mix, slices
+from .words import SPACED, find_words, mix, slices
 
 #: Labelled documents that a model is fitted on at most; every fourth of them calibrates.
 FIT_DOCUMENTS = 6_000
 CALIBRATION_PART = 4
 #: Lines of a training chain at most; a longer document is several chains.
 CHAIN_LINES = 512
-#: Lines that are described at once.
+#: Lines that are described at once, and their bytes.
 BLOCK_LINES = 1 << 15
+PART_BYTES = 1 << 20
 FIT_PARTITIONS = 8
 FIT_STEPS = 40
 PENALTY = 1.0
