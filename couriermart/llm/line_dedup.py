@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 from operator import add
 
 import numpy as np
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import attach
 from .setjoin import build_filter, discard, may_hold, parts_of, settled
-from .words import LOWER, SPACED, find_words, mix, slices
+from .words import SPACED, lowered_words, mix, slices
 
 #: Two lines are similar when DENOMINATOR * intersection >= NUMERATOR * union.
 NUMERATOR, DENOMINATOR = 4, 5
@@ -64,11 +64,31 @@ class Ranks:
     hash: np.ndarray
     number: np.ndarray
 
+    @cached_property
+    def _slots(self) -> tuple[np.uint64, np.ndarray, np.ndarray]:
+        """A table, half of it empty at least, of hashes and numbers. A hash lies at the slot of its upper bits, of which
+        the first element is the shift, or in the run of taken slots from there."""
+        bits = len(self.hash).bit_length() + 1
+        shift, order = np.uint64(64 - bits), np.arange(len(self.hash))
+        at = np.maximum.accumulate((self.hash >> shift).astype(np.int64) - order) + order
+        hashes, numbers = np.zeros((1 << bits) + len(at) + 1, np.uint64), np.zeros((1 << bits) + len(at) + 1, np.int32)
+        hashes[at], numbers[at] = self.hash, self.number
+        return shift, hashes, numbers
+
     def of(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.hash):
-            return np.zeros(len(hashes), np.int32)
-        at = np.minimum(np.searchsorted(self.hash, hashes), len(self.hash) - 1)
-        return np.where(self.hash[at] == hashes, self.number[at], np.int32(0))
+        shift, held, numbers = self._slots
+        at = (hashes >> shift).astype(np.int64)
+        found = numbers[at]
+        other = held[at] != hashes
+        open_ = np.flatnonzero(other & (found > 0))
+        found[other] = 0
+        while len(open_):
+            at[open_] += 1
+            there = numbers[at[open_]]
+            same = held[at[open_]] == hashes[open_]
+            found[open_[same]] = there[same]
+            open_ = open_[~same & (there > 0)]
+        return found
 
 
 @dataclass
@@ -112,26 +132,45 @@ def differences(one: list, other: list, count: Callable) -> list:
     return [reduce(add, bits[first : first + PARITIES]) for first in range(0, len(bits), PARITIES)]
 
 
+def line_order(line: np.ndarray, hashes: np.ndarray, lines: int) -> np.ndarray:
+    """The order of words by line and hash."""
+    # Numbers are sorted several times faster than places of numbers: the line above, then as much of the hash as
+    # there is room for, the place below.
+    above, below = lines.bit_length(), len(hashes).bit_length()
+    if above + below < 64:
+        shift, room = np.uint64(below), np.uint64(above + below)
+        key = (line.astype(np.uint64) << np.uint64(64 - above)) | ((hashes >> room) << shift) | np.arange(len(hashes), dtype=np.uint64)
+        key.sort()
+        order = (key & np.uint64((1 << below) - 1)).astype(np.int64)
+        near = (key[1:] >> shift) == (key[:-1] >> shift)
+        # Where that much of the hash does not tell two words apart, all of it has to.
+        if not (near & (hashes[order[1:]] != hashes[order[:-1]])).any():
+            return order
+    return np.lexsort((hashes, line))
+
+
 def find_lines(
-    data: np.ndarray, bounds: np.ndarray, ranks: Ranks | None = None, wanted: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None
+    data: np.ndarray,
+    bounds: np.ndarray,
+    ranks: Ranks | None = None,
+    wanted: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None,
+    sets: int = SETS,
 ) -> Lines:
     """The lines of some texts; without ``ranks`` their words are in order of hashes and they have no parities.
 
-    ``wanted`` tells from ids and sizes which lines keep their words and get parities; all, if it is not given.
+    ``wanted`` tells from ids and sizes which lines keep their words and get ``sets`` of parities; all, if it is not given.
     """
     start, row, number = line_starts(data, bounds)
-    words = find_words(LOWER[data], np.append(start, len(data)), SPACED)
+    words = lowered_words(data, np.append(start, len(data)), SPACED)
     line = np.repeat(np.arange(len(start)), words.counts())
-    # One sort of one number: the line above, as much of the hash as there is room for below.
-    shift = np.uint64(max(1, len(start).bit_length()))
-    order = np.argsort((line.astype(np.uint64) << (np.uint64(64) - shift)) | (words.hash >> shift))
+    order = line_order(line, words.hash, len(start))
     token, line = words.hash[order], line[order]
     new = np.ones(len(token), bool)
     new[1:] = (token[1:] != token[:-1]) | (line[1:] != line[:-1])
     token, line = token[new], line[new]
     size = np.bincount(line, minlength=len(start))
     first = np.concatenate([[0], np.cumsum(size)])
-    ids, parities = np.full(len(start), -1, np.int64), np.zeros((len(start), len(PARITY)), np.uint64)
+    ids, parities = np.full(len(start), -1, np.int64), np.zeros((len(start), sets * PARITIES), np.uint64)
     filled = np.flatnonzero(size)
     if len(filled):
         with np.errstate(over="ignore"):
@@ -144,11 +183,12 @@ def find_lines(
             token, line, spread = token[held], line[held], spread[held]
             first = np.concatenate([[0], np.cumsum(np.where(kept, size, 0))])
         if ranks is not None and len(filled):
-            for i in range(len(PARITY)):
+            for part in range(sets):
                 # A byte of the hash for each set: six bits choose the bit, two the long.
-                byte = spread >> np.uint64(56 - 8 * (i // PARITIES))
-                bit = np.uint64(1) << ((byte >> np.uint64(2)) & np.uint64(63))
-                parities[filled, i] = np.bitwise_xor.reduceat(np.where(byte % np.uint64(PARITIES) == i % PARITIES, bit, np.uint64(0)), first[filled])
+                byte = spread >> np.uint64(56 - 8 * part)
+                bit, long = np.uint64(1) << ((byte >> np.uint64(2)) & np.uint64(63)), byte % np.uint64(PARITIES)
+                for i in range(PARITIES):
+                    parities[filled, part * PARITIES + i] = np.bitwise_xor.reduceat(np.where(long == i, bit, np.uint64(0)), first[filled])
     ranked = np.zeros(len(token), np.int32)
     if ranks is not None and len(token):
         # By number within a line; words without one stay in the order of their hashes, before the others.
@@ -159,14 +199,14 @@ def find_lines(
 
 
 def frequent_words(docs: DataFrame) -> Ranks:
-    """Counts of the frequent words. Words that a batch has once are not counted: an order
-    of tokens may be any, as long as it is the same for all lines."""
+    """Counts of the frequent words. Words that a batch has once, or too seldom to be ranked by it, are not counted:
+    an order of tokens may be any, as long as it is the same for all lines."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [find_words(LOWER[data], bounds, SPACED).hash for _, _, data, bounds in slices(batch.column("text"), LINE_SLICE)]
+            found = [lowered_words(data, bounds, SPACED).hash for _, _, data, bounds in slices(batch.column("text"), LINE_SLICE)]
             hashes, counts = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64),) * 2
-            several = counts > 1
+            several = counts > max(1, counts.sum() // RANKED)
             yield pa.RecordBatch.from_pydict({"word": hashes[several].view(np.int64), "n": counts[several].astype(np.int64)})
 
     counts = settled(docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
@@ -217,7 +257,7 @@ def _candidates(docs: DataFrame, ranks: Ranks, parts: int) -> DataFrame:
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, bounds in slices(batch.column("text"), LINE_SLICE):
-                lines = find_lines(data, bounds, ranks, lambda ids, size: first_of(ids) & (size >= LEAST_WORDS))
+                lines = find_lines(data, bounds, ranks, lambda ids, size: first_of(ids) & (size >= LEAST_WORDS), sets=1)
                 own = np.flatnonzero(np.diff(lines.first))
                 if not len(own):
                     continue
@@ -333,7 +373,8 @@ def _similar(pairs: DataFrame, records: DataFrame) -> DataFrame:
         pairs.join(named("earlier", "_e"), "earlier")
         .join(named("later", "_l"), "later")
         .where((smaller >= needed) & (apart <= both - needed * 2))
-        .where(common * DENOMINATOR >= (both - common) * NUMERATOR)
+        # What the union asks for, with the common words named once: they are counted for each time they are named.
+        .where(common * (NUMERATOR + DENOMINATOR) >= both * NUMERATOR)
         .select("later")
         .distinct()
     )

@@ -172,3 +172,28 @@ def test_a_second_set_of_parities_sees_what_the_first_misses():
     # Every two differ in four words, two more than similar lines may.
     assert len(apart) == 2 and all((x <= 4).all() for x in apart)
     assert all((x <= 2).sum() > 1000 for x in apart) and (np.maximum(*apart) <= 2).sum() < 200
+
+
+def test_numbers_of_words_whose_slots_meet():
+    random = np.random.default_rng(3)
+    near = np.uint64(5 << 60) + np.arange(40, dtype=np.uint64)  # one slot for all
+    hashes = np.unique(np.concatenate([near, random.integers(0, 1 << 63, 500, dtype=np.uint64), np.array([0, (1 << 64) - 1], np.uint64)]))
+    number = random.permutation(len(hashes)).astype(np.int32) + 1
+    ranks = line_dedup.Ranks(hashes, number)
+    assert ranks.of(hashes).tolist() == number.tolist()
+    others = np.setdiff1d(np.concatenate([hashes + np.uint64(1), random.integers(0, 1 << 63, 500, dtype=np.uint64)]), hashes)
+    assert not ranks.of(others).any()
+
+
+def test_order_of_words_whose_hashes_begin_alike():
+    hashes = np.array([7, 3, 7, 3, 1 << 63, 7, 2], np.uint64)
+    line = np.array([0, 0, 0, 0, 1, 1, 1])
+    order = line_dedup.line_order(line, hashes, 2)
+    assert hashes[order].tolist() == [3, 3, 7, 7, 2, 7, 1 << 63] and line[order].tolist() == [0] * 4 + [1] * 3
+
+
+def test_common_words_are_counted_once(spark):
+    columns = ", ".join(f"{name} long" for name in line_dedup.PARITY)
+    records = spark.createDataFrame([], f"line long, at long, {columns}, rare array<long>, tokens array<int>")
+    plan = line_dedup._similar(spark.createDataFrame([], "later long, earlier long"), records)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_intersect(") <= 2
