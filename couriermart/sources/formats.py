@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import path_bytes
+from ..session import delete_path, path_bytes
 
 FORMATS = ("csv", "parquet", "orc")
 # CSV has neither NULLs nor timestamps of its own: both are spelled out, times to the
@@ -25,6 +25,7 @@ _OPTIONS = {
         "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     }
 }
+PRICE_DIGITS = 2
 log = logging.getLogger(__name__)
 
 
@@ -45,11 +46,12 @@ def _timed(action) -> float:
     return time.perf_counter() - start
 
 
-def fingerprint(messages: DataFrame) -> list:
+def fingerprint(messages: DataFrame, digits: int | None = PRICE_DIGITS) -> list:
     """Aggregates that change when a row or a value gets lost."""
+    prices = F.sum("price")
     return [
         F.count("*").alias("rows"),
-        F.round(F.sum("price"), 2).alias("price_sum"),
+        (prices if digits is None else F.round(prices, digits)).alias("price_sum"),
         F.sum("segment_count").alias("segments"),
         F.sum("delivery_time").alias("delivery_time_sum"),
         F.count("sender").alias("senders"),
@@ -99,18 +101,38 @@ def against_csv(results: Sequence[FormatResult]) -> dict[str, dict[str, float]]:
     }
 
 
-def survivors(messages: DataFrame, results: Sequence[FormatResult]) -> DataFrame:
-    """Each format's fingerprint, one row per format; ``same_rows`` compares all columns of all rows."""
+def survivors(messages: DataFrame, results: Sequence[FormatResult], digits: int | None = PRICE_DIGITS) -> DataFrame:
+    """Each format's fingerprint, one row per format; ``same_rows`` compares all columns of all rows. The sum of prices has
+    ``digits`` decimals, or all if it is to be added to others."""
     # A hash skips NULLs, so each column also tells whether it is one; sums, unlike xor, keep equal rows.
     marked = [part for name in messages.columns for part in (F.col(name).isNull(), F.col(name))]
     every = F.sum(F.xxhash64(*marked).cast("decimal(28,0)"))
     written = messages.agg(every.alias("h")).first().h
     same = every.eqNullSafe(F.lit(written)).alias("same_rows")
     frames = [
-        read_back(messages, result).agg(*fingerprint(messages), same).select(F.lit(result.format).alias("format"), "*")
+        read_back(messages, result).agg(*fingerprint(messages, digits), same).select(F.lit(result.format).alias("format"), "*")
         for result in results
     ]
     combined = frames[0]
     for frame in frames[1:]:
         combined = combined.unionByName(frame)
     return combined
+
+
+def surviving_parts(parts: Sequence[DataFrame], root: str, formats: Sequence[str] = FORMATS) -> DataFrame:
+    """``survivors`` of all the messages in ``parts``. Every part is written and read in every format, one after the other, and
+    its files are deleted once they have been read: the disks hold one part in one format at a time."""
+    spark, rows, schema = parts[0].sparkSession, [], None
+    for number, part in enumerate(parts):
+        for name in formats:
+            results = compare_formats(part, f"{root}/{number}", [name])
+            prints = survivors(part, results, digits=None)
+            schema = prints.schema
+            rows += prints.collect()
+            for result in results:
+                delete_path(spark, result.path)
+    held = spark.createDataFrame(rows, schema)
+    merged = {"first_sent": F.min, "last_updated": F.max, "same_rows": F.every}
+    figures = [merged.get(name, F.sum)(name).alias(name) for name in schema.names[1:]]
+    order = F.array_position(F.lit(list(formats)), F.col("format"))
+    return held.groupBy("format").agg(*figures).orderBy(order).withColumn("price_sum", F.round("price_sum", PRICE_DIGITS))
